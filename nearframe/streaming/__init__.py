@@ -1,0 +1 @@
+"""nearframe.streaming"""
