@@ -102,7 +102,11 @@ def merge_top_k(partials: DataFrame | Sequence[DataFrame], k: int) -> DataFrame:
     return brute.rank_neighbours(allp.select(*cols), k)
 
 
-def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str) -> tuple[str, str, choose.Sizes]:
+def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str) -> tuple[str, str, choose.Sizes | None]:
+    if strategy == "grid" or (strategy == "auto" and p.dim <= choose.GRID_MAX_DIM):
+        # the grid counts train in its own planning pass and replicates
+        # nothing whose size it has not checked
+        return "grid", replicate, None
     n_q = p.queries.count()
     n_t = p.train.count()
     sizes = choose.Sizes(n_q, n_t, p.dim)
@@ -151,7 +155,7 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
     if strategy == "grid":
         from ..plans import grid
 
-        return grid.knn_grid(p, k, sizes=sizes, broadcast_max_bytes=limit, parallelism=par, **opts)
+        return grid.knn_grid(p, k, broadcast_max_bytes=limit, parallelism=par, **opts)
     raise AssertionError(strategy)
 
 

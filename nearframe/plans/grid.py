@@ -4,9 +4,9 @@ Brute force scores ``Q x N`` pairs; here each query only meets the train rows
 of the cells its k-neighbour ball touches, so the work grows with the local
 density instead of with ``N``. Every step is a DataFrame join or window:
 
-1. **Width.** One aggregate over train gives the bounding box and, for a
-   ladder of candidate widths, the approximate number of occupied cells; the
-   width whose mean occupancy is closest to ``TARGET_PER_CELL * kk`` wins.
+1. **Width.** One aggregate over train gives the row count, the bounding
+   box and the number of distinct points; the width aims at about
+   ``TARGET_PER_CELL * kk`` rows per cell under uniform density.
 2. **Bound (phase 1).** Each query meets a bounded sample (``row_number <= M``
    per cell, partial limit before the shuffle) of its own cell; the kk-th
    distance over that subset is an exact upper bound on its true k-th
@@ -16,9 +16,10 @@ density instead of with ``N``. Every step is a DataFrame join or window:
    range), joined to all train rows of those cells, filtered by the bound
    and ranked by ``(dist, train_id)``.
 4. **Leftovers.** Queries whose cell had too few rows, or whose ball touches
-   too many cells, go to the next level (width x 4); the last level runs the
-   bounded brute-force pass for whatever is left, broadcasting the leftover
-   queries only within the broadcast limit and tiling otherwise.
+   too many cells, are counted. When that set passes the broadcast size
+   check it is answered by the vectorized pass (train streamed once, no
+   shuffle of train); otherwise it goes to the next level (width x 4), and
+   after the last level to tiles.
 
 Skew: cells holding more than ``HOT_ROWS`` train rows (at most N / HOT_ROWS
 of them, so the table of hot cells has a proven size bound and is
@@ -31,6 +32,7 @@ degenerate "all rows in one point" cell.
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,11 +42,12 @@ from . import brute, choose
 from ..session import checkpoint
 from .prepare import DIST, LABEL, QUERY_ID, TRAIN_ID, Prepared
 
+log = logging.getLogger(__name__)
+
 TARGET_PER_CELL = 4
-SAMPLE_PER_CELL_FACTOR = 4
+SAMPLE_PER_CELL_FACTOR = 2
 HOT_ROWS = 20_000
 MAX_LEVELS = 4
-WIDTH_LADDER = (-4, -3, -2, -1, 0, 1, 2, 3, 4)
 
 
 def _cells(cols: list[str], origin: list[float], w: float, prefix: str) -> list[Column]:
@@ -63,44 +66,38 @@ def _dedupe(train: DataFrame, tcols: list[str], kk: int) -> DataFrame:
     return train.withColumn("_dup", F.row_number().over(w)).where(F.col("_dup") <= kk).drop("_dup")
 
 
-def plan_width(p: Prepared, kk: int, n_train: int) -> dict:
-    """One aggregate over train: box, exact count and distinct-cell estimates
-    for a ladder of widths around the uniform-density guess."""
+def plan_width(p: Prepared, kk: int) -> dict:
+    """One pass over train: row count, bounding box and distinct points.
+
+    The width solves ``prod_j max(1, R_j / w) = N / (TARGET_PER_CELL * kk)``
+    (uniform density over the box). Where the data is denser than that,
+    hot cells are salted; where it is sparser, queries fall to the next
+    (coarser) level, so any width is correct and this one is only a start.
+    """
     d = p.dim
     tc = p.tcols
     box = p.train.agg(
+        F.count(F.lit(1)).alias("n"),
         *[F.min(c).alias(f"mn{j}") for j, c in enumerate(tc)],
         *[F.max(c).alias(f"mx{j}") for j, c in enumerate(tc)],
-        F.approx_count_distinct(F.struct(*tc)).alias("distinct_points"),
+        F.approx_count_distinct(F.xxhash64(*tc)).alias("distinct_points"),
     ).first()
+    n = int(box["n"])
+    if n == 0:
+        return {"n": 0, "origin": [0.0] * d, "hi": [0.0] * d, "width": 1.0, "distinct_points": 0}
     lo = [float(box[f"mn{j}"]) for j in range(d)]
     hi = [float(box[f"mx{j}"]) for j in range(d)]
     ranges = [max(h - l, 0.0) for l, h in zip(lo, hi)]
-    target = TARGET_PER_CELL * kk
-    n_cells = max(1.0, n_train / target)
-    # uniform-density guess: solve prod_j max(1, R_j / w) = n_cells
+    n_cells = max(1.0, n / (TARGET_PER_CELL * kk))
     w = max(ranges) if max(ranges) > 0 else 1.0
-    for _ in range(60):
+    for _ in range(200):
         cells = 1.0
         for r in ranges:
             cells *= max(1.0, r / w)
         if cells >= n_cells:
             break
-        w /= 1.25
-    ladder = [w * (2.0**s) for s in WIDTH_LADDER]
-    est = p.train.agg(
-        *[
-            F.approx_count_distinct(F.struct(*_cells(tc, lo, lw, "c"))).alias(f"n{i}")
-            for i, lw in enumerate(ladder)
-        ]
-    ).first()
-    best = None
-    for i, lw in enumerate(ladder):
-        occ = n_train / max(1, est[f"n{i}"])
-        score = abs(math.log(max(occ, 1e-9) / target))
-        if best is None or score < best[0]:
-            best = (score, lw)
-    return {"origin": lo, "hi": hi, "width": best[1], "distinct_points": int(box["distinct_points"] or 0)}
+        w /= 1.1
+    return {"n": n, "origin": lo, "hi": hi, "width": w, "distinct_points": int(box["distinct_points"] or 0)}
 
 
 def _hot_cells(tcell: DataFrame, cnames: list[str], hot_rows: int) -> DataFrame:
@@ -128,15 +125,24 @@ def _replicate(df: DataFrame, hot: DataFrame, cnames: list[str]) -> DataFrame:
 
 
 def _bounds(p: Prepared, qcell: DataFrame, sample: DataFrame, k: int, cnames: list[str]) -> DataFrame:
-    """Phase 1: per query the k-th distance to the sample of its own cell."""
+    """Phase 1: (query_id, q.., bound) for every query.
+
+    ``bound`` is the k-th smallest distance to the sample of the query's own
+    cell (+inf with fewer than k). Each query meets at most ``m`` sample
+    rows, so the per-query list is bounded; the query rows themselves are
+    unioned in with a null distance, so every query comes out of the one
+    aggregate, features included, without a join back.
+    """
+    qc = p.qcols
     pairs = qcell.join(sample, cnames, "inner")
     if p.exclude_self:
         pairs = pairs.where(F.col(QUERY_ID) != F.col(TRAIN_ID))
-    pairs = pairs.select(QUERY_ID, TRAIN_ID, LABEL, p.dist().alias(DIST))
-    top = brute.rank_neighbours(pairs, k)
-    return top.groupBy(QUERY_ID).agg(F.count(F.lit(1)).alias("_n"), F.max(DIST).alias("_kth")).select(
-        QUERY_ID, F.when(F.col("_n") >= k, F.col("_kth")).otherwise(F.lit(float("inf"))).alias("bound")
-    )
+    pairs = pairs.select(QUERY_ID, *qc, p.dist().alias(DIST))
+    selfrows = qcell.select(QUERY_ID, *qc, F.lit(None).cast("double").alias(DIST))
+    dists = F.sort_array(F.collect_list(F.when(brute.is_finite(DIST), F.col(DIST))))
+    agg = pairs.unionByName(selfrows).groupBy(QUERY_ID).agg(*[F.first(c, ignorenulls=True).alias(c) for c in qc], dists.alias("_d"))
+    bound = F.when(F.size("_d") >= k, F.element_at("_d", k)).otherwise(F.lit(float("inf")))
+    return agg.select(QUERY_ID, *qc, bound.alias("bound"))
 
 
 def _level(
@@ -172,9 +178,7 @@ def _level(
     # per cell): split the queries of a hot cell, replicate its sample
     q1 = _salt_rows(qcell, hot, cn, QUERY_ID)
     s1 = _replicate(sample, hot, cn)
-    bounds = _bounds(p, q1, s1, k, cn + ["_salt"])
-
-    qb = queries.join(bounds, QUERY_ID, "left").fillna({"bound": float("inf")})
+    qb = _bounds(p, q1, s1, k, cn + ["_salt"])
     finite = brute.is_finite("bound")
     ranges = []
     for j, (c, o, cm) in enumerate(zip(qc, origin, cmax)):
@@ -213,17 +217,18 @@ def knn_grid(
     p: Prepared,
     k: int,
     *,
-    sizes: choose.Sizes,
     broadcast_max_bytes: int,
     parallelism: int = 8,
     dedupe: bool | None = None,
     max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     kk = k + (1 if p.exclude_self else 0)
-    plan = plan_width(p, kk, sizes.n_train)
+    plan = plan_width(p, kk)
+    n_train = plan["n"]
+    log.info("grid plan %s", plan)
     train = p.train
     if dedupe is None:
-        dedupe = plan["distinct_points"] < 0.5 * sizes.n_train
+        dedupe = plan["distinct_points"] < 0.9 * n_train
     if dedupe:
         train = _dedupe(train, p.tcols, kk)
     max_cells = min(3 ** min(p.dim, 6), 729)
@@ -231,24 +236,31 @@ def knn_grid(
     queries = p.queries
     results = []
     w = plan["width"]
-    for _ in range(max_levels):
+    for level in range(max_levels):
         found, pending = _level(p, queries, train, k, kk, plan["origin"], plan["hi"], w, max_cells, checkpoint)
         results.append(found)
         n_pending = pending.count()
+        log.info("grid level width=%g pending=%d", w, n_pending)
         if n_pending == 0:
             queries = None
             break
         queries = pending
+        if choose.Sizes(n_pending, n_train, p.dim).query_bytes <= broadcast_max_bytes:
+            # few leftovers (sparse edge cells): stream train once against
+            # them instead of re-shuffling train at a coarser width
+            break
         w *= 4.0
     if queries is not None:
+        from . import vectorized
+
         rest = Prepared(queries, train, p.dim, p.exclude_self)
         n_rest = queries.count()
-        if choose.Sizes(n_rest, sizes.n_train, p.dim).query_bytes <= broadcast_max_bytes:
-            results.append(brute.knn_bounded(rest, k, n_train=sizes.n_train, parallelism=parallelism))
+        if choose.Sizes(n_rest, n_train, p.dim).query_bytes <= broadcast_max_bytes:
+            results.append(vectorized.knn_vectorized(rest, k, n_queries=n_rest, parallelism=parallelism))
         else:
             results.append(
                 brute.knn_blocks(
-                    rest, k, query_blocks=parallelism, train_blocks=parallelism, n_train=sizes.n_train,
+                    rest, k, query_blocks=parallelism, train_blocks=parallelism, n_train=n_train,
                     subset_rows=max(1, broadcast_max_bytes // choose.row_bytes(p.dim + 3)), parallelism=parallelism,
                 )
             )

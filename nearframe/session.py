@@ -50,6 +50,9 @@ def local_session(cores: int | str = "*", app: str = "nearframe", shuffle_partit
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("NEARFRAME_DRIVER_MEMORY", "16g"))
     )
+    ev = os.environ.get("NEARFRAME_EVENT_LOG_DIR")
+    if ev:  # stage timings for profiling, written to a folder the caller names
+        b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", ev)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
