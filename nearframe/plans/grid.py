@@ -2,32 +2,45 @@
 
 Brute force scores ``Q x N`` pairs; here each query only meets the train rows
 of the cells its k-neighbour ball touches, so the work grows with the local
-density instead of with ``N``. Every step is a DataFrame join or window:
-
-1. **Width.** One aggregate over train gives the row count, the bounding
-   box and the number of distinct points; the width aims at about
-   ``TARGET_PER_CELL * kk`` rows per cell under uniform density.
-2. **Bound (phase 1).** Each query meets a bounded sample (``row_number <= M``
-   per cell, partial limit before the shuffle) of its own cell; the kk-th
-   distance over that subset is an exact upper bound on its true k-th
-   distance (any subset's k-th distance is >= the full set's).
-3. **Candidates (phase 2).** Cells intersecting the ball of radius ``bound``
-   are enumerated with ``sequence``/``explode`` (clamped to the occupied
-   range), joined to all train rows of those cells, filtered by the bound
-   and ranked by ``(dist, train_id)``.
-4. **Leftovers.** Queries whose cell had too few rows, or whose ball touches
-   too many cells, are counted. When that set passes the broadcast size
-   check it is answered by the vectorized pass (train streamed once, no
-   shuffle of train); otherwise it goes to the next level (width x 4), and
-   after the last level to tiles.
-
-Skew: cells holding more than ``HOT_ROWS`` train rows (at most N / HOT_ROWS
-of them, so the table of hot cells has a proven size bound and is
-broadcast) are salted: their train rows are split by a hash of train_id and
-the matching query rows replicated once per salt, so no task receives a
-whole hot cell. Exact duplicates are first collapsed to the kk lowest train
-ids per distinct point (no other copy can ever rank), which removes the
-degenerate "all rows in one point" cell.
+density instead of with ``N``. Every step is a DataFrame join, window or
+aggregate, and train is shuffled once:
+
+1. **Width.** One aggregate over train: row count, bounding box, distinct
+   points. The width aims at about ``TARGET_PER_CELL * kk`` rows per cell
+   under uniform density (``kk = k``, plus one when a query's own row is
+   excluded). Any width is correct; it only moves work between the phases.
+2. **Train, once.** Train rows get their cell; rows of hot cells (more than
+   ``HOT_ROWS``; at most N / HOT_ROWS such cells, so that table has a proven
+   size bound and is broadcast) get a salt from a hash of train_id. Train is
+   hash-partitioned by (cell, salt) a single time and kept; both phases
+   below join on exactly those keys, so neither shuffles train again.
+3. **Bound (phase 1).** Each query meets a bounded sample of train:
+   ``row_number <= m`` per (cell, salt) of its own fine cell (a window on
+   the existing partitioning, no exchange), and ``<= m1`` per cell of its
+   own coarse cell (width x COARSE_FACTOR; the partial window limit before
+   that shuffle keeps it small, and the sample is broadcast when its proven
+   bound, cells in the box x m1, fits). The k best distances per query are
+   cut in the join's own task, so k rows per query are shuffled, and one
+   hash aggregate gives the k-th. The k-th distance over any subset is an
+   exact upper bound on the true k-th distance, so ``bound`` = the fine one
+   when the fine cell had k rows, else the coarse one.
+4. **Candidates (phase 2).** Cells intersecting the ball of radius
+   ``bound`` (clamped to the occupied range) are enumerated with
+   ``sequence``/``explode``, replicated per salt of hot cells, joined to the
+   kept train on (cell, salt), filtered by the bound and ranked by
+   ``(dist, train_id)`` with a partial limit before the last exchange.
+5. **Leftovers.** Queries without a finite bound or whose ball touches more
+   than ``MAX_CELLS`` cells are counted; they are answered by the vectorized
+   pass when that set passes the broadcast size check, else by tiles.
+
+The neighbours are written once with ``checkpoint`` (reliable, in the
+session's ``spark.checkpoint.dir``) before the kept train is released, so
+the returned frame survives executor loss without recomputing the search.
+
+Exact duplicates are first collapsed to the kk lowest train ids per distinct
+point (no later copy can ever rank), which removes the degenerate "one point
+holds a third of the rows" cell. The collapse is a window with a partial
+limit, so a hot point sends at most kk rows per task into the shuffle.
 """
 
 from __future__ import annotations
@@ -35,33 +48,48 @@ from __future__ import annotations
 import logging
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from . import brute, choose
 from ..session import checkpoint
-from .prepare import DIST, LABEL, QUERY_ID, TRAIN_ID, Prepared
+from . import brute, choose
+from .prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared
 
 log = logging.getLogger(__name__)
 
 TARGET_PER_CELL = 4
 SAMPLE_PER_CELL_FACTOR = 2
+COARSE_FACTOR = 4
+COARSE_SAMPLE_FACTOR = 2
 HOT_ROWS = 20_000
-MAX_LEVELS = 4
-
-
-def _cells(cols: list[str], origin: list[float], w: float, prefix: str) -> list[Column]:
-    return [F.floor((F.col(c) - F.lit(o)) / F.lit(w)).cast("long").alias(f"{prefix}{j}") for j, (c, o) in enumerate(zip(cols, origin))]
+MAX_CELLS = 729
 
 
 def _names(prefix: str, d: int) -> list[str]:
     return [f"{prefix}{j}" for j in range(d)]
 
 
+def _cell(x: Column, o: float, w: float, cmax: int) -> Column:
+    """Cell index of ``x``, clamped to [0, cmax] in double space first so an
+    outlying query can never overflow the cast."""
+    v = (x - F.lit(o)) / F.lit(w)
+    return F.floor(F.least(F.greatest(v, F.lit(0.0)), F.lit(float(cmax)))).cast("long")
+
+
+def _cells(cols: list[str], origin: list[float], w: float, cmax: list[int], prefix: str) -> list[Column]:
+    return [_cell(F.col(c), o, w, cm).alias(f"{prefix}{j}") for j, (c, o, cm) in enumerate(zip(cols, origin, cmax))]
+
+
+def _cmax(origin: list[float], hi: list[float], w: float) -> list[int]:
+    return [int(math.floor((h - o) / w)) for o, h in zip(origin, hi)]
+
+
 def _dedupe(train: DataFrame, tcols: list[str], kk: int) -> DataFrame:
     """Keep the kk lowest train ids of every distinct point; exact, since a
     later copy of a point is tied in distance with kk earlier ones and the
-    lower ids rank first. Partial window limit runs before the shuffle."""
+    lower ids rank first."""
     w = Window.partitionBy(*tcols).orderBy(F.col(TRAIN_ID).asc())
     return train.withColumn("_dup", F.row_number().over(w)).where(F.col("_dup") <= kk).drop("_dup")
 
@@ -69,10 +97,7 @@ def _dedupe(train: DataFrame, tcols: list[str], kk: int) -> DataFrame:
 def plan_width(p: Prepared, kk: int) -> dict:
     """One pass over train: row count, bounding box and distinct points.
 
-    The width solves ``prod_j max(1, R_j / w) = N / (TARGET_PER_CELL * kk)``
-    (uniform density over the box). Where the data is denser than that,
-    hot cells are salted; where it is sparser, queries fall to the next
-    (coarser) level, so any width is correct and this one is only a start.
+    The width solves ``prod_j max(1, R_j / w) = N / (TARGET_PER_CELL * kk)``.
     """
     d = p.dim
     tc = p.tcols
@@ -90,7 +115,7 @@ def plan_width(p: Prepared, kk: int) -> dict:
     ranges = [max(h - l, 0.0) for l, h in zip(lo, hi)]
     n_cells = max(1.0, n / (TARGET_PER_CELL * kk))
     w = max(ranges) if max(ranges) > 0 else 1.0
-    for _ in range(200):
+    for _ in range(400):
         cells = 1.0
         for r in ranges:
             cells *= max(1.0, r / w)
@@ -102,8 +127,7 @@ def plan_width(p: Prepared, kk: int) -> dict:
 
 def _hot_cells(tcell: DataFrame, cnames: list[str], hot_rows: int) -> DataFrame:
     """(cells..., _salts) for cells with more than ``hot_rows`` train rows.
-
-    Size bound: at most N / hot_rows rows, so broadcasting it is safe."""
+    Size bound: at most N / hot_rows rows."""
     counts = tcell.groupBy(*cnames).agg(F.count(F.lit(1)).alias("_n"))
     return counts.where(F.col("_n") > hot_rows).select(
         *cnames, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")
@@ -124,147 +148,140 @@ def _replicate(df: DataFrame, hot: DataFrame, cnames: list[str]) -> DataFrame:
     return q.withColumn("_salt", F.explode(salts)).drop("_salts")
 
 
-def _bounds(p: Prepared, qcell: DataFrame, sample: DataFrame, k: int, cnames: list[str]) -> DataFrame:
-    """Phase 1: (query_id, q.., bound) for every query.
+def _sample(df: DataFrame, keys: list[str], m: int) -> DataFrame:
+    """At most ``m`` rows per key, chosen by a hash of train_id (stable)."""
+    w = Window.partitionBy(*keys).orderBy(brute.unit_hash(TRAIN_ID), F.col(TRAIN_ID))
+    return df.withColumn("_s", F.row_number().over(w)).where(F.col("_s") <= m).drop("_s")
 
-    ``bound`` is the k-th smallest distance to the sample of the query's own
-    cell (+inf with fewer than k). Each query meets at most ``m`` sample
-    rows, so the per-query list is bounded; the query rows themselves are
-    unioned in with a null distance, so every query comes out of the one
-    aggregate, features included, without a join back.
-    """
-    qc = p.qcols
-    pairs = qcell.join(sample, cnames, "inner")
-    if p.exclude_self:
-        pairs = pairs.where(F.col(QUERY_ID) != F.col(TRAIN_ID))
-    pairs = pairs.select(QUERY_ID, *qc, p.dist().alias(DIST))
-    selfrows = qcell.select(QUERY_ID, *qc, F.lit(None).cast("double").alias(DIST))
-    dists = F.sort_array(F.collect_list(F.when(brute.is_finite(DIST), F.col(DIST))))
-    agg = pairs.unionByName(selfrows).groupBy(QUERY_ID).agg(*[F.first(c, ignorenulls=True).alias(c) for c in qc], dists.alias("_d"))
-    bound = F.when(F.size("_d") >= k, F.element_at("_d", k)).otherwise(F.lit(float("inf")))
-    return agg.select(QUERY_ID, *qc, bound.alias("bound"))
+
+def _empty(p: Prepared) -> DataFrame:
+    sch = T.StructType(
+        [
+            T.StructField(QUERY_ID, p.queries.schema[QUERY_ID].dataType),
+            T.StructField(RANK, T.LongType()),
+            T.StructField(TRAIN_ID, p.train.schema[TRAIN_ID].dataType),
+            T.StructField(LABEL, p.train.schema[LABEL].dataType),
+            T.StructField(DIST, T.DoubleType()),
+        ]
+    )
+    return p.queries.sparkSession.createDataFrame([], sch)
 
 
-def _level(
+def knn_grid(
     p: Prepared,
-    queries: DataFrame,
-    train: DataFrame,
     k: int,
-    kk: int,
-    origin: list[float],
-    hi: list[float],
-    w: float,
-    max_cells: int,
-    checkpoint,
-) -> tuple[DataFrame, DataFrame]:
-    """One grid level: (neighbours of resolved queries, unresolved queries)."""
-    d = p.dim
-    tc, qc = p.tcols, p.qcols
-    cn = _names("_c", d)
-    cmax = [int(math.floor((h - o) / w)) for o, h in zip(origin, hi)]
-    tcell = train.select(TRAIN_ID, *tc, LABEL, *_cells(tc, origin, w, "_c"))
-    # own cell of each query, clamped into the occupied range
-    qown = [
-        F.floor(F.least(F.greatest((F.col(c) - F.lit(o)) / F.lit(w), F.lit(0.0)), F.lit(float(cm)))).cast("long").alias(f"_c{j}")
-        for j, (c, o, cm) in enumerate(zip(qc, origin, cmax))
-    ]
-    qcell = queries.select(QUERY_ID, *qc, *qown)
+    *,
+    broadcast_max_bytes: int,
+    parallelism: int = 8,
+    dedupe: bool | None = None,
+) -> DataFrame:
+    spark = p.queries.sparkSession
+    kk = k + (1 if p.exclude_self else 0)
+    plan = plan_width(p, kk)
+    log.info("grid plan %s", plan)
+    n_train = plan["n"]
+    if n_train == 0:
+        return _empty(p)
+    train = p.train
+    if dedupe is None:
+        dedupe = plan["distinct_points"] < 0.9 * n_train
+    if dedupe:
+        train = _dedupe(train, p.tcols, kk)
 
+    d, tc, qc = p.dim, p.tcols, p.qcols
+    origin, hi, w = plan["origin"], plan["hi"], plan["width"]
+    wc = w * COARSE_FACTOR
+    cmax, cmax_c = _cmax(origin, hi, w), _cmax(origin, hi, wc)
+    cn, kn = _names("_c", d), _names("_k", d)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    # 2. train, partitioned once by (cell, salt) and kept for both phases
+    tcell = train.select(TRAIN_ID, *tc, LABEL, *_cells(tc, origin, w, cmax, "_c"))
     hot = _hot_cells(tcell, cn, HOT_ROWS)
-    m = SAMPLE_PER_CELL_FACTOR * kk
-    ws = Window.partitionBy(*cn).orderBy(brute.unit_hash(TRAIN_ID), F.col(TRAIN_ID))
-    sample = tcell.withColumn("_s", F.row_number().over(ws)).where(F.col("_s") <= m).drop("_s")
-    # phase 1 is skewed on the query side (many queries, <= m sample rows
-    # per cell): split the queries of a hot cell, replicate its sample
-    q1 = _salt_rows(qcell, hot, cn, QUERY_ID)
-    s1 = _replicate(sample, hot, cn)
-    qb = _bounds(p, q1, s1, k, cn + ["_salt"])
+    tpart = _salt_rows(tcell, hot, cn, TRAIN_ID).repartition(n_parts, *cn, "_salt")
+    tpart = tpart.persist(StorageLevel.MEMORY_AND_DISK)
+
+    # 3. phase 1: bounds from the fine-cell and coarse-cell samples
+    fine = _sample(tpart, cn + ["_salt"], SAMPLE_PER_CELL_FACTOR * kk).select(TRAIN_ID, *tc, *cn, "_salt")
+    qfine = _salt_rows(p.queries.select(QUERY_ID, *qc, *_cells(qc, origin, w, cmax, "_c")), hot, cn, QUERY_ID)
+    fine = fine.select(TRAIN_ID, *tc, *cn, "_salt")
+    coarse = _sample(train.select(TRAIN_ID, *tc, *_cells(tc, origin, wc, cmax_c, "_k")), kn, COARSE_SAMPLE_FACTOR * kk)
+    coarse_rows = COARSE_SAMPLE_FACTOR * kk * math.prod(c + 1 for c in cmax_c)
+    if choose.row_bytes(2 * d + 2) * min(coarse_rows, n_train) <= broadcast_max_bytes:
+        coarse = F.broadcast(coarse)  # proven bound: cells in the box x m1
+    qcoarse = p.queries.select(QUERY_ID, *qc, *_cells(qc, origin, wc, cmax_c, "_k"))
+
+    def kth(pairs: DataFrame, tag: str) -> DataFrame:
+        """k best distances per query: the partial window limit runs in the
+        join's task, so only k rows per query reach the exchange."""
+        if p.exclude_self:
+            pairs = pairs.where(F.col(QUERY_ID) != F.col(TRAIN_ID))
+        pairs = pairs.select(QUERY_ID, TRAIN_ID, F.lit(None).alias(LABEL), p.dist().alias(DIST))
+        return brute.rank_neighbours(pairs, k).select(QUERY_ID, DIST, F.lit(tag).alias("_tag"))
+
+    nul = F.lit(None).cast("double")
+    own = p.queries.select(QUERY_ID, *qc, nul.alias(DIST), F.lit("q").alias("_tag"))
+    tops = kth(qfine.join(fine, cn + ["_salt"]), "f").unionByName(kth(qcoarse.join(coarse, kn), "c"))
+    tops = tops.select(QUERY_ID, *[nul.alias(c) for c in qc], DIST, "_tag")
+
+    def nth(tag: str):
+        hit = F.col("_tag") == F.lit(tag)
+        return F.count(F.when(hit, 1)), F.max(F.when(hit, F.col(DIST)))
+
+    (nf_, kf), (nc_, kc) = nth("f"), nth("c")
+    agg = own.unionByName(tops).groupBy(QUERY_ID).agg(
+        *[F.max(c).alias(c) for c in qc], nf_.alias("_nf"), kf.alias("_kf"), nc_.alias("_nc"), kc.alias("_kc")
+    )
+    bound = (
+        F.when(F.col("_nf") >= k, F.col("_kf"))
+        .when(F.col("_nc") >= k, F.col("_kc"))
+        .otherwise(F.lit(float("inf")))
+    )
+    qb = agg.select(QUERY_ID, *qc, bound.alias("bound"))
     finite = brute.is_finite("bound")
     ranges = []
     for j, (c, o, cm) in enumerate(zip(qc, origin, cmax)):
-        # clamp in double space before the cast, so a huge bound cannot overflow
-        def cell_of(x, cm=cm):
-            return F.floor(F.least(F.greatest(x, F.lit(-1.0)), F.lit(cm + 1.0))).cast("long")
-
-        lo_j = F.greatest(cell_of((F.col(c) - F.col("bound") - F.lit(o)) / F.lit(w)), F.lit(0).cast("long"))
-        hi_j = F.least(cell_of((F.col(c) + F.col("bound") - F.lit(o)) / F.lit(w)), F.lit(cm).cast("long"))
+        lo_j = _cell(F.col(c) - F.col("bound"), o, w, cm)
+        hi_j = _cell(F.col(c) + F.col("bound"), o, w, cm)
         ranges += [F.when(finite, lo_j).alias(f"_lo{j}"), F.when(finite, hi_j).alias(f"_hi{j}")]
     qb = qb.select(QUERY_ID, *qc, "bound", *ranges)
     ncell = F.lit(1).cast("long")
     for j in range(d):
         ncell = ncell * (F.col(f"_hi{j}") - F.col(f"_lo{j}") + 1)
-    qb = qb.withColumn("_ncell", F.when(finite, ncell))
-    qb = qb.withColumn("_ok", F.coalesce(F.col("_ncell") <= F.lit(max_cells), F.lit(False)))
+    qb = qb.withColumn("_ok", F.coalesce(F.when(finite, ncell) <= F.lit(MAX_CELLS), F.lit(False)))
     qb = checkpoint(qb)
 
-    resolved = qb.where(F.col("_ok"))
-    pending = qb.where(~F.col("_ok")).select(QUERY_ID, *qc)
-
-    qe = resolved
+    # 4. phase 2: enumerate the cells of each ball, join the kept train
+    qe = qb.where(F.col("_ok"))
     for j in range(d):
         qe = qe.withColumn(f"_c{j}", F.explode(F.sequence(F.col(f"_lo{j}"), F.col(f"_hi{j}"))))
-    qe = qe.select(QUERY_ID, *qc, "bound", *cn)
-    # phase 2: split the train rows of a hot cell, replicate its queries
-    pairs = _replicate(qe, hot, cn).join(_salt_rows(tcell, hot, cn, TRAIN_ID), cn + ["_salt"], "inner")
+    qe = _replicate(qe.select(QUERY_ID, *qc, "bound", *cn), hot, cn)
     cond = brute.within_bound(p)
     if p.exclude_self:
         cond = cond & (F.col(QUERY_ID) != F.col(TRAIN_ID))
-    pairs = pairs.where(cond).select(QUERY_ID, TRAIN_ID, LABEL, p.dist().alias(DIST))
-    return brute.rank_neighbours(pairs, k), pending
+    pairs = qe.join(tpart, cn + ["_salt"]).where(cond).select(QUERY_ID, TRAIN_ID, LABEL, p.dist().alias(DIST))
+    results = [brute.rank_neighbours(pairs, k)]
 
-
-def knn_grid(
-    p: Prepared,
-    k: int,
-    *,
-    broadcast_max_bytes: int,
-    parallelism: int = 8,
-    dedupe: bool | None = None,
-    max_levels: int = MAX_LEVELS,
-) -> DataFrame:
-    kk = k + (1 if p.exclude_self else 0)
-    plan = plan_width(p, kk)
-    n_train = plan["n"]
-    log.info("grid plan %s", plan)
-    train = p.train
-    if dedupe is None:
-        dedupe = plan["distinct_points"] < 0.9 * n_train
-    if dedupe:
-        train = _dedupe(train, p.tcols, kk)
-    max_cells = min(3 ** min(p.dim, 6), 729)
-
-    queries = p.queries
-    results = []
-    w = plan["width"]
-    for level in range(max_levels):
-        found, pending = _level(p, queries, train, k, kk, plan["origin"], plan["hi"], w, max_cells, checkpoint)
-        results.append(found)
-        n_pending = pending.count()
-        log.info("grid level width=%g pending=%d", w, n_pending)
-        if n_pending == 0:
-            queries = None
-            break
-        queries = pending
-        if choose.Sizes(n_pending, n_train, p.dim).query_bytes <= broadcast_max_bytes:
-            # few leftovers (sparse edge cells): stream train once against
-            # them instead of re-shuffling train at a coarser width
-            break
-        w *= 4.0
-    if queries is not None:
+    # 5. leftovers
+    pending = qb.where(~F.col("_ok")).select(QUERY_ID, *qc)
+    n_pending = pending.count()
+    log.info("grid pending=%d", n_pending)
+    if n_pending:
         from . import vectorized
 
-        rest = Prepared(queries, train, p.dim, p.exclude_self)
-        n_rest = queries.count()
-        if choose.Sizes(n_rest, n_train, p.dim).query_bytes <= broadcast_max_bytes:
-            results.append(vectorized.knn_vectorized(rest, k, n_queries=n_rest, parallelism=parallelism))
+        rest = Prepared(pending, train, d, p.exclude_self)
+        if choose.Sizes(n_pending, n_train, d).query_bytes <= broadcast_max_bytes:
+            results.append(vectorized.knn_vectorized(rest, k, n_queries=n_pending, parallelism=parallelism))
         else:
             results.append(
                 brute.knn_blocks(
                     rest, k, query_blocks=parallelism, train_blocks=parallelism, n_train=n_train,
-                    subset_rows=max(1, broadcast_max_bytes // choose.row_bytes(p.dim + 3)), parallelism=parallelism,
+                    subset_rows=max(1, broadcast_max_bytes // choose.row_bytes(d + 3)), parallelism=parallelism,
                 )
             )
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
+    out = checkpoint(out)
+    tpart.unpersist()
     return out
