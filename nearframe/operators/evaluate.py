@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shape import with_row_id
+
 TRUE = "true_label"
 PRED = "prediction"
 
@@ -29,22 +31,43 @@ def confusion_matrix(pred: DataFrame, form: str = "long", *, true_col: str = TRU
     if form == "long":
         return cells
     if form == "dense":
-        classes = (
-            pred.select(F.col(true_col).alias("c"))
-            .unionByName(pred.select(F.col(pred_col).alias("c")))
-            .where(F.col("c").isNotNull())
-            .distinct()
-        )
-        grid = classes.select(F.col("c").alias(TRUE)).crossJoin(classes.select(F.col("c").alias("predicted")))
-        return grid.join(cells, [TRUE, "predicted"], "left").select(
-            TRUE, "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")
-        )
+        return _dense(pred, cells, true_col, pred_col)
     if form == "wide":
         dense = confusion_matrix(pred, "dense", true_col=true_col, pred_col=pred_col)
         return dense.groupBy(TRUE).pivot("predicted").agg(F.sum("n")).na.fill(0)
     raise ValueError(f"unknown form {form!r}; use long, dense or wide")
 
 
+def _dense(pred: DataFrame, cells: DataFrame, true_col: str, pred_col: str) -> DataFrame:
+    """Every (true, predicted) cell over the union of classes, zeros kept.
+
+    The classes get contiguous indexes 0..C-1 (distributed ``with_row_id``),
+    the C*C grid is generated by ``range`` and mapped back to class values by
+    two equi-joins, then the observed counts are left-joined on. The class
+    table is broadcast only after its row count is known to fit.
+    """
+    from ..plans.choose import broadcast_limit, row_bytes
+
+    classes = (
+        pred.select(F.col(true_col).alias("c"))
+        .unionByName(pred.select(F.col(pred_col).alias("c")))
+        .where(F.col("c").isNotNull())
+        .distinct()
+    )
+    indexed = with_row_id(classes, "_i", order_by=["c"], start=0)
+    n = indexed.count()
+    if n * row_bytes(2) * 4 <= broadcast_limit(pred.sparkSession):  # labels may be strings: 4x slack
+        indexed = F.broadcast(indexed)
+    spark = pred.sparkSession
+    grid = spark.range(n * n).select((F.col("id") / n).cast("long").alias("_ti"), (F.col("id") % n).alias("_pi"))
+    t = indexed.select(F.col("_i").alias("_ti"), F.col("c").alias(TRUE))
+    pcls = indexed.select(F.col("_i").alias("_pi"), F.col("c").alias("predicted"))
+    named = grid.join(t, "_ti").join(pcls, "_pi").select(TRUE, "predicted")
+    return named.join(cells, [TRUE, "predicted"], "left").select(
+        TRUE, "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")
+    )
+
+
 def _correct(true_col: str, pred_col: str):
     return F.when(F.col(true_col) == F.col(pred_col), 1).otherwise(0)
 
@@ -57,16 +80,25 @@ def accuracy(pred: DataFrame, *, true_col: str = TRUE, pred_col: str = PRED) ->
     ).select(
         "n_correct",
         "n_test",
-        (F.lit(100.0) * F.col("n_correct") / F.col("n_test")).alias("accuracy"),
+        F.try_divide(F.lit(100.0) * F.col("n_correct"), F.col("n_test")).alias("accuracy"),
     )
 
 
 def evaluation_summary(pred: DataFrame, train: DataFrame, k: int, *, true_col: str = TRUE, pred_col: str = PRED) -> DataFrame:
     """SNK-3: one row (k, n_test, n_train, n_correct, accuracy): the summary
-    line of a classifier run, as a DataFrame. Both counts are aggregates,
-    joined as two one-row frames."""
-    acc = accuracy(pred, true_col=true_col, pred_col=pred_col)
-    ntr = train.agg(F.count(F.lit(1)).alias("n_train"))
-    return acc.crossJoin(ntr).select(
-        F.lit(k).cast("int").alias("k"), "n_test", "n_train", "n_correct", "accuracy"
+    line of a classifier run, as a DataFrame. Test and train rows are
+    counted in one aggregate over their union (no join)."""
+    tests = pred.select(F.lit(1).alias("_t"), _correct(true_col, pred_col).alias("_c"))
+    trains = train.select(F.lit(0).alias("_t"), F.lit(0).alias("_c"))
+    tot = tests.unionByName(trains).agg(
+        F.count(F.lit(1)).alias("_all"),
+        F.sum("_t").cast("long").alias("n_test"),
+        F.sum("_c").cast("long").alias("n_correct"),
+    )
+    return tot.select(
+        F.lit(k).cast("int").alias("k"),
+        F.coalesce(F.col("n_test"), F.lit(0)).alias("n_test"),
+        (F.col("_all") - F.coalesce(F.col("n_test"), F.lit(0))).alias("n_train"),
+        F.coalesce(F.col("n_correct"), F.lit(0)).alias("n_correct"),
+        F.try_divide(F.lit(100.0) * F.col("n_correct"), F.col("n_test")).alias("accuracy"),
     )
