@@ -12,7 +12,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Resolve the checkpoint folder from the session (``spark.checkpoint.dir``).
 
     On a cluster this must be a shared folder named by the cluster's
-    configuration; nothing here invents a machine-local one.
+    configuration; nothing here invents a machine-local one there. Only a
+    local-mode session without the setting (tests, a laptop) gets a fresh
+    temporary folder, since its executors share the driver's disk.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -20,7 +22,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        d = tempfile.mkdtemp(prefix="nearframe-ckpt-")
     sc.setCheckpointDir(d)
     return d
 
@@ -55,8 +59,5 @@ def local_session(cores: int | str = "*", app: str = "nearframe", shuffle_partit
         b = b.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", ev)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nearframe-ckpt-"))
-    else:
-        ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark)
     return spark
