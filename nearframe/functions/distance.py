@@ -21,12 +21,23 @@ def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def squared_euclidean(a: Sequence[ColumnLike], b: Sequence[ColumnLike]) -> Column:
     """sum_j (a_j - b_j)^2 over equally long lists of scalar columns."""
     if len(a) != len(b):
         raise ValueError(f"dimension mismatch: {len(a)} vs {len(b)}")
     if not a:
         raise ValueError("at least one feature is required")
+    if all(isinstance(c, str) for c in list(a) + list(b)):
+        # Named columns: one SQL expression, parsed once by the JVM, instead of
+        # four gateway calls per dimension. ``+`` is left-associative, so the
+        # summation order is the same as below.
+        sq = [f"(({quote(x)} - {quote(y)}) * ({quote(x)} - {quote(y)}))" for x, y in zip(a, b)]
+        return F.expr(" + ".join(sq))
     terms = []
     for x, y in zip(a, b):
         diff = _col(x) - _col(y)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .distance import all_finite, is_finite
+from .distance import all_finite, quote
 
 FeatureSpec = str | Sequence[str]
 
@@ -68,9 +68,12 @@ def with_features(df: DataFrame, keep: list[Column], features: FeatureSpec, pref
         vec = f"__{prefix}vec"
         staged = df.select(*keep, checked_vector(df, features, dim).alias(vec))
         kept = [c for c in staged.columns if c != vec]
-        elems = [F.get(F.col(vec), i).cast("double").alias(f"{prefix}{i}") for i in range(dim)]
-        ok = F.coalesce(F.forall(F.col(vec), lambda x: is_finite(x.cast("double"))), F.lit(False))
-        return staged.select(*kept, *elems, ok.alias(VALID))
+        # SQL text: one parse on the JVM instead of gateway calls per element
+        v = quote(vec)
+        elems = [f"CAST(get({v}, {i}) AS DOUBLE) AS {quote(prefix + str(i))}" for i in range(dim)]
+        fin = "CAST(x AS DOUBLE) > CAST('-Infinity' AS DOUBLE) AND CAST(x AS DOUBLE) < CAST('Infinity' AS DOUBLE)"
+        ok = f"coalesce(forall({v}, x -> {fin}), false) AS {quote(VALID)}"
+        return staged.selectExpr(*[quote(c) for c in kept], *elems, ok)
     cols = feature_columns(df, features, prefix, dim)
     names_ = [features] if isinstance(features, str) else list(features)
     return df.select(*keep, *cols, all_finite([F.col(c).cast("double") for c in names_]).alias(VALID))

@@ -107,9 +107,7 @@ def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str) ->
         # the grid counts train in its own planning pass and replicates
         # nothing whose size it has not checked
         return "grid", replicate, None
-    n_q = p.queries.count()
-    n_t = p.train.count()
-    sizes = choose.Sizes(n_q, n_t, p.dim)
+    sizes = choose.count_sides(p.queries, p.train, p.dim)
     if strategy == "auto":
         strategy, replicate = choose.choose(sizes, limit)
     if strategy == "vectorized" and replicate == "train":

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed defaults (override per call or with the session keys below).
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
@@ -50,6 +51,17 @@ class Sizes:
         return self.n_train * row_bytes(self.dim + 3)
 
 
+def count_sides(queries: DataFrame, train: DataFrame, dim: int) -> Sizes:
+    """Row counts of both prepared sides in one job (one aggregate over the
+    union of two one-column projections; partial counts before the exchange)."""
+    side = F.col("_s")
+    both = queries.select(F.lit(0).alias("_s")).unionByName(train.select(F.lit(1).alias("_s")))
+    row = both.agg(
+        F.count(F.when(side == 0, 1)).alias("q"), F.count(F.when(side == 1, 1)).alias("t")
+    ).first()
+    return Sizes(int(row["q"]), int(row["t"]), dim)
+
+
 def choose(sizes: Sizes, limit: int) -> tuple[str, str]:
     """(strategy, replicated side). Never a cross join on ``auto``:
 

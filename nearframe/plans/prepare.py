@@ -61,7 +61,8 @@ def prepare(
     train_id = train_id or query_id
     train_features = features if train_features is None else train_features
     dq = feature_width(queries, features, dim)
-    dt = feature_width(train, train_features, dim if dim is not None else None)
+    same = train is queries and train_features == features
+    dt = dq if same else feature_width(train, train_features, dim)
     if dq != dt:
         raise ValueError(f"query width {dq} differs from train width {dt}")
     q = with_features(queries, [F.col(query_id).alias(QUERY_ID)], features, "q", dq)
