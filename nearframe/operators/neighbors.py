@@ -102,14 +102,16 @@ def merge_top_k(partials: DataFrame | Sequence[DataFrame], k: int) -> DataFrame:
     return brute.rank_neighbours(allp.select(*cols), k)
 
 
-def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str) -> tuple[str, str, choose.Sizes | None]:
-    if strategy == "grid" or (strategy == "auto" and p.dim <= choose.GRID_MAX_DIM):
+def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str, cores: int) -> tuple[str, str, choose.Sizes | None]:
+    if strategy == "grid":
         # the grid counts train in its own planning pass and replicates
         # nothing whose size it has not checked
         return "grid", replicate, None
     sizes = choose.count_sides(p.queries, p.train, p.dim)
     if strategy == "auto":
-        strategy, replicate = choose.choose(sizes, limit)
+        strategy, replicate = choose.choose(sizes, limit, cores)
+        if strategy == "grid":
+            return "grid", replicate, None
     if strategy == "vectorized" and replicate == "train":
         if sizes.train_bytes > limit:
             raise ValueError(f"train side ({sizes.train_bytes} bytes) exceeds the broadcast limit ({limit})")
@@ -132,7 +134,7 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
     limit = choose.broadcast_limit(spark, broadcast_max_bytes)
     par = opts.pop("parallelism", None) or choose.parallelism(spark)
     replicate = opts.pop("replicate", "queries")
-    strategy, replicate, sizes = _resolve(p, k, strategy, limit, replicate)
+    strategy, replicate, sizes = _resolve(p, k, strategy, limit, replicate, par)
     if strategy == "broadcast":
         return brute.knn_broadcast(p, k, replicate="queries", parallelism=par)
     if strategy == "broadcast_train":

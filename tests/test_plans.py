@@ -46,3 +46,19 @@ def test_scan_prunes_columns(spark):
     txt = plan(p.train)
     read = [line for line in txt.splitlines() if line.startswith("ReadSchema")]
     assert read and "l_shipdate" not in read[0] and "l_tax" in read[0]
+
+
+def test_auto_choice_follows_checked_sizes():
+    from nearframe.plans.choose import Sizes, choose
+
+    limit = 128 << 20
+    # small low-dimensional problem: brute force, smaller side replicated
+    assert choose(Sizes(20_000, 20_000, 2), limit, 8) == ("vectorized", "train")
+    assert choose(Sizes(20_000, 1_000, 2), limit, 8) == ("vectorized", "train")
+    assert choose(Sizes(1_000, 20_000, 2), limit, 8) == ("vectorized", "queries")
+    # large low-dimensional problem: grid, whatever fits
+    assert choose(Sizes(600_000, 600_000, 4), limit, 8)[0] == "grid"
+    assert choose(Sizes(10**9, 10**9, 4), limit, 1000)[0] == "grid"
+    # wide vectors: replicate what fits, else tiles
+    assert choose(Sizes(10**5, 10**9, 64), limit, 1000) == ("vectorized", "queries")
+    assert choose(Sizes(10**9, 10**9, 64), limit, 1000) == ("blocks", "queries")
