@@ -169,6 +169,12 @@ def q_knn_join_embeddings_lay2(spark, sf_dir):
     )
 
 
+def q_knn_join_embeddings_blocks(spark, sf_dir):
+    """LAY-3: both sides split into blocks, tiles formed by an equi-join on
+    block ids (the plan used when neither side passes the size check)."""
+    return _nb_embeddings(spark, sf_dir, strategy="blocks")
+
+
 def q_knn_join_lineitem(spark, sf_dir):
     return _nb_lineitem(spark, sf_dir, strategy="grid")
 
@@ -265,6 +271,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_partial_topk": q_merge_partial_topk,
     "knn_join_embeddings": q_knn_join_embeddings,
     "knn_join_embeddings_lay2": q_knn_join_embeddings_lay2,
+    "knn_join_embeddings_blocks": q_knn_join_embeddings_blocks,
     "knn_join_lineitem": q_knn_join_lineitem,
     "knn_join_part_grid": q_knn_join_part_grid,
     "neighbour_labels": q_neighbour_labels,
@@ -428,6 +435,7 @@ def oracle_sql() -> dict[str, str]:
         "merge_partial_topk": _part_nb(["p_size", "p_retailprice"]),
         "knn_join_embeddings": _emb_nb(),
         "knn_join_embeddings_lay2": _emb_nb(),
+        "knn_join_embeddings_blocks": _emb_nb(),
         "knn_join_lineitem": _li_nb(),
         "knn_join_part_grid": _part_nb(["p_size", "p_retailprice"]),
         "neighbour_labels": _emb_nb(),

@@ -6,7 +6,7 @@ S2 ``bounded``    a hash-chosen train subset gives each query an exact upper
                   bound on its k-th distance; pairs above the bound are dropped
                   before anything is sorted.
 S4 ``blocks``     neither side fits a broadcast: both sides are hash-split into
-                  blocks and paired tile by tile (CartesianProduct).
+                  blocks and paired tile by tile (equi-join on block ids).
 
 All three end in ``rank_neighbours``: ``row_number`` over ``(dist, train_id)``
 with ``rank <= k``, which Spark plans as WindowGroupLimit(Partial) ->
@@ -145,6 +145,14 @@ def knn_bounded(
     return rank_neighbours(pairs.select(QUERY_ID, TRAIN_ID, LABEL, p.dist().alias(DIST)), k)
 
 
+def _block(c: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
+
+
+def _every(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+
 def knn_blocks(
     p: Prepared,
     k: int,
@@ -155,9 +163,12 @@ def knn_blocks(
     subset_rows: int | None = None,
     parallelism: int = 8,
 ) -> DataFrame:
-    """S4 / LAY-3: both sides hash-split into blocks, tiles paired by a
-    CartesianProduct (``query_blocks * train_blocks`` tasks), each tile
-    reduced to a partial top-k before the one exchange on query_id.
+    """S4 / LAY-3: both sides hash-split into blocks and tiles formed by an
+    equi-join on (query block, train block): every query row is copied once
+    per train block and every train row once per query block, so a tile is
+    one join key. Each tile is filtered by the bound and reduced to a partial
+    top-k in its task before the one exchange on query_id. Shuffle volume is
+    ``Q * train_blocks + N * query_blocks`` rows.
 
     The S2 bound rides along with each query row when its subset fits a
     broadcast (``subset_rows``), so pruned pairs are never sorted.
@@ -174,10 +185,10 @@ def knn_blocks(
         q = q.join(bounds, QUERY_ID, "left").fillna({"bound": float("inf")})
     else:
         q = q.withColumn("bound", F.lit(float("inf")))
-    qs = q.repartition(query_blocks)
-    ts = p.train.repartition(train_blocks)
+    qs = q.withColumn("_qb", _block(QUERY_ID, query_blocks)).withColumn("_tb", _every(train_blocks))
+    ts = p.train.withColumn("_tb", _block(TRAIN_ID, train_blocks)).withColumn("_qb", _every(query_blocks))
     cond = within_bound(p)
     if p.exclude_self:
         cond = cond & (F.col(QUERY_ID) != F.col(TRAIN_ID))
-    pairs = ts.hint("shuffle_replicate_nl").join(qs, cond, "inner")
+    pairs = ts.join(qs, ["_qb", "_tb"]).where(cond)
     return rank_neighbours(pairs.select(QUERY_ID, TRAIN_ID, LABEL, p.dist().alias(DIST)), k)
