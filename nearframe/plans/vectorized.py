@@ -27,6 +27,7 @@ from .brute import rank_neighbours, spread
 from .prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared
 
 _BLOCK_ELEMS = 4_000_000
+_CACHE_ELEMS = 32_768
 
 # Ship this module's helpers with the task closure, so executors need no
 # installed copy of the package.
@@ -34,20 +35,44 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def squared_block(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
-    """(nq, nb) squared distances, summed dimension by dimension in order."""
-    acc = np.zeros((Q.shape[0], X.shape[0]), dtype=np.float64)
-    for j in range(Q.shape[1]):
-        diff = Q[:, j][:, None] - X[:, j][None, :]
-        acc += diff * diff
-    return acc
+    """(nq, nb) squared distances, summed dimension by dimension in order.
+
+    Query rows are taken in tiles of about ``_CACHE_ELEMS`` entries, so each
+    tile's running sum stays in cache across the dimensions; the first
+    square is stored directly, the same double as ``0.0 + square``.
+    """
+    nq, nb, d = Q.shape[0], X.shape[0], Q.shape[1]
+    out = np.empty((nq, nb), dtype=np.float64)
+    XT = np.ascontiguousarray(X.T)
+    rows = max(1, _CACHE_ELEMS // max(1, nb))
+    tmp = np.empty((min(rows, nq), nb), dtype=np.float64)
+    for a in range(0, nq, rows):
+        acc = out[a : a + rows]
+        t = tmp[: acc.shape[0]]
+        for j in range(d):
+            dst = acc if j == 0 else t
+            np.subtract(Q[a : a + rows, j : j + 1], XT[j][None, :], out=dst)
+            np.multiply(dst, dst, out=dst)
+            if j:
+                acc += t
+    return out
+
+
+def root_block(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
+    """(nq, nb) Euclidean distances, square root taken in place."""
+    acc = squared_block(Q, X)
+    return np.sqrt(acc, out=acc)
 
 
 class RunningTopK:
     """k best (dist, train_id) per query, exact under ties.
 
-    Each step keeps, from the new block, only entries at or below that row's
-    k-th smallest block distance (all ties kept), merges them with the
-    current k, sorts by (query, dist, train_id) and cuts at k.
+    Each step keeps from the new block only entries that beat the row's
+    current k-th by (dist, train_id). When many pass (the first block), each
+    row is cut to its own k best in the block: the entries below the row's
+    k-th smallest distance, plus the first entries equal to it in train-id
+    order (the block is sorted by train id), enough to make k. The survivors
+    merge with the current k, sorted by (query, dist, train_id), cut at k.
     """
 
     def __init__(self, n_queries: int, k: int, id_dtype, label_dtype):
@@ -59,12 +84,24 @@ class RunningTopK:
     def push(self, D: np.ndarray, tid: np.ndarray, lab: np.ndarray) -> None:
         nq, nb = D.shape
         k = self.k
-        if nb > k:
-            kth = np.partition(D, k - 1, axis=1)[:, k - 1]
-            mask = D <= kth[:, None]
-        else:
-            mask = np.ones(D.shape, dtype=bool)
-        mask &= np.isfinite(D)
+        if nb > 1 and np.any(tid[1:] < tid[:-1]):
+            o = np.argsort(tid, kind="stable")
+            D, tid, lab = D[:, o], tid[o], lab[o]
+        # Only entries that beat the current k-th by (dist, train_id) can
+        # enter; NaN and infinity never pass. Once a query's list is full,
+        # this is two comparisons and no selection.
+        bd = self.d[:, k - 1][:, None]
+        bi = self.i[:, k - 1][:, None]
+        mask = (D < bd) | ((D == bd) & np.isfinite(bd) & (tid[None, :] < bi))
+        if nb > k and np.count_nonzero(mask) > 4 * k * nq:
+            # many candidates (first block, or a block better than the list):
+            # cut each row to its k best within the block, ties by train id
+            Dm = np.where(mask, D, np.inf)
+            kth = np.partition(Dm, k - 1, axis=1)[:, k - 1]
+            less = Dm < kth[:, None]
+            eq = (Dm == kth[:, None]) & mask
+            need = k - less.sum(axis=1, dtype=np.int32)
+            mask = less | (eq & (np.cumsum(eq, axis=1, dtype=np.int32) <= need[:, None]))
         r, c = np.nonzero(mask)
         cur = np.isfinite(self.d)
         cr, cc = np.nonzero(cur)
@@ -128,6 +165,7 @@ def knn_vectorized(p: Prepared, k: int, *, n_queries: int, parallelism: int = 8,
         for pdf in batches:
             if pdf.empty:
                 continue
+            pdf = pdf.sort_values(TRAIN_ID, kind="stable")
             X = pdf[tcols].to_numpy(dtype=np.float64)
             tid = pdf[TRAIN_ID].to_numpy()
             lab = pdf[LABEL].to_numpy()
@@ -138,7 +176,7 @@ def knn_vectorized(p: Prepared, k: int, *, n_queries: int, parallelism: int = 8,
                 Xs, ts, ls = X[s : s + step], tid[s : s + step], lab[s : s + step]
                 # rank on the rooted distance: two squares can round to one
                 # root, and then the train id must decide, as in SQL
-                D = np.sqrt(squared_block(Q_, Xs))
+                D = root_block(Q_, Xs)
                 if exclude_self:
                     D[qids_[:, None] == ts[None, :]] = np.inf
                 state.push(D, ts, ls)
@@ -153,7 +191,7 @@ def _knn_replicated_train(p: Prepared, k: int, *, parallelism: int = 8) -> DataF
     spark = p.queries.sparkSession
     schema = _schema(p, with_rank=True)
     # Train goes to the driver once; its size was checked by the caller.
-    tpdf = p.train.toPandas()
+    tpdf = p.train.toPandas().sort_values(TRAIN_ID, kind="stable")
     tids = tpdf[TRAIN_ID].to_numpy()
     labs = tpdf[LABEL].to_numpy()
     X = tpdf[p.tcols].to_numpy(dtype=np.float64)
@@ -172,7 +210,7 @@ def _knn_replicated_train(p: Prepared, k: int, *, parallelism: int = 8) -> DataF
             step = max(1, _BLOCK_ELEMS // max(1, len(qids)))
             for s in range(0, len(X_), step):
                 ts, ls = tids_[s : s + step], labs_[s : s + step]
-                D = np.sqrt(squared_block(Q, X_[s : s + step]))
+                D = root_block(Q, X_[s : s + step])
                 if exclude_self:
                     D[qids[:, None] == ts[None, :]] = np.inf
                 state.push(D, ts, ls)

@@ -212,3 +212,28 @@ def test_pairwise_distances(spark):
     assert got == [(2, 5.0), (3, 1.0)]
     sq = sorted(r.sq_dist for r in nf.pairwise_distances(q, t, ["f0", "f1"], squared=True).collect())
     assert sq == [1.0, 25.0]
+
+
+def test_running_top_k_exact_under_heavy_ties_and_any_split():
+    """S3 state: equals a full (dist, train_id) sort for integer grids with
+    many ties, unsorted ids, NaN rows and random batch boundaries."""
+    from nearframe.plans.vectorized import squared_block
+
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        nq, n, d, k = rng.integers(1, 20), rng.integers(1, 120), rng.integers(1, 3), int(rng.integers(1, 6))
+        Q = rng.integers(0, 4, size=(nq, d)).astype(float)
+        X = rng.integers(0, 4, size=(n, d)).astype(float)
+        X[rng.integers(0, n)] = np.nan
+        tid = rng.permutation(n * 3)[:n].astype(np.int64)
+        lab = rng.integers(0, 5, size=n)
+        D = np.sqrt(squared_block(Q, X))
+        st = RunningTopK(nq, k, tid.dtype, lab.dtype)
+        cuts = [0, *np.sort(rng.integers(0, n + 1, size=rng.integers(0, 4))), n]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b > a:
+                st.push(D[:, a:b], tid[a:b], lab[a:b])
+        for qi in range(nq):
+            want = sorted((D[qi, j], tid[j]) for j in range(n) if np.isfinite(D[qi, j]))[:k]
+            got = [(st.d[qi, c], st.i[qi, c]) for c in range(k) if np.isfinite(st.d[qi, c])]
+            assert got == want
