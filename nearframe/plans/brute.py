@@ -170,18 +170,26 @@ def knn_blocks(
     top-k in its task before the one exchange on query_id. Shuffle volume is
     ``Q * train_blocks + N * query_blocks`` rows.
 
-    The S2 bound rides along with each query row when its subset fits a
-    broadcast (``subset_rows``), so pruned pairs are never sorted.
+    The S2 bound rides along with each query row: the k-th distance to a
+    hash subset of train, scored by the vectorized kernel with that subset
+    replicated once its count proves it within ``subset_rows``; otherwise
+    the bound is infinite (no pruning, same result).
     """
     q = p.queries
+    bounds = None
     if subset_rows:
         frac = subset_fraction(n_train, k, max_rows=subset_rows)
         subset = p.train.where(unit_hash(TRAIN_ID) < frac)
-        sub = Prepared(q, subset, p.dim, p.exclude_self)
-        top = rank_neighbours(broadcast_pairs(sub, replicate="train", parallelism=parallelism), k)
-        bounds = top.groupBy(QUERY_ID).agg(F.count(F.lit(1)).alias("_n"), F.max(DIST).alias("_kth")).select(
-            QUERY_ID, F.when(F.col("_n") >= k, F.col("_kth")).otherwise(F.lit(float("inf"))).alias("bound")
-        )
+        # the hash subset is counted before it is replicated: a proven size
+        if subset.count() <= subset_rows:
+            from .vectorized import knn_vectorized
+
+            sub = Prepared(q, subset, p.dim, p.exclude_self)
+            top = knn_vectorized(sub, k, n_queries=0, parallelism=parallelism, replicate="train")
+            bounds = top.groupBy(QUERY_ID).agg(F.count(F.lit(1)).alias("_n"), F.max(DIST).alias("_kth")).select(
+                QUERY_ID, F.when(F.col("_n") >= k, F.col("_kth")).otherwise(F.lit(float("inf"))).alias("bound")
+            )
+    if bounds is not None:
         q = q.join(bounds, QUERY_ID, "left").fillna({"bound": float("inf")})
     else:
         q = q.withColumn("bound", F.lit(float("inf")))

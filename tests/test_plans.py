@@ -62,3 +62,13 @@ def test_auto_choice_follows_checked_sizes():
     # wide vectors: replicate what fits, else tiles
     assert choose(Sizes(10**5, 10**9, 64), limit, 1000) == ("vectorized", "queries")
     assert choose(Sizes(10**9, 10**9, 64), limit, 1000) == ("blocks", "queries")
+
+
+def test_blocks_plan_is_equi_join_without_nested_loops(spark):
+    """LAY-3: tiles by equi-join on block ids; the bound pass is the
+    vectorized kernel over a counted subset, not a nested-loop join."""
+    e = spark.read.parquet(f"{SF}/embeddings.parquet")
+    nb = nf.knn_join(e, e, "embedding", 3, query_id="vec_id", exclude_self=True, strategy="blocks")
+    txt = plan(nb)
+    assert "CartesianProduct" not in txt and "NestedLoopJoin" not in txt
+    assert "_qb" in txt and "_tb" in txt
