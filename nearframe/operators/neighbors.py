@@ -143,8 +143,10 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
         return brute.knn_bounded(p, k, n_train=sizes.n_train, parallelism=par)
     if strategy == "blocks":
         sub_rows = max(1, limit // choose.row_bytes(p.dim + 3))
-        qb = opts.get("query_blocks") or max(1, min(par, sizes.n_queries // 1000 + 1))
-        tb = opts.get("train_blocks") or max(1, par)
+        # blocks sized by bytes: each side's block is about the broadcast
+        # limit, so a tile fits one task's memory at any input size
+        qb = opts.get("query_blocks") or max(1, -(-sizes.query_bytes // limit))
+        tb = opts.get("train_blocks") or max(1, -(-sizes.train_bytes // limit), min(par, sizes.n_train))
         return brute.knn_blocks(
             p, k, query_blocks=qb, train_blocks=tb, n_train=sizes.n_train, subset_rows=sub_rows, parallelism=par
         )
