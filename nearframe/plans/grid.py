@@ -10,8 +10,8 @@ aggregate, and train is shuffled once:
    under uniform density (``kk = k``, plus one when a query's own row is
    excluded). Any width is correct; it only moves work between the phases.
 2. **Train, once.** Train rows get their cell; rows of hot cells (more than
-   ``HOT_ROWS``; at most N / HOT_ROWS such cells, so that table has a proven
-   size bound and is broadcast) get a salt from a hash of train_id. Train is
+   ``HOT_ROWS``; that small table is checkpointed and counted, and broadcast
+   only when the count fits the limit) get a salt from a hash of train_id. Train is
    hash-partitioned by (cell, salt) a single time and kept; both phases
    below join on exactly those keys, so neither shuffles train again.
 3. **Bound (phase 1).** Each query meets a bounded sample of train:
@@ -126,8 +126,9 @@ def plan_width(p: Prepared, kk: int) -> dict:
 
 
 def _hot_cells(tcell: DataFrame, cnames: list[str], hot_rows: int) -> DataFrame:
-    """(cells..., _salts) for cells with more than ``hot_rows`` train rows.
-    Size bound: at most N / hot_rows rows."""
+    """(cells..., _salts) for cells with more than ``hot_rows`` train rows
+    (at most N / hot_rows of them; the caller counts them before choosing
+    to broadcast)."""
     counts = tcell.groupBy(*cnames).agg(F.count(F.lit(1)).alias("_n"))
     return counts.where(F.col("_n") > hot_rows).select(
         *cnames, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")
@@ -135,15 +136,16 @@ def _hot_cells(tcell: DataFrame, cnames: list[str], hot_rows: int) -> DataFrame:
 
 
 def _salt_rows(df: DataFrame, hot: DataFrame, cnames: list[str], key: str) -> DataFrame:
-    """Split the rows of each hot cell into ``_salts`` parts by a hash of ``key``."""
-    t = df.join(F.broadcast(hot), cnames, "left")
+    """Split the rows of each hot cell into ``_salts`` parts by a hash of ``key``.
+    ``hot`` arrives already marked for broadcast when its count allowed it."""
+    t = df.join(hot, cnames, "left")
     salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(key), F.col("_salts")))
     return t.withColumn("_salt", salt.cast("int")).drop("_salts")
 
 
 def _replicate(df: DataFrame, hot: DataFrame, cnames: list[str]) -> DataFrame:
     """Copy the rows of each hot cell once per salt (others get salt 0)."""
-    q = df.join(F.broadcast(hot), cnames, "left")
+    q = df.join(hot, cnames, "left")
     salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     return q.withColumn("_salt", F.explode(salts)).drop("_salts")
 
@@ -197,7 +199,11 @@ def knn_grid(
 
     # 2. train, partitioned once by (cell, salt) and kept for both phases
     tcell = train.select(TRAIN_ID, *tc, LABEL, *_cells(tc, origin, w, cmax, "_c"))
-    hot = _hot_cells(tcell, cn, HOT_ROWS)
+    # hot cells: computed once (checkpoint), counted, broadcast only when
+    # the count fits the limit; otherwise the salt lookup is a shuffle join
+    hot = checkpoint(_hot_cells(tcell, cn, HOT_ROWS))
+    if hot.count() * choose.row_bytes(d + 1) <= broadcast_max_bytes:
+        hot = F.broadcast(hot)
     tpart = _salt_rows(tcell, hot, cn, TRAIN_ID).repartition(n_parts, *cn, "_salt")
     tpart = tpart.persist(StorageLevel.MEMORY_AND_DISK)
 

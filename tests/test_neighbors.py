@@ -161,6 +161,20 @@ def test_hot_cell_is_salted(spark, monkeypatch):
     assert got == brute([(i, a, b) for i, a, b, _ in data], data, 3, exclude_self=True)
 
 
+def test_hot_cells_without_broadcast(spark, monkeypatch):
+    """Same skew with a byte limit too small for any broadcast: the hot-cell
+    lookup and the coarse sample go through shuffle joins, same answer."""
+    import nearframe.plans.grid as G
+
+    monkeypatch.setattr(G, "HOT_ROWS", 20)
+    rnd = random.Random(9)
+    data = [(i, rnd.uniform(0, 0.01), rnd.uniform(0, 0.01), rnd.randrange(3)) for i in range(100)]
+    data += [(100 + i, rnd.uniform(-50, 50), rnd.uniform(-50, 50), rnd.randrange(3)) for i in range(200)]
+    df = points(spark, data)
+    nb = nf.knn_join(df, df, ["f0", "f1"], 3, exclude_self=True, strategy="grid", broadcast_max_bytes=1)
+    assert rows(nb) == brute([(i, a, b) for i, a, b, _ in data], data, 3, exclude_self=True)
+
+
 def test_exact_duplicates_collapse(spark):
     """One point holding most rows: duplicates beyond the kk lowest ids are
     dropped before the search and the result is still exact."""
