@@ -10,8 +10,8 @@ aggregate, and train is shuffled once:
    under uniform density (``kk = k``, plus one when a query's own row is
    excluded). Any width is correct; it only moves work between the phases.
 2. **Train, once.** Train rows get their cell; rows of hot cells (more than
-   ``HOT_ROWS``; that small table is checkpointed and counted, and broadcast
-   only when the count fits the limit) get a salt from a hash of train_id. Train is
+   ``HOT_ROWS``; that small table is kept and counted, and broadcast only
+   when the count fits the limit) get a salt from a hash of train_id. Train is
    hash-partitioned by (cell, salt) a single time and kept; both phases
    below join on exactly those keys, so neither shuffles train again.
 3. **Bound (phase 1).** Each query meets a bounded sample of train:
@@ -199,11 +199,12 @@ def knn_grid(
 
     # 2. train, partitioned once by (cell, salt) and kept for both phases
     tcell = train.select(TRAIN_ID, *tc, LABEL, *_cells(tc, origin, w, cmax, "_c"))
-    # hot cells: computed once (checkpoint), counted, broadcast only when
-    # the count fits the limit; otherwise the salt lookup is a shuffle join
-    hot = checkpoint(_hot_cells(tcell, cn, HOT_ROWS))
-    if hot.count() * choose.row_bytes(d + 1) <= broadcast_max_bytes:
-        hot = F.broadcast(hot)
+    # hot cells: a small deterministic aggregate, kept and counted once;
+    # broadcast only when the count fits the limit, else a shuffle join
+    hot_kept = _hot_cells(tcell, cn, HOT_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
+    hot = hot_kept
+    if hot_kept.count() * choose.row_bytes(d + 1) <= broadcast_max_bytes:
+        hot = F.broadcast(hot_kept)
     tpart = _salt_rows(tcell, hot, cn, TRAIN_ID).repartition(n_parts, *cn, "_salt")
     tpart = tpart.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -290,4 +291,5 @@ def knn_grid(
         out = out.unionByName(r)
     out = checkpoint(out)
     tpart.unpersist()
+    hot_kept.unpersist()
     return out
