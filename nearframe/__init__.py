@@ -26,6 +26,15 @@ from .operators.neighbors import (
 )
 from .operators.vote import majority_vote, vote_counts
 from .plans.classify import knn_classify
+from .sources import (
+    read_points_arff,
+    read_points_csv,
+    read_points_text,
+    read_predictions,
+    write_points_arff,
+    write_points_text,
+    write_predictions,
+)
 
 __all__ = [
     "euclidean",
@@ -43,4 +52,11 @@ __all__ = [
     "accuracy",
     "evaluation_summary",
     "knn_classify",
+    "read_points_csv",
+    "read_points_text",
+    "read_points_arff",
+    "write_predictions",
+    "read_predictions",
+    "write_points_text",
+    "write_points_arff",
 ]
