@@ -76,3 +76,43 @@ def test_predictions_csv_and_ordered_tsv(spark, tmp):
             with open(os.path.join(folder, name)) as f:
                 lines += f.read().splitlines()
     assert [int(x.split("\t")[0]) for x in lines] == list(range(1, 101))
+
+
+class _Conf(dict):
+    def get(self, key, default=None):
+        return dict.get(self, key, default)
+
+
+class _Ctx:
+    def __init__(self, master, current=None):
+        self.master, self.current, self.set_to = master, current, None
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def setCheckpointDir(self, d):
+        self.set_to = d
+
+
+class _Session:
+    def __init__(self, master, conf=None, current=None):
+        self.sparkContext = _Ctx(master, current)
+        self.conf = _Conf(conf or {})
+
+
+def test_checkpoint_dir_comes_from_the_session():
+    from nearframe.session import ensure_checkpoint_dir
+
+    s = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ckpt"})
+    assert ensure_checkpoint_dir(s) == "hdfs:///shared/ckpt" and s.sparkContext.set_to == "hdfs:///shared/ckpt"
+    s = _Session("yarn", current="hdfs:///already")
+    assert ensure_checkpoint_dir(s) == "hdfs:///already" and s.sparkContext.set_to is None
+
+
+def test_no_machine_local_checkpoint_folder_on_a_cluster():
+    from nearframe.session import ensure_checkpoint_dir
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session("spark://master:7077"))
+    local = _Session("local[4]")
+    assert ensure_checkpoint_dir(local) == local.sparkContext.set_to
