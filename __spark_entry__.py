@@ -221,6 +221,11 @@ def q_confusion_matrix_dense(spark, sf_dir):
     return nf.confusion_matrix(_classify_embeddings(spark, sf_dir), "dense")
 
 
+def q_confusion_matrix_wide(spark, sf_dir):
+    """AGG-4 wide form: one row per true class, one column per predicted class."""
+    return nf.confusion_matrix(_classify_embeddings(spark, sf_dir), "wide")
+
+
 def q_accuracy(spark, sf_dir):
     return nf.accuracy(_classify_embeddings(spark, sf_dir))
 
@@ -283,6 +288,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_classify_lineitem": q_knn_classify_lineitem,
     "confusion_matrix_long": q_confusion_matrix_long,
     "confusion_matrix_dense": q_confusion_matrix_dense,
+    "confusion_matrix_wide": q_confusion_matrix_wide,
     "accuracy": q_accuracy,
     "evaluation_summary": q_evaluation_summary,
     "csv_points_roundtrip": q_csv_points_roundtrip,
@@ -450,6 +456,7 @@ def oracle_sql() -> dict[str, str]:
         "knn_classify_lineitem": _li_classify(),
         "confusion_matrix_long": _confusion(emb_pred),
         "confusion_matrix_dense": dense,
+        "confusion_matrix_wide": f"PIVOT ({dense}) ON predicted USING CAST(sum(n) AS BIGINT) GROUP BY true_label",
         "accuracy": acc,
         "evaluation_summary": summary,
         "csv_points_roundtrip": f"SELECT p_size AS _c0, p_retailprice AS _c1, brand AS label FROM {_PART} x",

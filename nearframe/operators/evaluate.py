@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from .shape import with_row_id
 
 TRUE = "true_label"
@@ -41,16 +42,22 @@ def confusion_matrix(pred: DataFrame, form: str = "long", *, true_col: str = TRU
 def _dense(pred: DataFrame, cells: DataFrame, true_col: str, pred_col: str) -> DataFrame:
     """Every (true, predicted) cell over the union of classes, zeros kept.
 
-    The classes get contiguous indexes 0..C-1 (distributed ``with_row_id``),
+    The observed cells are checkpointed first, so the predictions (a whole
+    kNN pipeline) are computed once however many small jobs follow. The
+    classes get contiguous indexes 0..C-1 (distributed ``with_row_id``),
     the C*C grid is generated by ``range`` and mapped back to class values by
     two equi-joins, then the observed counts are left-joined on. The class
     table is broadcast only after its row count is known to fit.
     """
     from ..plans.choose import broadcast_limit, row_bytes
 
+    # one pass over the predictions: the observed cells (at most C*C + C
+    # rows) are written once, and everything below reads only them; every
+    # true or predicted class occurs in some cell
+    cells = checkpoint(cells)
     classes = (
-        pred.select(F.col(true_col).alias("c"))
-        .unionByName(pred.select(F.col(pred_col).alias("c")))
+        cells.select(F.col(TRUE).alias("c"))
+        .unionByName(cells.select(F.col("predicted").alias("c")))
         .where(F.col("c").isNotNull())
         .distinct()
     )
