@@ -18,6 +18,7 @@ rounding is applied.
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -304,8 +305,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return _classify_embeddings(spark, FLAGSHIP_SF)
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the text operators, if that subpackage is there."""
+    try:
+        from nearframe.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as e:
+        if e.name not in ("nearframe.llm", "nearframe.llm.queries"):
+            raise
+        return {}, {}
+    return QUERIES, ORACLES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = dict(_QUERIES) | _llm()[0]
+    if importlib.util.find_spec("corpus_pipeline") is None:
+        out.pop("pipeline", None)
+    return out
 
 
 # ----------------------------------------------------------------- oracle SQL
@@ -423,7 +438,7 @@ def oracle_sql() -> dict[str, str]:
     SELECT CAST({K} AS INTEGER) AS k, a.n_test, (SELECT count(*) FROM embeddings) AS n_train, a.n_correct, a.accuracy
     FROM ({acc}) a"""
     emb_dist = [(f"a.embedding[{i + 1}]::DOUBLE", f"b.embedding[{i + 1}]::DOUBLE") for i in range(EMB_DIM)]
-    return {
+    return _llm()[1] | {
         "points_profile": " UNION ALL ".join(
             [
                 _profile("embeddings", "max(len(embedding))", "label", "embeddings"),
