@@ -348,7 +348,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     places = F.collect_list(F.struct("a", "b")).alias("runs")
     todo = first.where("b >= 0").groupBy("oid", "row_key").agg(places)
-    once = rows.groupBy("oid", "row_key", "has_id").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    # grouped by exactly the keys of the joins below, so that texts move once in each
+    once = rows.groupBy("oid", "row_key").agg(F.first("has_id").alias("has_id"), F.first("text").alias("text"), F.count("*").alias("n"))
     some = once.join(todo, ["oid", "row_key"]).select("oid", "row_key", "text", "runs")
     blocks = some.mapInArrow(_scan_blocks(length), "core long, l long, r long, oid long, row_key long, at long")
     order = ["core", "oid", "row_key", "at"]
