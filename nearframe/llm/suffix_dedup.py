@@ -34,6 +34,8 @@ from nearframe.llm.common import materialize, row_key, shuffle_width, slices
 
 LENGTH = 100
 GRAM = 24
+#: Bytes of text ranked at once: array temporaries are some eighty times that.
+SLICE = 2 << 20
 NO_ID = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -144,7 +146,7 @@ def _scan_runs(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             oid, key = batch.column("oid").to_numpy(), batch.column("row_key").to_numpy()
-            for s, e in slices(batch, "text"):
+            for s, e in slices(batch, "text", SLICE):
                 order = s + np.lexsort((key[s:e], oid[s:e]))
                 data, bounds = _texts(batch.take(pa.array(order)), batch.schema.get_field_index("text"), 0, e - s)
                 runs, ranks = runs_of(data, bounds, length, gram)
@@ -218,7 +220,7 @@ def _scan_blocks(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             oid, key = batch.column("oid").to_numpy(), batch.column("row_key").to_numpy()
-            for s, e in slices(batch, "text"):
+            for s, e in slices(batch, "text", SLICE):
                 data, bounds = _texts(batch, batch.schema.get_field_index("text"), s, e)
                 starts = np.concatenate([[0], bounds[:-1]])
                 ranks = Ranks(data)
