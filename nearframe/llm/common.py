@@ -47,7 +47,7 @@ def row_key(df: DataFrame) -> F.Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def slices(batch: pa.RecordBatch, column: str, budget: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def slices(batch: pa.RecordBatch, column: str, budget: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch holding about ``budget`` bytes of text each (one
     row at least), so that array temporaries stay bounded."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
