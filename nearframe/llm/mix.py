@@ -123,9 +123,13 @@ def materialize_mix(docs: DataFrame, plan: DataFrame, text: str = "text", doc_id
     joined = once.join(copies, F.col("__id").eqNullSafe(F.col("__pid")) & (F.col("__key") == F.col("__pkey")))
     last = F.col("__whole") + F.when(F.col("__part") > 0, 1).otherwise(0)
     rows = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), last)))
-    words = F.concat(F.lit("^[\\x20\\x09-\\x0D]*(?:" + WORD + "[\\x20\\x09-\\x0D]*){"), F.col("__part"), F.lit("}"))
+    # what follows the first words: the last piece of a split into one piece more
+    space = "[\\x20\\x09-\\x0D]+"
+    body = F.regexp_replace(F.col(text), F.lit("^" + space), F.lit(""))
+    rest = F.element_at(F.split(body, space, F.col("__part").cast("int") + 1), -1)
     cut = F.col("__copy") > F.col("__whole")
-    rows = rows.withColumn("__text", F.when(cut, F.regexp_substr(F.col(text), words)).otherwise(F.col(text)))
+    head = F.substring(F.col(text), F.lit(1), F.length(F.col(text)) - F.length(rest))
+    rows = rows.withColumn("__text", F.when(cut, head).otherwise(F.col(text)))
     out = []
     for c in cols:
         if c == text:

@@ -97,7 +97,7 @@ def _ratio(token: Column, table: list[float]) -> Column:
     return F.aggregate(moves, F.lit(0.0), lambda acc, x: acc + x) / n
 
 
-def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", samples: DataFrame | None = None, min_ratio: float = 1.0) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", samples: DataFrame | None = None, min_ratio: float = 1.5) -> DataFrame:
     """Secrets of every whole text: ``doc_id, base, extra``, arrays of
     ``struct<start, kind_no, kind, end>`` sorted by start, then kind.
 
