@@ -346,6 +346,21 @@ def test_urls(spark):
     assert url_graph.judge_urls(d.limit(0), RULES).count() == 0
 
 
+# ------------------------------------------------------------------ registered SQL
+def test_oracles(spark):
+    import duckdb
+
+    from nearframe.llm.queries import ORACLES, QUERIES
+    from tools.oracle_check import compare
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    for name, sql in ORACLES.items():
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        rel = con.sql(sql)
+        assert compare([tuple(r) for r in df.collect()], df.columns, rel.fetchall(), rel.columns) is None
+
+
 # ------------------------------------------------------------------ pipeline
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
