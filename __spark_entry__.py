@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import nearframe as nf
+from nearframe.operators.neighbors import top_k_per_group
 from nearframe.operators.shape import assemble, profile_points, split_label, with_row_id
 from nearframe.session import ensure_checkpoint_dir
 from nearframe.sources import (
@@ -250,9 +251,33 @@ def q_numeric_text_roundtrip(spark, sf_dir):
 
 def q_arff_roundtrip(spark, sf_dir):
     path = _io_dir(spark, "arff")
-    pts = _part(spark, sf_dir).select(F.col("p_partkey").cast("int").alias("p_partkey"), "p_size", "p_retailprice", "brand")
+    pts = _part(spark, sf_dir).select("p_partkey", "p_size", "p_retailprice", "brand")
     write_points_arff(pts, path, "part")
-    return split_label(read_points_arff(spark, path))
+    return split_label(read_points_arff(spark, path), cast="int")
+
+
+def _two_tables(spark, sf_dir):
+    """Another table as train: customers by their nearest suppliers' balance."""
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("bal"), "c_nationkey")
+    s = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("bal"), F.col("s_nationkey").alias("label"))
+    return c, s
+
+
+def q_knn_join_two_tables(spark, sf_dir):
+    c, s = _two_tables(spark, sf_dir)
+    return nf.knn_join(c, s, ["bal"], K, query_id="id", train_id="id", label="label")
+
+
+def q_knn_classify_two_tables(spark, sf_dir):
+    c, s = _two_tables(spark, sf_dir)
+    return nf.knn_classify(c, s, ["bal"], K, query_id="id", train_id="id", label="label", query_label="c_nationkey")
+
+
+def q_top_prices_per_part(spark, sf_dir):
+    """TOP-1 itself: the three dearest lines of each part, ties by line order."""
+    li = _t(spark, sf_dir, "lineitem")
+    top = top_k_per_group(li, "l_partkey", [F.col("l_extendedprice").desc(), *LI_ORDER], K)
+    return top.select("l_partkey", "rank", "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 def q_predictions_csv_roundtrip(spark, sf_dir):
@@ -297,6 +322,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "arff_roundtrip": q_arff_roundtrip,
     "predictions_csv_roundtrip": q_predictions_csv_roundtrip,
     "predictions_tsv_roundtrip": q_predictions_tsv_roundtrip,
+    "knn_join_two_tables": q_knn_join_two_tables,
+    "knn_classify_two_tables": q_knn_classify_two_tables,
+    "top_prices_per_part": q_top_prices_per_part,
 }
 
 
@@ -398,6 +426,17 @@ def _part_nb(cols: list[str]) -> str:
     return _brute_nb(_PART, "p_partkey", "brand", _cols_terms(cols))
 
 
+def _two_nb() -> str:
+    return f"""
+    SELECT query_id, rank, train_id, label, dist FROM (
+      SELECT query_id, train_id, label, dist,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY dist, train_id) AS BIGINT) AS rank
+      FROM (SELECT c.c_custkey AS query_id, s.s_suppkey AS train_id, s.s_nationkey AS label,
+                   sqrt({_sq([("c.c_acctbal::DOUBLE", "s.s_acctbal::DOUBLE")])}) AS dist
+            FROM customer c, supplier s) pairs
+    ) r WHERE rank <= {K}"""
+
+
 def _emb_classify() -> str:
     return _classify(_emb_nb(), "SELECT vec_id AS query_id, label AS true_label FROM embeddings")
 
@@ -471,12 +510,20 @@ def oracle_sql() -> dict[str, str]:
         "knn_classify_lineitem": _li_classify(),
         "confusion_matrix_long": _confusion(emb_pred),
         "confusion_matrix_dense": dense,
-        "confusion_matrix_wide": f"PIVOT ({dense}) ON predicted USING CAST(sum(n) AS BIGINT) GROUP BY true_label",
+        "confusion_matrix_wide": "SELECT true_label, "
+        + ", ".join(f'CAST(sum(CASE WHEN predicted = {c} THEN n ELSE 0 END) AS BIGINT) AS "{c}"' for c in range(10))
+        + f" FROM ({dense}) d GROUP BY true_label",
         "accuracy": acc,
         "evaluation_summary": summary,
         "csv_points_roundtrip": f"SELECT p_size AS _c0, p_retailprice AS _c1, brand AS label FROM {_PART} x",
         "numeric_text_roundtrip": f"SELECT CAST(p_size AS FLOAT) AS f0, CAST(p_retailprice AS FLOAT) AS f1, brand AS label FROM {_PART} x",
-        "arff_roundtrip": f"SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_size, p_retailprice, brand AS label FROM {_PART} x",
+        "arff_roundtrip": f"SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, p_retailprice, brand AS label FROM {_PART} x",
+        "knn_join_two_tables": _two_nb(),
+        "knn_classify_two_tables": _classify(_two_nb(), "SELECT c_custkey AS query_id, c_nationkey AS true_label FROM customer"),
+        "top_prices_per_part": f"""
+            SELECT l_partkey, rank, l_orderkey, l_linenumber, l_extendedprice FROM (
+              SELECT *, CAST(row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, {", ".join(LI_ORDER)}) AS BIGINT) AS rank
+              FROM lineitem) t WHERE rank <= {K}""",
         "predictions_csv_roundtrip": f"SELECT query_id, prediction FROM ({part_pred}) p",
         "predictions_tsv_roundtrip": f"SELECT query_id, prediction FROM ({part_pred}) p",
     }

@@ -23,7 +23,9 @@ def confusion_matrix(pred: DataFrame, form: str = "long", *, true_col: str = TRU
 
     ``long``  (true_label, predicted, n), only observed cells
     ``dense`` (true_label, predicted, n) over the union of true and
-              predicted classes, zeros included (C9)
+              predicted classes, zeros included (C9), and the observed cells
+              of queries without a prediction or label (null), so that all
+              cells add up to the number of queries
     ``wide``  one row per true class, one column per predicted class
     """
     cells = pred.groupBy(F.col(true_col).alias(TRUE), F.col(pred_col).alias("predicted")).agg(
@@ -35,7 +37,9 @@ def confusion_matrix(pred: DataFrame, form: str = "long", *, true_col: str = TRU
         return _dense(pred, cells, true_col, pred_col)
     if form == "wide":
         dense = confusion_matrix(pred, "dense", true_col=true_col, pred_col=pred_col)
-        return dense.groupBy(TRUE).pivot("predicted").agg(F.sum("n")).na.fill(0)
+        # the classes are known by now: no extra job, and no limit on their number
+        classes = [r[0] for r in dense.select("predicted").distinct().orderBy("predicted").collect()]
+        return dense.groupBy(TRUE).pivot("predicted", classes).agg(F.sum("n")).na.fill(0)
     raise ValueError(f"unknown form {form!r}; use long, dense or wide")
 
 
@@ -70,9 +74,11 @@ def _dense(pred: DataFrame, cells: DataFrame, true_col: str, pred_col: str) -> D
     t = indexed.select(F.col("_i").alias("_ti"), F.col("c").alias(TRUE))
     pcls = indexed.select(F.col("_i").alias("_pi"), F.col("c").alias("predicted"))
     named = grid.join(t, "_ti").join(pcls, "_pi").select(TRUE, "predicted")
-    return named.join(cells, [TRUE, "predicted"], "left").select(
+    full = named.join(cells, [TRUE, "predicted"], "left").select(
         TRUE, "predicted", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")
     )
+    # observed cells without a class, so that all cells add up to the queries
+    return full.unionByName(cells.where(F.col(TRUE).isNull() | F.col("predicted").isNull()))
 
 
 def _correct(true_col: str, pred_col: str):

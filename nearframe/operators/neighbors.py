@@ -22,6 +22,8 @@ from ..functions.features import FeatureSpec
 from ..plans import brute, choose
 from ..plans.prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared, check_k, prepare
 
+#: Options of the strategies, beside the parameters of ``knn_join``.
+OPTIONS = {"replicate", "parallelism", "train_partitions", "query_partitions", "query_blocks", "train_blocks", "dedupe"}
 STRATEGIES = ("auto", "broadcast", "broadcast_train", "bounded", "vectorized", "blocks", "grid")
 
 
@@ -112,10 +114,11 @@ def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str, cor
         strategy, replicate = choose.choose(sizes, limit, cores)
         if strategy == "grid":
             return "grid", replicate, None
-    if strategy == "vectorized" and replicate == "train":
-        if sizes.train_bytes > limit:
-            raise ValueError(f"train side ({sizes.train_bytes} bytes) exceeds the broadcast limit ({limit})")
-    elif strategy in ("broadcast", "bounded", "vectorized") and sizes.query_bytes > limit:
+    if strategy == "vectorized":
+        # one replicated block is the special case: a larger side goes by blocks
+        if (sizes.train_bytes if replicate == "train" else sizes.query_bytes) > limit:
+            strategy = "blocks"
+    elif strategy in ("broadcast", "bounded") and sizes.query_bytes > limit:
         raise ValueError(
             f"strategy {strategy!r} replicates the query side ({sizes.query_bytes} bytes) "
             f"beyond the broadcast limit ({limit}); use 'blocks' or 'grid'"
@@ -132,8 +135,13 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
         raise ValueError(f"unknown strategy {strategy!r}; choose one of {STRATEGIES}")
     spark = p.queries.sparkSession
     limit = choose.broadcast_limit(spark, broadcast_max_bytes)
-    par = opts.pop("parallelism", None) or choose.parallelism(spark)
+    unknown = set(opts) - OPTIONS
+    if unknown:
+        raise TypeError(f"unknown options {sorted(unknown)}; known are {sorted(OPTIONS)}")
     replicate = opts.pop("replicate", "queries")
+    # LAY-1 splits train, LAY-2 the queries: the caller may set into how many parts
+    parts = opts.pop("train_partitions", None), opts.pop("query_partitions", None)
+    par = opts.pop("parallelism", None) or parts[replicate == "train"] or choose.parallelism(spark)
     strategy, replicate, sizes = _resolve(p, k, strategy, limit, replicate, par)
     if strategy == "broadcast":
         return brute.knn_broadcast(p, k, replicate="queries", parallelism=par)
@@ -157,7 +165,7 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
     if strategy == "grid":
         from ..plans import grid
 
-        return grid.knn_grid(p, k, broadcast_max_bytes=limit, parallelism=par, **opts)
+        return grid.knn_grid(p, k, broadcast_max_bytes=limit, parallelism=par, dedupe=opts.get("dedupe", True))
     raise AssertionError(strategy)
 
 
@@ -184,7 +192,12 @@ def knn_join(
     Strategies (all exact, same result): ``broadcast`` (S1), ``bounded``
     (S2), ``vectorized`` (S3, Arrow + NumPy), ``blocks`` (S4), ``grid``
     (exact cell search for low dimension), ``broadcast_train`` (LAY-2) and
-    ``auto``.
+    ``auto``. ``vectorized`` replicates one side while that passes the size
+    check (``replicate="queries"``, LAY-1, or ``"train"``, LAY-2, with
+    ``train_partitions`` / ``query_partitions``) and goes by blocks beyond it.
+
+    Both sides are read more than once (sizes, bounds, candidates): a caller
+    whose frames are costly to compute persists them first (LAY-4).
     """
     p = prepare(
         queries, train, features, query_id=query_id, train_id=train_id, label=label,
@@ -196,8 +209,7 @@ def knn_join(
 def attach_labels(neighbours: DataFrame, train: DataFrame, *, train_id: str = "id", label: str = "label") -> DataFrame:
     """JOIN-3: look the label of each neighbour up by train id.
 
-    The train side is reduced to ``(train_id, label)`` and semi-joined to the
-    neighbour ids first, so only labels that are needed cross the shuffle.
+    The train side is reduced to ``(train_id, label)`` before the equi-join.
     """
     lab = train.select(F.col(train_id).alias(TRAIN_ID), F.col(label).alias(LABEL))
     base = neighbours.drop(LABEL) if LABEL in neighbours.columns else neighbours

@@ -5,10 +5,11 @@ of the cells its k-neighbour ball touches, so the work grows with the local
 density instead of with ``N``. Every step is a DataFrame join, window or
 aggregate, and train is shuffled once:
 
-1. **Width.** One aggregate over train: row count, bounding box, distinct
-   points. The width aims at about ``TARGET_PER_CELL * kk`` rows per cell
-   under uniform density (``kk = k``, plus one when a query's own row is
-   excluded). Any width is correct; it only moves work between the phases.
+1. **Cells.** One aggregate over train: row count and quantiles per axis.
+   Cells are equal steps of the axis' quantile position, about
+   ``TARGET_PER_CELL * kk`` rows each (``kk = k``, plus one when a query's own
+   row is excluded), so neither an outlier nor a dense spot decides their
+   width. Any cut is correct; it only moves work between the phases.
 2. **Train, once.** Train rows get their cell; rows of hot cells (more than
    ``HOT_ROWS``; that small table is kept and counted, and broadcast only
    when the count fits the limit) get a salt from a hash of train_id. Train is
@@ -25,7 +26,7 @@ aggregate, and train is shuffled once:
    exact upper bound on the true k-th distance, so ``bound`` = the fine one
    when the fine cell had k rows, else the coarse one.
 4. **Candidates (phase 2).** Cells intersecting the ball of radius
-   ``bound`` (clamped to the occupied range) are enumerated with
+   ``bound`` (widened by a rounding allowance, clamped to the occupied range) are enumerated with
    ``sequence``/``explode``, replicated per salt of hot cells, joined to the
    kept train on (cell, salt), filtered by the bound and ranked by
    ``(dist, train_id)`` with a partial limit before the last exchange.
@@ -71,19 +72,23 @@ def _names(prefix: str, d: int) -> list[str]:
     return [f"{prefix}{j}" for j in range(d)]
 
 
-def _cell(x: Column, o: float, w: float, cmax: int) -> Column:
-    """Cell index of ``x``, clamped to [0, cmax] in double space first so an
-    outlying query can never overflow the cast."""
-    v = (x - F.lit(o)) / F.lit(w)
-    return F.floor(F.least(F.greatest(v, F.lit(0.0)), F.lit(float(cmax)))).cast("long")
+def _cell(x: Column, knots: list[tuple[float, float, float]], m: int) -> Column:
+    """Cell index of ``x`` on one axis of ``m`` cells.
 
-
-def _cells(cols: list[str], origin: list[float], w: float, cmax: list[int], prefix: str) -> list[Column]:
-    return [_cell(F.col(c), o, w, cm).alias(f"{prefix}{j}") for j, (c, o, cm) in enumerate(zip(cols, origin, cmax))]
+    ``knots`` are segments (low, high, weight) between quantiles; the position
+    of x is the sum of the weights below it, linear inside its segment, so
+    cells are narrow where rows are dense and one outlier only stretches the
+    last, light segment. Every term is monotone in floating point, and so is
+    the sum: the cells between those of two ends hold all rows between them.
+    """
+    u = F.lit(0.0)
+    for low, high, weight in knots:
+        u = u + F.least(F.greatest((x - F.lit(low)) / F.lit(high - low), F.lit(0.0)), F.lit(1.0)) * F.lit(weight)
+    return F.floor(F.least(F.greatest(u * F.lit(float(m)), F.lit(0.0)), F.lit(float(m - 1)))).cast("long")
 
 
-def _cmax(origin: list[float], hi: list[float], w: float) -> list[int]:
-    return [int(math.floor((h - o) / w)) for o, h in zip(origin, hi)]
+def _cells(cols: list[str], knots: list, m: list[int], prefix: str) -> list[Column]:
+    return [_cell(F.col(c), kn, mj).alias(f"{prefix}{j}") for j, (c, kn, mj) in enumerate(zip(cols, knots, m))]
 
 
 def _dedupe(train: DataFrame, tcols: list[str], kk: int) -> DataFrame:
@@ -94,25 +99,41 @@ def _dedupe(train: DataFrame, tcols: list[str], kk: int) -> DataFrame:
     return train.withColumn("_dup", F.row_number().over(w)).where(F.col("_dup") <= kk).drop("_dup")
 
 
+#: Quantiles between which cells are spread evenly; the tails are cut finer, so
+#: that far outliers share a segment with few rows.
+_STEPS = 32
+_TAIL = [1e-5, 1e-4, 1e-3, 1e-2]
+QUANTILES = [0.0, *_TAIL, *[i / _STEPS for i in range(1, _STEPS)], *[1 - t for t in reversed(_TAIL)], 1.0]
+#: Relative rounding allowance of the ball's ends, far above a few ulps.
+SLACK = 1e-12
+
+
+def _segments(q: list[float]) -> list[tuple[float, float, float]]:
+    """(low, high, weight) between neighbouring quantiles of one axis; equal
+    neighbours (a value with many rows) leave no segment."""
+    parts = [(a, b, qb - qa) for a, b, qa, qb in zip(q, q[1:], QUANTILES, QUANTILES[1:]) if b > a and math.isfinite(b - a)]
+    total = sum(w for _, _, w in parts)
+    return [(a, b, w / total) for a, b, w in parts]
+
+
 def plan_width(p: Prepared, kk: int) -> dict:
-    """One pass over train: row count, bounding box and distinct points.
+    """One pass over train: row count and quantiles per axis.
 
-    The width solves ``prod_j max(1, R_j / w) = N / (TARGET_PER_CELL * kk)``.
+    The width solves ``prod_j max(1, R_j / w) = N / (TARGET_PER_CELL * kk)``
+    with ``R_j`` the range between the 1 % and 99 % quantiles, and gives the
+    number of cells of each axis.
     """
     d = p.dim
     tc = p.tcols
     box = p.train.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.min(c).alias(f"mn{j}") for j, c in enumerate(tc)],
-        *[F.max(c).alias(f"mx{j}") for j, c in enumerate(tc)],
-        F.approx_count_distinct(F.xxhash64(*tc)).alias("distinct_points"),
+        F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, QUANTILES, 100_000).alias(f"q{j}") for j, c in enumerate(tc)]
     ).first()
     n = int(box["n"])
     if n == 0:
-        return {"n": 0, "origin": [0.0] * d, "hi": [0.0] * d, "width": 1.0, "distinct_points": 0}
-    lo = [float(box[f"mn{j}"]) for j in range(d)]
-    hi = [float(box[f"mx{j}"]) for j in range(d)]
-    ranges = [max(h - l, 0.0) for l, h in zip(lo, hi)]
+        return {"n": 0, "knots": [[] for _ in range(d)], "cells": [1] * d}
+    qs = [[float(x) for x in box[f"q{j}"]] for j in range(d)]
+    one, last = QUANTILES.index(1e-2), QUANTILES.index(1 - 1e-2)
+    ranges = [max(q[last] - q[one], 0.0) or max(q[-1] - q[0], 0.0) for q in qs]
     n_cells = max(1.0, n / (TARGET_PER_CELL * kk))
     w = max(ranges) if max(ranges) > 0 else 1.0
     for _ in range(400):
@@ -122,7 +143,7 @@ def plan_width(p: Prepared, kk: int) -> dict:
         if cells >= n_cells:
             break
         w /= 1.1
-    return {"n": n, "origin": lo, "hi": hi, "width": w, "distinct_points": int(box["distinct_points"] or 0)}
+    return {"n": n, "knots": [_segments(q) for q in qs], "cells": [max(1, int(math.ceil(min(r / w, 2.0**40)))) for r in ranges]}
 
 
 def _hot_cells(tcell: DataFrame, cnames: list[str], hot_rows: int) -> DataFrame:
@@ -175,7 +196,7 @@ def knn_grid(
     *,
     broadcast_max_bytes: int,
     parallelism: int = 8,
-    dedupe: bool | None = None,
+    dedupe: bool = True,
 ) -> DataFrame:
     spark = p.queries.sparkSession
     kk = k + (1 if p.exclude_self else 0)
@@ -185,20 +206,17 @@ def knn_grid(
     if n_train == 0:
         return _empty(p)
     train = p.train
-    if dedupe is None:
-        dedupe = plan["distinct_points"] < 0.9 * n_train
     if dedupe:
         train = _dedupe(train, p.tcols, kk)
 
     d, tc, qc = p.dim, p.tcols, p.qcols
-    origin, hi, w = plan["origin"], plan["hi"], plan["width"]
-    wc = w * COARSE_FACTOR
-    cmax, cmax_c = _cmax(origin, hi, w), _cmax(origin, hi, wc)
+    knots, m = plan["knots"], plan["cells"]
+    mc = [-(-x // COARSE_FACTOR) for x in m]
     cn, kn = _names("_c", d), _names("_k", d)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # 2. train, partitioned once by (cell, salt) and kept for both phases
-    tcell = train.select(TRAIN_ID, *tc, LABEL, *_cells(tc, origin, w, cmax, "_c"))
+    tcell = train.select(TRAIN_ID, *tc, LABEL, *_cells(tc, knots, m, "_c"))
     # hot cells: a small deterministic aggregate, kept and counted once;
     # broadcast only when the count fits the limit, else a shuffle join
     hot_kept = _hot_cells(tcell, cn, HOT_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
@@ -210,13 +228,13 @@ def knn_grid(
 
     # 3. phase 1: bounds from the fine-cell and coarse-cell samples
     fine = _sample(tpart, cn + ["_salt"], SAMPLE_PER_CELL_FACTOR * kk).select(TRAIN_ID, *tc, *cn, "_salt")
-    qfine = _salt_rows(p.queries.select(QUERY_ID, *qc, *_cells(qc, origin, w, cmax, "_c")), hot, cn, QUERY_ID)
+    qfine = _salt_rows(p.queries.select(QUERY_ID, *qc, *_cells(qc, knots, m, "_c")), hot, cn, QUERY_ID)
     fine = fine.select(TRAIN_ID, *tc, *cn, "_salt")
-    coarse = _sample(train.select(TRAIN_ID, *tc, *_cells(tc, origin, wc, cmax_c, "_k")), kn, COARSE_SAMPLE_FACTOR * kk)
-    coarse_rows = COARSE_SAMPLE_FACTOR * kk * math.prod(c + 1 for c in cmax_c)
+    coarse = _sample(train.select(TRAIN_ID, *tc, *_cells(tc, knots, mc, "_k")), kn, COARSE_SAMPLE_FACTOR * kk)
+    coarse_rows = COARSE_SAMPLE_FACTOR * kk * math.prod(mc)
     if choose.row_bytes(2 * d + 2) * min(coarse_rows, n_train) <= broadcast_max_bytes:
         coarse = F.broadcast(coarse)  # proven bound: cells in the box x m1
-    qcoarse = p.queries.select(QUERY_ID, *qc, *_cells(qc, origin, wc, cmax_c, "_k"))
+    qcoarse = p.queries.select(QUERY_ID, *qc, *_cells(qc, knots, mc, "_k"))
 
     def kth(pairs: DataFrame, tag: str) -> DataFrame:
         """k best distances per query: the partial window limit runs in the
@@ -247,9 +265,12 @@ def knn_grid(
     qb = agg.select(QUERY_ID, *qc, bound.alias("bound"))
     finite = brute.is_finite("bound")
     ranges = []
-    for j, (c, o, cm) in enumerate(zip(qc, origin, cmax)):
-        lo_j = _cell(F.col(c) - F.col("bound"), o, w, cm)
-        hi_j = _cell(F.col(c) + F.col("bound"), o, w, cm)
+    for j, (c, kn_j, m_j) in enumerate(zip(qc, knots, m)):
+        # q - t is rounded before it is compared with the bound, so the exact
+        # ends could miss the k-th neighbour's cell: widen them by far more
+        slack = (F.abs(F.col(c)) + F.col("bound")) * F.lit(SLACK)
+        lo_j = _cell(F.col(c) - F.col("bound") - slack, kn_j, m_j)
+        hi_j = _cell(F.col(c) + F.col("bound") + slack, kn_j, m_j)
         ranges += [F.when(finite, lo_j).alias(f"_lo{j}"), F.when(finite, hi_j).alias(f"_hi{j}")]
     qb = qb.select(QUERY_ID, *qc, "bound", *ranges)
     ncell = F.lit(1).cast("long")

@@ -64,6 +64,10 @@ def root_block(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
     return np.sqrt(acc, out=acc)
 
 
+#: Queries that meet a block of train at once.
+QUERY_TILE = 10_000
+
+
 class RunningTopK:
     """k best (dist, train_id) per query, exact under ties.
 
@@ -92,7 +96,11 @@ class RunningTopK:
         # this is two comparisons and no selection.
         bd = self.d[:, k - 1][:, None]
         bi = self.i[:, k - 1][:, None]
-        mask = (D < bd) | ((D == bd) & np.isfinite(bd) & (tid[None, :] < bi))
+        mask = D < bd
+        tr, tc = np.nonzero((D == bd) & np.isfinite(bd))
+        if len(tr):  # ids are compared only where distances tie, so they may be of any type
+            lower = tid[tc] < bi[tr, 0]
+            mask[tr[lower], tc[lower]] = True
         if nb > k and np.count_nonzero(mask) > 4 * k * nq:
             # many candidates (first block, or a block better than the list):
             # cut each row to its k best within the block, ties by train id
@@ -103,21 +111,27 @@ class RunningTopK:
             need = k - less.sum(axis=1, dtype=np.int32)
             mask = less | (eq & (np.cumsum(eq, axis=1, dtype=np.int32) <= need[:, None]))
         r, c = np.nonzero(mask)
-        cur = np.isfinite(self.d)
-        cr, cc = np.nonzero(cur)
-        rows = np.concatenate([cr, r])
-        dist = np.concatenate([self.d[cr, cc], D[r, c]])
-        ids = np.concatenate([self.i[cr, cc], tid[c]])
-        labs = np.concatenate([self.lab[cr, cc], lab[c]])
-        order = np.lexsort((ids, dist, rows))
+        if not len(r):
+            return
+        # merge only the queries with a hit
+        touched, at = np.unique(r, return_inverse=True)
+        held, hi, hl = self.d[touched], self.i[touched], self.lab[touched]
+        cr, cc = np.nonzero(np.isfinite(held))
+        rows = np.concatenate([cr, at])
+        dist = np.concatenate([held[cr, cc], D[r, c]])
+        ids = np.concatenate([hi[cr, cc], tid[c]])
+        labs = np.concatenate([hl[cr, cc], lab[c]])
+        key = np.unique(ids, return_inverse=True)[1] if ids.dtype == object else ids
+        order = np.lexsort((key, dist, rows))
         rows, dist, ids, labs = rows[order], dist[order], ids[order], labs[order]
-        starts = np.searchsorted(rows, np.arange(nq))
+        starts = np.searchsorted(rows, np.arange(len(touched)))
         rank = np.arange(rows.size) - starts[rows]
         keep = rank < k
-        self.d[:] = np.inf
-        self.d[rows[keep], rank[keep]] = dist[keep]
-        self.i[rows[keep], rank[keep]] = ids[keep]
-        self.lab[rows[keep], rank[keep]] = labs[keep]
+        self.d[touched] = np.inf
+        to = touched[rows[keep]]
+        self.d[to, rank[keep]] = dist[keep]
+        self.i[to, rank[keep]] = ids[keep]
+        self.lab[to, rank[keep]] = labs[keep]
 
     def frame(self, qids: np.ndarray, with_rank: bool = False) -> pd.DataFrame:
         r, c = np.nonzero(np.isfinite(self.d))
@@ -161,7 +175,8 @@ def knn_vectorized(p: Prepared, k: int, *, n_queries: int, parallelism: int = 8,
 
     def run(batches):
         qids_, Q_ = bq.value
-        state = None
+        tiles = range(0, len(qids_), QUERY_TILE)
+        states = None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -169,19 +184,22 @@ def knn_vectorized(p: Prepared, k: int, *, n_queries: int, parallelism: int = 8,
             X = pdf[tcols].to_numpy(dtype=np.float64)
             tid = pdf[TRAIN_ID].to_numpy()
             lab = pdf[LABEL].to_numpy()
-            if state is None:
-                state = RunningTopK(len(qids_), k, tid.dtype, lab.dtype)
-            step = max(1, _BLOCK_ELEMS // max(1, len(qids_)))
-            for s in range(0, len(X), step):
-                Xs, ts, ls = X[s : s + step], tid[s : s + step], lab[s : s + step]
-                # rank on the rooted distance: two squares can round to one
-                # root, and then the train id must decide, as in SQL
-                D = root_block(Q_, Xs)
-                if exclude_self:
-                    D[qids_[:, None] == ts[None, :]] = np.inf
-                state.push(D, ts, ls)
-        if state is not None and len(qids_):
-            yield state.frame(qids_)
+            if states is None:
+                states = [RunningTopK(len(qids_[q : q + QUERY_TILE]), k, tid.dtype, lab.dtype) for q in tiles]
+            # tiles of queries, so that the blocks of train stay wide
+            for q, state in zip(tiles, states):
+                ids, Q = qids_[q : q + QUERY_TILE], Q_[q : q + QUERY_TILE]
+                step = max(1, _BLOCK_ELEMS // max(1, len(ids)))
+                for s in range(0, len(X), step):
+                    Xs, ts, ls = X[s : s + step], tid[s : s + step], lab[s : s + step]
+                    # rank on the rooted distance: two squares can round to one
+                    # root, and then the train id must decide, as in SQL
+                    D = root_block(Q, Xs)
+                    if exclude_self:
+                        D[ids[:, None] == ts[None, :]] = np.inf
+                    state.push(D, ts, ls)
+        for q, state in zip(tiles, states or ()):
+            yield state.frame(qids_[q : q + QUERY_TILE])
 
     partial = spread(p.train, parallelism).mapInPandas(run, schema)
     return rank_neighbours(partial, k)

@@ -41,26 +41,35 @@ def read_points_text(spark: SparkSession, path: str, width: int, *, dtype: str =
 
 _ATTR = re.compile(r"^\s*@attribute\s+('(?:[^']|\\')*'|\"[^\"]*\"|\S+)\s+(.+?)\s*$", re.IGNORECASE)
 
+#: A line of the header, and not a data row that happens to start with ``@``.
+_DECLARATION = r"(?i)^\s*@(?:(?:relation|attribute)\s|data\s*(?:%.*)?$)"
+
 # ARFF attribute type keywords and the Spark type each maps to.
-ARFF_NUMERIC_TYPES = {"numeric": "double", "real": "double", "integer": "int"}
+ARFF_NUMERIC_TYPES = {"numeric": "double", "real": "double", "integer": "bigint"}
 
 
 def arff_schema(header_lines: list[str]) -> T.StructType:
     """StructType from ``@attribute`` lines in file order.
 
-    Numeric/real -> double, integer -> int, nominal ``{a,b}`` and string ->
-    string. The ARFF missing marker ``?`` is read as null by the body parse.
+    Numeric/real -> double, integer -> long, a last nominal attribute ``{0,1}``
+    of integers only (a class) -> int, other nominal ones and string -> string.
+    The ARFF missing marker ``?`` is read as null by the body parse.
     """
+    header_lines = [x for x in header_lines if _ATTR.match(x)]
     fields = []
     for line in header_lines:
         m = _ATTR.match(line)
         if not m:
             continue
-        name = m.group(1).strip("'\"")
+        name = m.group(1)
+        if name[0] in "'\"":
+            name = name[1:-1].replace("\\'", "'")
         kind = m.group(2).strip()
         low = kind.lower()
         if low in ARFF_NUMERIC_TYPES:
-            dt = T.IntegerType() if ARFF_NUMERIC_TYPES[low] == "int" else T.DoubleType()
+            dt = T.LongType() if ARFF_NUMERIC_TYPES[low] == "bigint" else T.DoubleType()
+        elif line is header_lines[-1] and re.fullmatch(r"\{\s*-?\d+\s*(,\s*-?\d+\s*)*\}", kind):
+            dt = T.IntegerType()
         else:
             dt = T.StringType()
         fields.append(T.StructField(name, dt, True))
@@ -72,20 +81,26 @@ def arff_schema(header_lines: list[str]) -> T.StructType:
 def read_points_arff(spark: SparkSession, path: str) -> DataFrame:
     """SRC-3: ARFF as a Spark load.
 
-    Header: the ``@`` lines (bounded by the number of attributes) are read
-    in file order and turned into a schema. Body: every other line that is
-    not blank or a ``%`` comment is parsed with ``from_csv`` against that
-    schema, in parallel across the file splits.
+    Header: the lines that start with one of the three declarations, bounded
+    by files x attributes; several files with the same header are one table,
+    and different headers fail. Body: every other line that is not blank or a
+    ``%`` comment is parsed with ``from_csv`` against that schema, in parallel
+    across the file splits; values may start with ``@``, and quoted ones with
+    ``%``.
     """
-    lines = spark.read.text(path)
-    head = [r["value"] for r in lines.where(F.trim(F.col("value")).startswith("@")).select("value").collect()]
-    schema = arff_schema(head)
-    body = lines.where(
-        (F.length(F.trim(F.col("value"))) > 0)
-        & ~F.trim(F.col("value")).startswith("@")
-        & ~F.trim(F.col("value")).startswith("%")
-    )
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
+    declared = F.col("value").rlike(_DECLARATION)
+    heads: dict[str, list[str]] = {}
+    for r in lines.where(declared).orderBy("file", "at").collect():
+        if _ATTR.match(r["value"]):
+            heads.setdefault(r["file"], []).append(r["value"])
+    found = list(heads.values())
+    if any(h != found[0] for h in found):
+        raise ValueError("the files have different headers")
+    schema = arff_schema(found[0] if found else [])
+    trimmed = F.trim(F.col("value"))
+    body = lines.where((F.length(trimmed) > 0) & ~declared & ~trimmed.startswith("%"))
     opts = {"nullValue": "?", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "FAILFAST"}
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = body.select(F.from_csv(F.col("value"), ddl, opts).alias("r"))
     return parsed.select("r.*")

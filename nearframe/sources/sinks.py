@@ -7,6 +7,8 @@ part files concatenate in query order without moving rows to one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +29,7 @@ def write_predictions(pred: DataFrame, path: str, fmt: str = "csv", *, mode: str
 def read_predictions(spark, path: str, fmt: str = "csv", *, id_type: str = "long", class_type: str = "int") -> DataFrame:
     """Read a folder written by ``write_predictions`` back as (query_id, prediction)."""
     sep = "\t" if fmt == "tsv" else ","
-    return spark.read.schema(f"query_id {id_type}, prediction {class_type}").option("sep", sep).csv(path)
+    return spark.read.schema(f"query_id {id_type}, prediction {class_type}").option("sep", sep).option("mode", "FAILFAST").csv(path)
 
 
 def write_points_text(df: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
@@ -43,11 +45,16 @@ def _arff_type(dt: T.DataType) -> str:
     return "string"
 
 
+def _arff_name(name: str) -> str:
+    """Names with white space, quotes, commas, braces or % are quoted."""
+    return name if re.fullmatch(r"[^\s'\"%{},]+", name) else "'" + name.replace("'", "\\'") + "'"
+
+
 def write_points_arff(df: DataFrame, path: str, relation: str = "points", *, mode: str = "errorifexists") -> None:
     """An ARFF folder: one header file (written from the schema, not from
     data) plus the body as CSV part files; ``read_points_arff`` reads the
     folder back. Nulls are written as the ARFF missing marker ``?``."""
     spark = df.sparkSession
-    header = [f"@relation {relation}"] + [f"@attribute {f.name} {_arff_type(f.dataType)}" for f in df.schema.fields] + ["@data"]
+    header = [f"@relation {relation}"] + [f"@attribute {_arff_name(f.name)} {_arff_type(f.dataType)}" for f in df.schema.fields] + ["@data"]
     df.write.mode(mode).option("header", "false").option("nullValue", "?").csv(path)
     spark.createDataFrame([(line,) for line in header], "value string").coalesce(1).write.mode("append").text(path)

@@ -51,7 +51,7 @@ def test_arff_header_comments_missing(spark, tmp):
         )
     df = read_points_arff(spark, path)
     assert df.columns == ["a", "b b", "n", "class"]
-    assert [tuple(r) for r in df.orderBy("n").collect()] == [(1.0, 2.0, 3, "0"), (None, 4.5, 7, "1")]
+    assert [tuple(r) for r in df.orderBy("n").collect()] == [(1.0, 2.0, 3, 0), (None, 4.5, 7, 1)]
 
 
 def test_arff_roundtrip(spark, tmp):
@@ -116,3 +116,18 @@ def test_no_machine_local_checkpoint_folder_on_a_cluster():
         ensure_checkpoint_dir(_Session("spark://master:7077"))
     local = _Session("local[4]")
     assert ensure_checkpoint_dir(local) == local.sparkContext.set_to
+
+
+def test_arff_rows_that_look_like_comments_or_declarations(spark, tmp):
+    path = os.path.join(tmp, "d")
+    os.makedirs(path)
+    for name, rows in (("a.arff", "foo,1,0\n@bar,2,1\n"), ("b.arff", "'%baz',3,1\n@database,3000000000,10\n")):
+        with open(os.path.join(path, name), "w") as f:
+            f.write("@relation r\n@attribute 'a name' string\n@attribute n integer\n@attribute class {0,1,10}\n@data\n" + rows)
+    df = read_points_arff(spark, path)
+    rows = sorted(tuple(r) for r in df.collect())
+    assert df.columns == ["a name", "n", "class"] and [r[1:] for r in rows if r[0] != "@bar"] and ("@bar", 2, 1) in rows
+    assert ("@database", 3000000000, 10) in rows and len(rows) == 4
+    out = os.path.join(tmp, "w")
+    write_points_arff(df, out)
+    assert sorted(tuple(r)[:2] for r in read_points_arff(spark, out).collect()) == [r[:2] for r in rows]

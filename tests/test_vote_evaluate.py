@@ -30,6 +30,8 @@ def test_confusion_matrix_forms_and_accuracy(spark):
     long = sorted((tuple(r) for r in nf.confusion_matrix(pred, "long").collect()), key=lambda t: (t[0], t[1] is None, t[1] or 0))
     assert long == [(0, 0, 1), (0, 1, 1), (1, 1, 1), (2, 1, 1), (2, None, 1)]
     dense = {(r.true_label, r.predicted): r.n for r in nf.confusion_matrix(pred, "dense").collect()}
+    # the query without a prediction is kept as an observed cell: all add up
+    assert sum(dense.values()) == 5 and dense.pop((2, None)) == 1
     assert len(dense) == 9 and dense[(0, 0)] == 1 and dense[(2, 2)] == 0 and dense[(2, 1)] == 1
     wide = {r.true_label: r.asDict() for r in nf.confusion_matrix(pred, "wide").collect()}
     assert wide[0]["1"] == 1 and wide[1]["0"] == 0
