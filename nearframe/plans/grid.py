@@ -81,6 +81,8 @@ def _cell(x: Column, knots: list[tuple[float, float, float]], m: int) -> Column:
     last, light segment. Every term is monotone in floating point, and so is
     the sum: the cells between those of two ends hold all rows between them.
     """
+    if m == 1:
+        return F.lit(0).cast("long")
     u = F.lit(0.0)
     for low, high, weight in knots:
         u = u + F.least(F.greatest((x - F.lit(low)) / F.lit(high - low), F.lit(0.0)), F.lit(1.0)) * F.lit(weight)
