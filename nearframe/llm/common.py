@@ -61,6 +61,26 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 1 << 20) -> Iterato
         yield start, len(sizes)
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: list[str], counts: DataFrame, total: int, how: str = "inner") -> DataFrame:
+    """Equi-join of rows with a table of one row per key, where a key may hold
+    a third of ``left``.
+
+    ``counts`` has the key columns and ``n``, the key's rows in ``left``, and
+    ``total`` is their sum (or more). Keys above half of a mean shuffle
+    partition are cut into salts of about that many rows by a hash of the row's
+    other columns, and their row of ``right`` is copied once per salt. There are
+    at most two such keys per shuffle partition, whatever the size of the data,
+    which is the proven bound of what is broadcast."""
+    limit = max(1, total // (2 * shuffle_width(left.sparkSession)))
+    hot = F.broadcast(counts.where(F.col("n") > limit).select(*key, F.ceil(F.col("n") / limit).cast("int").alias("__parts")))
+    rest = [c for c in left.columns if c not in key]
+    salt = F.pmod(F.xxhash64(*rest), F.coalesce("__parts", F.lit(1))).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
+    a = left.join(hot, key, "left").withColumn("__salt", salt).drop("__parts")
+    b = right.join(hot, key, "left").withColumn("__salt", salts).drop("__parts")
+    return a.join(b, [*key, "__salt"], how).drop("__salt")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Components of an undirected graph: ``edges(a, b)`` -> ``(node, component)``
     with the smallest node of each component as its name. Nodes without an edge

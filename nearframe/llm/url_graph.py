@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearframe.llm.common import materialize
+from nearframe.llm.common import materialize, spread_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Host of an absolute link of a page.
@@ -88,11 +88,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], page_id:
     host, path = host_path(F.col("u"))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("u"), F.col(html).cast("string").alias("h"))
     rows = rows.select("page_id", host.alias("host"), path.alias("path"), "h")
-    known = rows.select("host").distinct()
+    # one host may hold a third of all pages: its rows are spread over salts
+    known, n_pages = rows.groupBy("host").agg(F.count("*").alias("n")), pages.count()
     fits = fitting_rules(known, table)
-    # rows of one host may be a third of all: only the small host table moves if it
-    # is small, else Spark splits the hot side of the join
-    slim = rows.drop("h").join(fits, "host", "left")
+    slim = spread_join(rows.drop("h"), fits, ["host"], known, n_pages, "left")
     best = F.array_max(F.filter(F.coalesce("rules", F.array()), lambda r: F.col("path").startswith(r["path"])))
     slim = materialize(slim.withColumn("best", best).select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("ruled")), "url-ruled")
     share = slim.groupBy("host").agg(F.count("*").alias("n"), F.count(F.when(F.col("ruled") == "allow", 1)).alias("a"), F.count(F.when(F.col("ruled") == "block", 1)).alias("b"))
@@ -100,6 +99,6 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], page_id:
     links = F.transform(F.regexp_extract_all(F.coalesce("h", F.lit("")), F.lit(LINK), F.lit(1)), lambda x: F.translate(x, UPPER, LOWER))
     edges = rows.where("host <> ''").select(F.col("host").alias("src"), F.explode(links).alias("dst")).where("src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
     score = propagate(edges, seeds, damping)
-    out = slim.join(score, "host", "left").na.fill(0.0, ["trust", "distrust"])
+    out = spread_join(slim, score, ["host"], share, n_pages, "left").na.fill(0.0, ["trust", "distrust"])
     method = F.when(F.col("distrust") - F.col("trust") > threshold, "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "trust", "distrust")
