@@ -87,27 +87,28 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     are not listed.
 
     Alternating large-star / small-star rounds: each round is two plain
-    aggregates (with map-side combine) and two equi-joins, so a hub costs no
-    collected group; the edge table of each round is written to the shared
+    aggregates (with map-side combine) and two equi-joins that cut the edges of
+    a hub into salts; the edge table of each round is written to the shared
     folder, and the previous one is removed.
     """
     cur = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
+    n_edges = cur.count()
     seen = None
     for _ in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
+        large = spread_join(both, low.drop("n"), ["u"], low, 2 * n_edges).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # large-star keeps u > v for every edge it emits
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = (
-            large.join(low, "u")
+            spread_join(large, low.drop("n"), ["u"], low, n_edges)
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.*").where("u <> v").distinct()
         )
         nxt = materialize(small, "cc")
         state = tuple(nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         release(cur)
-        cur = nxt
+        cur, n_edges = nxt, state[0]
         if state == seen:
             break
         seen = state
