@@ -172,8 +172,7 @@ def q_knn_join_embeddings_lay2(spark, sf_dir):
 
 
 def q_knn_join_embeddings_blocks(spark, sf_dir):
-    """LAY-3: both sides split into blocks, tiles formed by an equi-join on
-    block ids (the plan used when neither side passes the size check)."""
+    """LAY-3: both sides split into packed blocks, every pair of blocks a tile."""
     return _nb_embeddings(spark, sf_dir, strategy="blocks")
 
 

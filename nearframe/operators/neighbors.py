@@ -150,14 +150,12 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
     if strategy == "bounded":
         return brute.knn_bounded(p, k, n_train=sizes.n_train, parallelism=par)
     if strategy == "blocks":
-        sub_rows = max(1, limit // choose.row_bytes(p.dim + 3))
-        # blocks sized by bytes: each side's block is about the broadcast
-        # limit, so a tile fits one task's memory at any input size
-        qb = opts.get("query_blocks") or max(1, -(-sizes.query_bytes // limit))
-        tb = opts.get("train_blocks") or max(1, -(-sizes.train_bytes // limit), min(par, sizes.n_train))
-        return brute.knn_blocks(
-            p, k, query_blocks=qb, train_blocks=tb, n_train=sizes.n_train, subset_rows=sub_rows, parallelism=par
-        )
+        from ..plans import tiles
+
+        # bounded packs at any size; small inputs still give every core a tile
+        qb = opts.get("query_blocks") or tiles.block_count(sizes.n_queries, p.dim)
+        tb = opts.get("train_blocks") or max(tiles.block_count(sizes.n_train, p.dim), min(-(-par // qb), max(1, sizes.n_train)))
+        return tiles.knn_tiles(p, k, query_blocks=qb, train_blocks=tb)
     if strategy == "vectorized":
         from ..plans import vectorized
 
@@ -190,7 +188,7 @@ def knn_join(
     ``exclude_self=True`` drops the pair ``query_id == train_id``, which is
     leave-one-out when both sides are the same table.
     Strategies (all exact, same result): ``broadcast`` (S1), ``bounded``
-    (S2), ``vectorized`` (S3, Arrow + NumPy), ``blocks`` (S4), ``grid``
+    (S2), ``vectorized`` (S3, Arrow + NumPy), ``blocks`` (S4, packed tiles), ``grid``
     (exact cell search for low dimension), ``broadcast_train`` (LAY-2) and
     ``auto``. ``vectorized`` replicates one side while that passes the size
     check (``replicate="queries"``, LAY-1, or ``"train"``, LAY-2, with

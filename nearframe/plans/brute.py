@@ -5,10 +5,10 @@ S1 ``broadcast``  one side replicated (size checked by the caller), the other
 S2 ``bounded``    a hash-chosen train subset gives each query an exact upper
                   bound on its k-th distance; pairs above the bound are dropped
                   before anything is sorted.
-S4 ``blocks``     neither side fits a broadcast: both sides are hash-split into
-                  blocks and paired tile by tile (equi-join on block ids).
 
-All three end in ``rank_neighbours``: ``row_number`` over ``(dist, train_id)``
+S4 ``blocks``, where neither side fits a broadcast, is in ``tiles``.
+
+All end in ``rank_neighbours``: ``row_number`` over ``(dist, train_id)``
 with ``rank <= k``, which Spark plans as WindowGroupLimit(Partial) ->
 Exchange(query_id) -> WindowGroupLimit(Final).
 """
@@ -143,60 +143,3 @@ def knn_bounded(
         cond = cond & (F.col(QUERY_ID) != F.col(TRAIN_ID))
     pairs = _pairs(spread(p.train, parallelism), qb, cond, "broadcast")
     return rank_neighbours(pairs.select(QUERY_ID, TRAIN_ID, LABEL, p.dist().alias(DIST)), k)
-
-
-def _block(c: str, n: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
-
-
-def _every(n: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-
-def knn_blocks(
-    p: Prepared,
-    k: int,
-    *,
-    query_blocks: int,
-    train_blocks: int,
-    n_train: int,
-    subset_rows: int | None = None,
-    parallelism: int = 8,
-) -> DataFrame:
-    """S4 / LAY-3: both sides hash-split into blocks and tiles formed by an
-    equi-join on (query block, train block): every query row is copied once
-    per train block and every train row once per query block, so a tile is
-    one join key. Each tile is filtered by the bound and reduced to a partial
-    top-k in its task before the one exchange on query_id. Shuffle volume is
-    ``Q * train_blocks + N * query_blocks`` rows.
-
-    The S2 bound rides along with each query row: the k-th distance to a
-    hash subset of train, scored by the vectorized kernel with that subset
-    replicated once its count proves it within ``subset_rows``; otherwise
-    the bound is infinite (no pruning, same result).
-    """
-    q = p.queries
-    bounds = None
-    if subset_rows:
-        frac = subset_fraction(n_train, k, max_rows=subset_rows)
-        subset = p.train.where(unit_hash(TRAIN_ID) < frac)
-        # the hash subset is counted before it is replicated: a proven size
-        if subset.count() <= subset_rows:
-            from .vectorized import knn_vectorized
-
-            sub = Prepared(q, subset, p.dim, p.exclude_self)
-            top = knn_vectorized(sub, k, n_queries=0, parallelism=parallelism, replicate="train")
-            bounds = top.groupBy(QUERY_ID).agg(F.count(F.lit(1)).alias("_n"), F.max(DIST).alias("_kth")).select(
-                QUERY_ID, F.when(F.col("_n") >= k, F.col("_kth")).otherwise(F.lit(float("inf"))).alias("bound")
-            )
-    if bounds is not None:
-        q = q.join(bounds, QUERY_ID, "left").fillna({"bound": float("inf")})
-    else:
-        q = q.withColumn("bound", F.lit(float("inf")))
-    qs = q.withColumn("_qb", _block(QUERY_ID, query_blocks)).withColumn("_tb", _every(train_blocks))
-    ts = p.train.withColumn("_tb", _block(TRAIN_ID, train_blocks)).withColumn("_qb", _every(query_blocks))
-    cond = within_bound(p)
-    if p.exclude_self:
-        cond = cond & (F.col(QUERY_ID) != F.col(TRAIN_ID))
-    pairs = ts.join(qs, ["_qb", "_tb"]).where(cond)
-    return rank_neighbours(pairs.select(QUERY_ID, TRAIN_ID, LABEL, p.dist().alias(DIST)), k)

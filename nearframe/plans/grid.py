@@ -297,18 +297,14 @@ def knn_grid(
     n_pending = pending.count()
     log.info("grid pending=%d", n_pending)
     if n_pending:
-        from . import vectorized
+        from . import tiles, vectorized
 
         rest = Prepared(pending, train, d, p.exclude_self)
         if choose.Sizes(n_pending, n_train, d).query_bytes <= broadcast_max_bytes:
             results.append(vectorized.knn_vectorized(rest, k, n_queries=n_pending, parallelism=parallelism))
         else:
-            results.append(
-                brute.knn_blocks(
-                    rest, k, query_blocks=parallelism, train_blocks=parallelism, n_train=n_train,
-                    subset_rows=max(1, broadcast_max_bytes // choose.row_bytes(d + 3)), parallelism=parallelism,
-                )
-            )
+            blocks = tiles.block_count(n_pending, d), tiles.block_count(n_train, d)
+            results.append(tiles.knn_tiles(rest, k, query_blocks=blocks[0], train_blocks=blocks[1]))
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)

@@ -65,8 +65,8 @@ def test_auto_choice_follows_checked_sizes():
 
 
 def test_blocks_plan_is_equi_join_without_nested_loops(spark):
-    """LAY-3: tiles by equi-join on block ids; the bound pass is the
-    vectorized kernel over a counted subset, not a nested-loop join."""
+    """LAY-3: packed blocks meet by a cogroup on block ids, not by a
+    nested-loop join."""
     e = spark.read.parquet(f"{SF}/embeddings.parquet")
     nb = nf.knn_join(e, e, "embedding", 3, query_id="vec_id", exclude_self=True, strategy="blocks")
     txt = plan(nb)
