@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearframe.llm.common import connected_components, materialize
+from nearframe.llm.common import connected_components, materialize, spread_join
 
 #: Vectors aimed at per cell and label, and rows per side of one comparison.
 PER_CELL, SIDE = 128, 2048
@@ -201,7 +201,7 @@ def _verify(cosine: float):
     return run
 
 
-def _compare(assigned: DataFrame, cosine: float) -> DataFrame:
+def _compare(assigned: DataFrame, cosine: float, count: int, visits: int) -> DataFrame:
     """Counts (b = -1) and spanning links of all visited cells. The members and
     the visitors of a cell are cut into sides of about ``SIDE`` rows; every pair
     of sides is one group, so a hot cell spreads over many tasks."""
@@ -209,9 +209,12 @@ def _compare(assigned: DataFrame, cosine: float) -> DataFrame:
     members = assigned.select(*names, F.col("visits")[0].alias("cell"))
     visitors = assigned.select(*names, F.explode("visits").alias("cell"))
     cell = ["label", "dim", "cell"]
-    m = members.groupBy(cell).agg(F.ceil(F.count("*") / SIDE).cast("int").alias("ms"))
-    v = visitors.groupBy(cell).agg(F.ceil(F.count("*") / SIDE).cast("int").alias("vs"))
-    sides = m.join(v, cell)
+    m, v = members.groupBy(cell).agg(F.count("*").alias("n")), visitors.groupBy(cell).agg(F.count("*").alias("n"))
+
+    def cut(name: str) -> F.Column:
+        return F.ceil(F.col("n") / SIDE).cast("int").alias(name)
+
+    sides = m.select(*cell, cut("ms")).join(v.select(*cell, cut("vs")), cell)
 
     def own(n: str) -> F.Column:
         return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -219,8 +222,8 @@ def _compare(assigned: DataFrame, cosine: float) -> DataFrame:
     def each(n: str) -> F.Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = visitors.join(sides, cell).withColumn("v", own("vs")).withColumn("m", each("ms")).drop("ms", "vs")
-    right = members.join(sides, cell).withColumn("m", own("ms")).withColumn("v", each("vs")).drop("ms", "vs")
+    left = spread_join(visitors, sides, cell, v, count * visits).withColumn("v", own("vs")).withColumn("m", each("ms")).drop("ms", "vs")
+    right = spread_join(members, sides, cell, m, count).withColumn("m", own("ms")).withColumn("v", each("vs")).drop("ms", "vs")
     keys = [*cell, "m", "v"]
     # two projections of one frame: give the right side columns of its own
     right = right.select(*[F.col(c).alias(c) for c in left.columns])
@@ -259,11 +262,14 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         out = alone
     else:
         visits, _ = visits_for_recall(packed, grid, cosine, recall, count)
-        found = materialize(_compare(_assign(packed, grid, visits), cosine), "embed-links")
+        found = materialize(_compare(_assign(packed, grid, visits), cosine, count, visits), "embed-links")
         counts = found.where("b = -1").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
         parts = connected_components(found.where("b <> -1").select("a", "b"))
         named = distinct.join(counts, "node", "left").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-        classes = named.join(least, "component").select("label", "emb", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
-        out = good.join(classes, ["label", "emb"]).select("vec_id", "n_links", "component_id").unionByName(alone)
+        least = named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))
+        links = (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links")
+        classes = spread_join(named.select("component", "label", "emb", links), least.drop("n"), ["component"], least, count)
+        # equal vectors may be a third of all rows
+        rows_in = distinct.agg(F.sum("n")).first()[0]
+        out = spread_join(good, classes.drop("component"), ["label", "emb"], distinct.select("label", "emb", "n"), rows_in).select("vec_id", "n_links", "component_id").unionByName(alone)
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
