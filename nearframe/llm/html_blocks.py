@@ -42,6 +42,28 @@ LABELLED = [
     (4, 0.0, 2, 1.0, 3, 1.0, 0, 0, 0, 0), (6, 0.0, 5, 1.0, 2, 1.0, 0, 0, 0, 0), (3, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (12, 0.9, 10, 0.8, 14, 1.0, 0, 0, 0, 0),
     (20, 0.8, 3, 1.0, 3, 1.0, 0, 0, 0, 0), (35, 0.7, 60, 0.0, 8, 1.0, 0, 0, 0, 0), (9, 0.0, 120, 0.0, 0, 0.0, 0, 1, 0, 0), (11, 0.1, 80, 0.0, 2, 1.0, 0, 1, 0, 0),
     (50, 0.0, 100, 0.0, 0, 0.0, 0, 1, 0, 0), (5, 0.0, 3, 0.0, 2, 1.0, 0, 1, 1, 0), (2, 0.5, 3, 1.0, 2, 1.0, 0, 0, 0, 0), (7, 0.0, 0, 0.0, 5, 1.0, 0, 1, 1, 0),
+    # text and headings before link lists, linked footers and linked menus; the last words of an article
+    (60, 0.0, 50, 0.0, 2, 1.0, 1, 0, 0, 1), (25, 0.0, 90, 0.0, 1, 1.0, 1, 0, 0, 1), (140, 0.0, 70, 0.0, 6, 1.0, 1, 0, 0, 1), (12, 0.1, 40, 0.0, 3, 1.0, 1, 0, 0, 1),
+    (1, 0.0, 30, 0.0, 1, 1.0, 1, 0, 0, 1), (5, 0.0, 60, 0.0, 4, 1.0, 1, 0, 1, 1), (9, 0.0, 1, 1.0, 5, 1.0, 1, 0, 1, 1), (45, 0.0, 2, 1.0, 3, 1.0, 1, 0, 0, 1),
+    (80, 0.0, 60, 0.0, 2, 1.0, 0, 0, 0, 1), (35, 0.0, 40, 0.0, 1, 1.0, 0, 0, 0, 1), (120, 0.05, 90, 0.0, 5, 1.0, 0, 0, 0, 1), (28, 0.0, 3, 1.0, 4, 1.0, 0, 0, 0, 1),
+    (55, 0.2, 1, 1.0, 1, 1.0, 0, 0, 0, 1), (16, 0.0, 70, 0.0, 2, 1.0, 0, 0, 0, 1), (14, 0.0, 60, 0.0, 3, 0.9, 0, 0, 0, 1), (15, 0.0, 35, 0.0, 1, 1.0, 0, 0, 0, 1),
+    # linked blocks before plain text: menus outside nav, link lists, teasers
+    (1, 1.0, 1, 1.0, 9, 0.0, 0, 0, 0, 0), (2, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0, 0), (3, 1.0, 0, 0.0, 40, 0.0, 0, 0, 0, 0), (5, 1.0, 60, 0.0, 30, 0.0, 0, 0, 0, 0),
+    (8, 0.9, 7, 1.0, 120, 0.0, 0, 0, 0, 0), (20, 0.8, 3, 1.0, 50, 0.0, 0, 0, 0, 0), (2, 1.0, 80, 0.0, 6, 0.0, 0, 0, 0, 0), (1, 1.0, 9, 0.0, 0, 0.0, 0, 0, 0, 0),
+    # linked blocks in an article: a link list in it, a linked title, one linked line
+    (3, 1.0, 3, 1.0, 3, 1.0, 1, 0, 0, 0), (5, 1.0, 40, 0.0, 4, 1.0, 1, 0, 0, 0), (2, 1.0, 6, 1.0, 4, 1.0, 1, 0, 0, 0), (7, 1.0, 2, 0.0, 8, 1.0, 1, 0, 0, 0),
+    (6, 1.0, 30, 0.0, 60, 0.0, 1, 0, 1, 1), (8, 1.0, 1, 1.0, 50, 0.0, 1, 0, 1, 1), (12, 0.8, 70, 0.0, 40, 0.0, 1, 0, 0, 1), (5, 1.0, 90, 0.0, 30, 0.0, 1, 0, 0, 1),
+    (4, 1.0, 30, 0.0, 8, 0.0, 1, 0, 0, 1), (6, 1.0, 1, 1.0, 12, 0.0, 1, 0, 1, 1), (3, 1.0, 20, 0.0, 2, 0.0, 1, 0, 0, 1), (9, 0.7, 15, 0.0, 14, 0.0, 1, 0, 0, 1),
+    (2, 0.0, 10, 0.0, 1, 1.0, 1, 0, 0, 1), (3, 0.0, 6, 0.0, 2, 1.0, 1, 0, 0, 1), (4, 0.0, 3, 0.0, 1, 1.0, 1, 0, 0, 1), (2, 0.0, 1, 1.0, 5, 1.0, 1, 0, 1, 1),
+    # short plain words among links, captions of menus
+    (1, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (2, 0.0, 9, 0.0, 2, 1.0, 0, 0, 1, 0), (3, 0.0, 60, 0.0, 3, 1.0, 0, 0, 1, 0), (5, 0.2, 4, 1.0, 1, 1.0, 0, 0, 0, 0),
+    # short headings and lines of text outside an article
+    (5, 0.0, 45, 0.0, 20, 0.0, 0, 0, 1, 1), (4, 0.0, 60, 0.0, 12, 0.0, 0, 0, 1, 1), (3, 0.0, 40, 0.0, 9, 0.0, 0, 0, 0, 1), (6, 0.0, 12, 0.0, 10, 0.0, 0, 0, 0, 1),
+    (4, 0.0, 1, 1.0, 18, 0.0, 0, 0, 1, 1), (2, 0.0, 30, 0.0, 0, 0.0, 0, 0, 0, 1), (5, 0.0, 60, 0.0, 2, 1.0, 0, 0, 0, 1), (3, 0.0, 45, 0.0, 4, 1.0, 0, 0, 0, 1),
+    (4, 0.0, 50, 0.0, 2, 0.0, 0, 0, 0, 1), (3, 0.0, 20, 0.0, 1, 0.0, 0, 0, 0, 1), (6, 0.0, 9, 0.0, 3, 0.0, 0, 0, 0, 1), (1, 0.0, 60, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 5, 1.0, 6, 1.0, 0, 0, 0, 0), (3, 0.0, 2, 1.0, 8, 1.0, 0, 0, 0, 0), (1, 0.0, 4, 1.0, 9, 0.9, 0, 0, 1, 0), (4, 0.0, 20, 0.0, 1, 1.0, 0, 0, 0, 1),
+    # plain text after links
+    (40, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 1), (22, 0.0, 1, 1.0, 8, 0.0, 0, 0, 0, 1), (70, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0, 1), (18, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
 ]
 
 

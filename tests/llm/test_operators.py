@@ -265,6 +265,21 @@ def test_tree_fits_its_table():
     assert np.mean([(tree.score(r) >= 0.5) == r[-1] for r in html_blocks.LABELLED]) > 0.97
 
 
+def main_lines(page):
+    return html_blocks.main_text(page, html_blocks.train_tree(html_blocks.LABELLED)).split("\n")
+
+
+def test_main_text_before_links():
+    text = "A paragraph of many plain words that stands at the very end of what the page has to say about its subject today."
+    tail = '<footer><a href="/c">Contact</a></footer>'
+    related = '<ul><li><a href="/1">One more story</a></li><li><a href="/2">Another story here</a></li></ul>'
+    for page in (f"<article><h1>Title</h1><p>{text}</p></article>{tail}", f"<div><h1>Title</h1><p>{text}</p></div>{tail}", f"<article><h1>Title</h1><p>{text}</p></article>{related}{tail}"):
+        assert main_lines(page) == ["Title", text]
+    assert main_lines(f"<article><h1>Title</h1>{related}<p>{text}</p><p>Two.</p></article>{related}")[-2:] == [text, "Two."]
+    # a menu outside nav: its last entry is no text either
+    assert main_lines(f'<ul><li><a href="/">Home</a></li><li><a href="/a">About</a></li></ul><p>{text}</p><p>{text}</p>') == [text, text]
+
+
 # ------------------------------------------------------------------ packing
 def test_packing(docs, none):
     out = packing.pack_documents(docs, size=256).collect()
