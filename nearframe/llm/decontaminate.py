@@ -26,13 +26,13 @@ from nearframe.llm.common import slices
 
 BUCKETS = 1 << 16
 RANK = 256
-#: Bits of a word's hash in the table of key words: collisions are rare there.
-KEY_BITS = 22
 PARTS = 64
 #: Words of a benchmark passage; document passages are three steps long, so
 #: that each run of ``PASSAGE`` words lies within one.
 PASSAGE, STEP = 32, 16
 BLOCK_BYTES = 8 << 20
+#: Passages per side of one product of folded vectors, and steps folded at once.
+ROWS, GATHER = 2048, 256
 
 #: Lower-cased byte codes; 0 for bytes that belong to no word.
 _CODE = np.zeros(256, np.uint64)
@@ -93,10 +93,6 @@ def _bucket(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(48)).astype(np.int64)
 
 
-def _key(words: np.ndarray) -> np.ndarray:
-    return (words >> np.uint64(64 - KEY_BITS)).astype(np.int64)
-
-
 def inverse_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     """IDF of every word bucket over all documents."""
 
@@ -214,101 +210,68 @@ def common_subsequence(masks: dict[int, int], n: int, words: list[int]) -> int:
 class Index:
     """Benchmark items of one block, ready for the search in a task."""
 
-    def __init__(self, items: list[tuple[int, str]], idf: np.ndarray, space: np.ndarray, cover: float = 0.5):
+    def __init__(self, items: list[tuple[int, str]], idf: np.ndarray, space: np.ndarray):
         # only the rows that are not zero, and where each bucket's row is
         used = np.flatnonzero(np.abs(space).sum(axis=1) > 1e-9)
         self.table = (space[used] * idf[used, None]).astype(np.float32)
         self.row = np.full(BUCKETS, -1, np.int32)
         self.row[used] = np.arange(len(used))
-        self.ids, self.sizes, self.masks, self.answers, owner, vectors, passages = [], [], [], [], [], [], []
+        self.ids, self.sizes, self.masks, self.counts, self.answers, owner, vectors = [], [], [], [], [], [], []
         for item, text in items:
             words = _hash_text(text or "")
             if not len(words):
                 continue
             for p in _passages(words):
                 owner.append(len(self.ids))
-                passages.append(p)
                 vectors.append(self.fold(p))
             answer = answer_words(text)
             self.ids.append(item)
             self.sizes.append(len(words))
             self.masks.append(word_masks(words))
+            self.counts.append([(w, m.bit_count()) for w, m in self.masks[-1].items()])
             self.answers.append((word_masks(answer), len(answer)))
         self.owner = np.array(owner, np.int64)
         v = np.stack(vectors) if vectors else np.zeros((0, space.shape[1]), np.float32)
-        self.norm = np.maximum(np.linalg.norm(v, axis=1), 1e-12)
-        self.unit = v / self.norm[:, None]
-        self.choose_keys(passages, idf, cover)
+        self.unit = v / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]
 
     def fold(self, words: np.ndarray) -> np.ndarray:
         row = self.row[_bucket(words)]
         return self.table[row[row >= 0]].sum(axis=0)
 
-    def choose_keys(self, passages: list[np.ndarray], idf: np.ndarray, cover: float) -> None:
-        """Prefix filter: the key words of a benchmark passage are its rarest
-        ones, all but 0.15 * ``cover`` of its TF-IDF mass. A document passage
-        that shares ``cover`` of the mass has key words for most of that."""
-        place, owner, mass, need = [], [], [], []
-        for j, words in enumerate(passages):
-            at, n = np.unique(_key(words), return_counts=True)
-            m = (n * idf[at >> (KEY_BITS - 16)]) ** 2
-            m /= m.sum()
-            order = np.argsort(-m, kind="stable")
-            last = int(np.flatnonzero(1 - np.cumsum(m[order]) <= 0.15 * cover)[0])
-            keys = order[: last + 1]
-            place.append(at[keys])
-            owner.append(np.full(len(keys), j))
-            mass.append(m[keys])
-            need.append(0.9 * cover - (1 - m[keys].sum()))
-        place, owner, mass = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (place, owner, mass))
-        order = np.argsort(place, kind="stable")
-        self.key_owner, self.key_mass, self.need = owner[order], mass[order], np.array(need)
-        keys, self.key_first, self.key_count = np.unique(place[order], return_index=True, return_counts=True)
-        self.key = np.full(1 << KEY_BITS, -1, np.int32)
-        self.key[keys] = np.arange(len(keys))
-
-    def near(self, words: np.ndarray, step: np.ndarray, first_step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of document passage (its first step) and benchmark passage that
-        share enough key words. ``first_step`` is the first step of the text
-        that a step belongs to."""
-        key = self.key[_key(words)]
-        hit = np.flatnonzero(key >= 0)
-        key, at = key[hit], step[hit]
-        n = self.key_count[key]
-        row = np.repeat(np.arange(len(hit)), n)
-        entry = np.repeat(self.key_first[key], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        j, mass, at = self.key_owner[entry], self.key_mass[entry], at[row]
-        # a step belongs to the passages that start there and at the two before
-        code, value = [], []
-        for d in range(3):
-            ok = at - d >= first_step[at]
-            code.append((at[ok] - d) * len(self.need) + j[ok])
-            value.append(mass[ok])
-        code, value = np.concatenate(code), np.concatenate(value)
-        if not len(code):
-            return code, code
-        order = np.argsort(code, kind="stable")
-        head = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]]))
-        total, code = np.add.reduceat(value[order], head), code[order][head]
-        code = code[total >= self.need[code % len(self.need)]]
-        return code // len(self.need), code % len(self.need)
+    def fold_steps(self, row: np.ndarray, step: np.ndarray, n: int) -> np.ndarray:
+        """Folded sums of ``n`` steps; ``row`` and ``step`` of each word."""
+        out = np.zeros((n, self.table.shape[1]), np.float32)
+        known = row >= 0
+        row, step = row[known], step[known]
+        cuts = np.searchsorted(step, np.arange(0, n + GATHER, GATHER))
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if x < y:
+                first = np.flatnonzero(np.concatenate([[True], step[x + 1 : y] != step[x : y - 1]]))
+                out[step[x:y][first]] = np.add.reduceat(self.table[row[x:y]], first, axis=0)
+        return out
 
     def candidates(self, words: np.ndarray, owner: np.ndarray, head: np.ndarray, p: dict) -> Iterator[tuple[int, int, float]]:
         """(step, benchmark passage, cosine) of the passages near each other in
-        the latent space."""
-        step = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(words))))
-        first_step = np.searchsorted(owner, owner, side="left")
-        b, j = self.near(words, step, first_step)
-        ends = np.append(head[1:], len(words))
-        for s in range(0, len(b), 1024):
-            rows, back = np.unique(b[s : s + 1024], return_inverse=True)
-            last = np.minimum(rows + 2, np.searchsorted(owner, owner[rows], side="right") - 1)
-            vec = np.stack([self.fold(words[x:y]) for x, y in zip(head[rows].tolist(), ends[last].tolist(), strict=True)])
-            norm, to = np.linalg.norm(vec, axis=1), j[s : s + 1024]
-            dot = np.einsum("ij,ij->i", vec[back], self.unit[to])
-            good = (dot >= p["cosine"] * norm[back]) & (dot >= p["cover"] * self.norm[to]) & (dot > 0)
-            for i in np.flatnonzero(good).tolist():
-                yield int(b[s + i]), int(to[i]), float(dot[i] / norm[back[i]])
+        the latent space: all passages of the texts against all of the block."""
+        row = self.row[_bucket(words)]
+        ends = np.append(head, len(words))
+        for s in range(0, len(head), ROWS):
+            e = min(s + ROWS, len(head))
+            far = min(e + 2, len(head))
+            step = np.repeat(np.arange(far - s), np.diff(ends[s : far + 1]))
+            part = self.fold_steps(row[ends[s] : ends[far]], step, far - s)
+            # a passage is a step and the next two of the same text
+            vec = part[: e - s].copy()
+            for d in (1, 2):
+                on = np.flatnonzero(owner[s : max(min(e, len(head) - d), s)] == owner[s + d : min(e + d, len(head))])
+                vec[on] += part[on + d]
+            norm = np.linalg.norm(vec, axis=1)
+            some = np.flatnonzero(norm > 0)
+            vec, norm = vec[some], norm[some]
+            for t in range(0, len(self.unit), ROWS):
+                dot = vec @ self.unit[t : t + ROWS].T
+                for i, j in zip(*(x.tolist() for x in np.nonzero((dot >= p["cosine"] * norm[:, None]) & (dot > 0))), strict=True):
+                    yield s + int(some[i]), t + j, float(dot[i, j] / norm[i])
 
     def search(self, data: np.ndarray, bounds: np.ndarray, p: dict) -> list[list[dict]]:
         found: list[list[dict]] = [[] for _ in bounds]
@@ -329,6 +292,10 @@ class Index:
             at, n = int(place[head[b]]), self.sizes[k]
             lo = max(0, at - n)
             window = words[first[d] + lo : min(first[d] + at + 3 * STEP + n, first[d + 1])].tolist()
+            # no common subsequence is longer than the item's words that occur here
+            here = set(window)
+            if sum(c for w, c in self.counts[k] if w in here) < p["share"] * n:
+                continue
             share = common_subsequence(self.masks[k], n, window) / n
             if share < p["share"]:
                 continue
@@ -349,7 +316,7 @@ MATCH = "array<struct<item_id:long,cosine:double,lcs_share:double,answered:boole
 _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()), ("answered", pa.bool_()), ("word", pa.int32())]))
 
 
-def matcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rank: int = RANK, cosine: float = 0.6, cover: float = 0.5, share: float = 0.6, verbatim: float = 0.8, answer: float = 0.6):
+def matcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rank: int = RANK, cosine: float = 0.6, share: float = 0.6, verbatim: float = 0.8, answer: float = 0.6):
     """A column function: whole text -> the benchmark items it contains.
 
     The benchmark is the stated query set; it is compared in blocks of at most
@@ -361,11 +328,11 @@ def matcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     n = 1 + size // BLOCK_BYTES
     idf = inverse_frequencies(docs, text)
     space = latent_space(items, idf, "text", rank)
-    p = {"cosine": cosine, "cover": cover, "share": share, "verbatim": verbatim, "answer": answer}
+    p = {"cosine": cosine, "share": share, "verbatim": verbatim, "answer": answer}
 
     def block(k: int):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).distinct().orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part], idf, space, cover))
+        shared = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part], idf, space))
 
         @F.arrow_udf(MATCH)
         def match(texts: pa.Array) -> pa.Array:

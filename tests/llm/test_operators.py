@@ -164,6 +164,35 @@ def test_leaks(spark, docs, none):
     assert decontaminate.find_leaks(none, b).count() == 0 and decontaminate.find_leaks(docs, b.limit(0)).count() == 0
 
 
+def test_leaks_with_rare_words_replaced(spark):
+    rng = np.random.default_rng(3)
+    common, rare = [f"c{i}" for i in range(400)], [f"r{i}" for i in range(4000)]
+    text = lambda n: [common[j] if i % 3 else rare[k] for i, (j, k) in enumerate(zip(rng.integers(0, 400, n), rng.integers(0, 4000, n), strict=True))]
+    items = [" ".join(text(30)) + ". " + " ".join(common[j] for j in rng.integers(0, 400, 10)) + "." for _ in range(40)]
+    # every rare word of the item but one by a word that stands nowhere else
+    para = [" ".join(f"s{k}x{i}" if w[0] == "r" and i else w for i, w in enumerate(t.split())) for k, t in enumerate(items)]
+    rows = [(i, " ".join(text(300))) for i in range(200)] + [(1000 + k, " ".join(text(40)) + " " + p + " " + " ".join(text(40))) for k, p in enumerate(para)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    idf = decontaminate.inverse_frequencies(d)
+    index = decontaminate.Index(list(enumerate(items)), idf, decontaminate.latent_space(b, idf))
+    want = set()
+    for k, (i, t) in enumerate(rows):
+        w = decontaminate._hash_text(t)
+        for s in range(0, len(w), decontaminate.STEP):
+            v = index.fold(w[s : s + 3 * decontaminate.STEP])
+            want |= {(k, s // decontaminate.STEP, int(j)) for j in np.flatnonzero(index.unit @ v >= 0.6 * np.linalg.norm(v) + 1e-5)}
+    raw = [t.encode() for _, t in rows]
+    words, doc = decontaminate.word_hashes(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([len(x) for x in raw]))
+    place = np.arange(len(words)) - np.searchsorted(doc, doc)
+    head = np.flatnonzero(place % decontaminate.STEP == 0)
+    got = {(int(doc[head[a]]), int(place[head[a]]) // decontaminate.STEP, j) for a, j, _ in index.candidates(words, doc[head], head, {"cosine": 0.6, "cover": 0.5})}
+    assert got >= want and len(want) >= 40
+    near = {(k, index.ids[index.owner[j]]) for k, _, j in want}
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(d, b).collect()}
+    assert found == {(1000 + k, k) for k in range(40) if (200 + k, k) in near} and len(found) > 30
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(50):
