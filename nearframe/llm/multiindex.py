@@ -2,13 +2,15 @@
 
 Independent codebooks on the two halves of the vectors form a product grid of
 cells. Each vector visits its nearest cells in multi-sequence order; how many
-cells reach the target recall is measured against brute force; the vectors of
-the visited cells are verified by their exact cosine.
+cells reach the target recall is measured against brute force, and where links
+are too few for that all cells in reach are visited; the vectors of the visited
+cells are verified by their exact cosine.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,6 +71,35 @@ class Grid:
         width = len(self.books[1])
         return [[i * width + j for i, j in multi_sequence(a, b, n)] for a, b in zip(d1, d2, strict=True)]
 
+    def place(self, d1: np.ndarray, d2: np.ndarray, cell: int) -> int:
+        """Place of a cell in the order of growing ``d1[i] + d2[j]``; of cells
+        as far as it, the last."""
+        i, j = divmod(cell, len(d2))
+        return int(np.searchsorted(np.sort(d2), d1[i] + d2[j] - d1 + 1e-12, side="right").sum()) - 1
+
+    def within(self, x: np.ndarray, cosine: float) -> Iterator[np.ndarray]:
+        """For every vector the cells that may hold a vector of at least
+        ``cosine``, its own first. A vector nearest to centre c is beyond the
+        plane halfway between c and any other centre a; the planes of the two
+        halves exclude a cell whose squared distances add up to more than the
+        squared distance 2 - 2 ``cosine`` of unit vectors."""
+        if x.shape[1] != self.dim:
+            yield from np.zeros((len(x), 1), np.int32)
+            return
+        gaps = [[np.sqrt(((c - a) ** 2).sum(axis=1)) for a in c] for c in self.books]
+        width = len(self.books[1])
+        for a, b in zip(*self.distances(x), strict=True):
+            out = []
+            for d, gap in zip((a, b), gaps, strict=True):
+                own = int(d.argmin())
+                apart = gap[own] > 1e-6
+                out.append((own, np.where(apart, (d - d[own]) / np.where(apart, 2 * gap[own], 1.0), 0.0) ** 2))
+            (i, far1), (j, far2) = out
+            home = i * width + j
+            p, q = np.nonzero(far1[:, None] + far2[None] <= 2 - 2 * cosine + 1e-9)
+            cells = p * width + q
+            yield np.concatenate([[home], cells[cells != home]]).astype(np.int32)
+
 
 def unit(rows: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
@@ -103,60 +134,84 @@ def build_grid(vectors: DataFrame, labels: int, count: int, max_rows: int = 20_0
     return Grid(kmeans(x[:, :h], k), kmeans(x[:, h:], k) if dim > 1 else np.zeros((1, 0)))
 
 
-def visits_for_recall(vectors: DataFrame, grid: Grid, cosine: float, recall: float, count: int, queries: int = 400) -> tuple[int, float]:
+def visits_for_recall(vectors: DataFrame, grid: Grid, cosine: float, recall: float, count: int, queries: int = 400, links: int = 1000, linked: int = 100, most: int = 6400) -> tuple[int, float] | None:
     """Cells to visit so that ``recall`` of the true links of a set of query
-    vectors is met, and the recall measured there: the queries (a stated,
-    bounded set) are compared with all vectors by brute force, and the links
-    are counted by the place of their cell in the query's order."""
-    pick = vectors.where(F.col("dim") == grid.dim)
-    if count > queries:
-        pick = pick.where(F.pmod(F.xxhash64("node", "vec"), F.lit(1 << 30)) < int(queries / count * (1 << 30)))
-    rows = pick.select("node", "label", "vec").orderBy("node").collect()
-    if not rows:
+    vectors is met, and the recall measured there. The queries are compared
+    with all vectors by brute force, and the links are counted by the place of
+    their cell in the query's order. The set grows fourfold until it has seen
+    ``links`` true links at ``linked`` queries or holds every vector. None where
+    ``most`` queries see too few links: then nothing is known of the recall."""
+    pool = vectors.where(F.col("dim") == grid.dim)
+    while True:
+        pick = pool
+        if count > queries:
+            pick = pick.where(F.pmod(F.xxhash64("node", "vec"), F.lit(1 << 30)) < int(queries / count * (1 << 30)))
+        rows = pick.select("node", "label", "vec").orderBy("node").collect()
+        seen = _places(pool, grid, cosine, rows) if rows else None
+        if count <= queries:
+            break  # every vector was asked
+        if seen is not None and seen["n"].sum() >= links and int(seen["queries"].sum()) >= linked:
+            break
+        if queries >= most:
+            return None
+        queries = min(4 * queries, most)
+    if seen is None or not seen["n"].sum():
         return 1, 1.0
-    q = unit([bytes(r["vec"]) for r in rows])
-    d1, d2 = grid.distances(q)
-    order = np.argsort((d1[:, :, None] + d2[:, None, :]).reshape(len(q), -1), axis=1, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.arange(order.shape[1])[None], axis=1)
-    shared = vectors.sparkSession.sparkContext.broadcast((q, rank, np.array([r["node"] for r in rows]), np.array([r["label"] for r in rows]), grid))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q, rank, nodes, labels, grid = shared.value
-        total = np.zeros(grid.cells, np.int64)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x = unit(b.column("vec").to_pylist())
-            cell = np.array([v[0] for v in grid.visits(x, 1)])
-            hit = (q @ x.T >= cosine) & (labels[:, None] == np.array(b.column("label").to_pylist())[None]) & (nodes[:, None] != b.column("node").to_numpy()[None])
-            i, j = np.nonzero(hit)
-            total += np.bincount(rank[i, cell[j]], minlength=grid.cells)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["place", "n"])
-
-    seen = vectors.where(F.col("dim") == grid.dim).select("node", "label", "vec").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
-    if not len(seen):
-        return min(4, grid.cells), 1.0
-    seen = seen.sort_values("place")
+    seen = seen[seen["place"] >= 0].sort_values("place")
     share = seen["n"].cumsum() / seen["n"].sum()
     at = int((share >= recall).to_numpy().argmax())
     # one cell more than measured, for the queries that were not asked
     return min(int(seen["place"].iloc[at]) + 2, grid.cells), float(share.iloc[at])
 
 
-def _assign(vectors: DataFrame, grid: Grid, visits: int) -> DataFrame:
-    shared = vectors.sparkSession.sparkContext.broadcast(grid)
+def _places(pool: DataFrame, grid: Grid, cosine: float, rows: list):
+    """``place, n, queries``: true links of the queries ``rows`` by the place of
+    their cell; place -1 has the number of queries with a link."""
+    q = unit([bytes(r["vec"]) for r in rows])
+    shared = pool.sparkSession.sparkContext.broadcast((q, np.array([r["node"] for r in rows]), np.array([r["label"] for r in rows]), grid))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, nodes, labels, grid = shared.value
+        d1, d2 = grid.distances(q)
+        total: dict[tuple[int, int], int] = {}
         for b in batches:
             if not b.num_rows:
                 continue
+            x = unit(b.column("vec").to_pylist())
+            near = [d.argmin(axis=1) for d in grid.distances(x)]
+            cell = near[0] * len(grid.books[1]) + near[1]
+            mine, label = b.column("node").to_numpy(), np.array(b.column("label").to_pylist())
+            for s in range(0, len(q), 512):
+                e = s + 512
+                i, j = np.nonzero((q[s:e] @ x.T >= cosine) & (labels[s:e, None] == label[None]) & (nodes[s:e, None] != mine[None]))
+                for c, n in zip(*(v.tolist() for v in np.unique((s + i) * grid.cells + cell[j], return_counts=True)), strict=True):
+                    total[c] = total.get(c, 0) + n
+        codes = np.array(list(total), np.int64)
+        asked = codes // max(grid.cells, 1)
+        place = [grid.place(d1[i], d2[i], c) for i, c in zip(asked.tolist(), (codes % grid.cells).tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(place, pa.int64()), pa.array(list(total.values()), pa.int64())], names=["query", "place", "n"])
+
+    found = pool.select("node", "label", "vec").mapInArrow(run, "query long, place long, n long").groupBy("query", "place").agg(F.sum("n").alias("n"))
+    found = materialize(found, "embed-places")
+    places = found.groupBy("place").agg(F.sum("n").alias("n"), F.lit(0).cast("long").alias("queries"))
+    return places.unionByName(found.agg(F.lit(-1).cast("long").alias("place"), F.lit(0).cast("long").alias("n"), F.countDistinct("query").alias("queries"))).toPandas()
+
+
+def _assign(vectors: DataFrame, grid: Grid, visits: int | None, cosine: float = 1.0) -> DataFrame:
+    """The cells that each vector visits, its own first: the nearest ``visits``,
+    or for None every cell that may hold a vector of at least ``cosine``."""
+    shared = vectors.sparkSession.sparkContext.broadcast(grid)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # lists without a fixed length go out a few rows at a time
+        size = 64 if visits is None else 1 << 20
+        for b in (x.slice(s, size) for x in batches for s in range(0, x.num_rows, size)):
             dims = b.column("dim").to_numpy()
             cells: list = [None] * b.num_rows
             for d in np.unique(dims):
                 rows = np.flatnonzero(dims == d)
-                for r, v in zip(rows, shared.value.visits(unit([b.column("vec")[int(i)].as_py() for i in rows]), visits), strict=True):
+                x = unit([b.column("vec")[int(i)].as_py() for i in rows])
+                for r, v in zip(rows, shared.value.within(x, cosine) if visits is None else shared.value.visits(x, visits), strict=True):
                     cells[r] = v
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*b.schema.names, "visits"])
 
@@ -207,7 +262,8 @@ def _compare(assigned: DataFrame, cosine: float, count: int, visits: int) -> Dat
     of sides is one group, so a hot cell spreads over many tasks."""
     names = assigned.columns
     members = assigned.select(*names, F.col("visits")[0].alias("cell"))
-    visitors = assigned.select(*names, F.explode("visits").alias("cell"))
+    # a visitor needs its own cell only
+    visitors = assigned.select(*names[:-1], F.slice("visits", 1, 1).alias("visits"), F.explode("visits").alias("cell"))
     cell = ["label", "dim", "cell"]
     m, v = members.groupBy(cell).agg(F.count("*").alias("n")), visitors.groupBy(cell).agg(F.count("*").alias("n"))
 
@@ -235,8 +291,9 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
 
     Rows link if their labels are equal and their cosine (in double) is at
     least ``cosine``. Pairs are searched through the grid with the number of
-    visits that reaches ``recall`` on a measured query set; every pair found is
-    verified, and no pair below the threshold is counted.
+    visits that reaches ``recall`` on a measured query set, or where the query
+    set has too few links through every cell that can hold one; every pair found
+    is verified, and no pair below the threshold is counted.
 
     Defined results: a null label, a null or zero vector, and one with a null
     or non-finite component link with nothing (own component, kept); vectors of
@@ -261,8 +318,14 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     if grid is None:
         out = alone
     else:
-        visits, _ = visits_for_recall(packed, grid, cosine, recall, count)
-        found = materialize(_compare(_assign(packed, grid, visits), cosine, count, visits), "embed-links")
+        measured = visits_for_recall(packed, grid, cosine, recall, count)
+        if measured:
+            visits = measured[0]
+            assigned = _assign(packed, grid, visits)
+        else:
+            assigned = materialize(_assign(packed, grid, None, cosine), "embed-cells")
+            visits = math.ceil(assigned.agg(F.avg(F.size("visits"))).first()[0])
+        found = materialize(_compare(assigned, cosine, count, visits), "embed-links")
         counts = found.where("b = -1").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
         parts = connected_components(found.where("b <> -1").select("a", "b"))
         named = distinct.join(counts, "node", "left").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -263,6 +263,35 @@ def test_embedding_links(spark):
     assert multiindex.embedding_links(d.limit(0)).count() == 0
 
 
+def test_embedding_links_are_rare(spark):
+    rng = np.random.default_rng(16)
+    x = rng.standard_normal((8000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(60):  # pairs just above the threshold
+        v = x[7000 + i] - (x[7000 + i] @ x[i]) * x[i]
+        x[7000 + i] = 0.932 * x[i] + (1 - 0.932**2) ** 0.5 * v / np.linalg.norm(v)
+    d = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    n = (x @ x.T >= 0.93).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in multiindex.embedding_links(d).collect()}
+    assert n.sum() >= 120 and {i: c for i, c in got.items() if c} == {i: c for i, c in enumerate(n.tolist()) if c}
+
+
+def test_places_and_cells_in_reach():
+    rng = np.random.default_rng(17)
+    x = rng.standard_normal((600, 8))
+    x[300:] = x[:300] + 0.2 * rng.standard_normal((300, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    grid = multiindex.Grid(multiindex.kmeans(x[:, :4], 12), multiindex.kmeans(x[:, 4:], 9))
+    first = [v[0] for v in grid.visits(x, 1)]
+    reach = list(grid.within(x, 0.93))
+    assert [int(v[0]) for v in reach] == first and np.mean([len(v) for v in reach]) < 0.9 * grid.cells
+    for i, j in zip(*np.nonzero(x @ x.T >= 0.93), strict=True):
+        assert first[j] in reach[i]
+    d1, d2 = grid.distances(x[:20])
+    for a, b, order in zip(d1, d2, grid.visits(x[:20], grid.cells), strict=True):
+        assert [grid.place(a, b, c) for c in order] == list(range(grid.cells))
+
+
 def test_multi_sequence():
     rng = np.random.default_rng(7)
     a, b = rng.random(6), rng.random(5)
