@@ -50,7 +50,8 @@ def labelled_samples(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     Random ones are digests in the three usual spellings (hex, base64, upper
     case with digits); ordinary ones are words of at most about ``max_docs``
     documents, a documented bound, chosen by a hash of the id, and identifiers
-    made from neighbouring words (``a_b_c``, ``aBC``, ``a/b/c``).
+    made from neighbouring words (``a_b_c``, ``A_B_C``, ``aBC``, ``a/b/c``, and
+    ``a_b_c`` with a number at the end).
     """
     spark = docs.sparkSession
     n = max(docs.count(), 1)
@@ -69,7 +70,9 @@ def labelled_samples(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         return F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - 3, F.lit(0)), F.lit(3)), lambda i: F.array_join(F.slice("w", i + 1, 3), sep))
 
     camel = F.transform(joined(" "), lambda s: F.replace(F.initcap(s), F.lit(" "), F.lit("")))
-    ordinary = lists.where(F.size("w") >= 3).select(F.explode(F.concat("w", joined("_"), joined("/"), camel)).alias("token"))
+    # a number of one to four digits by a hash of the name
+    numbered = F.transform(joined("_"), lambda s: F.concat(s, F.lit("_"), F.substring(F.pmod(F.xxhash64(s), F.lit(10_000)).cast("string"), 1, 4)))
+    ordinary = lists.where(F.size("w") >= 3).select(F.explode(F.concat("w", joined("_"), joined("/"), F.transform(joined("_"), F.upper), camel, numbered)).alias("token"))
     return random.withColumn("random", F.lit(1)).unionByName(ordinary.withColumn("random", F.lit(0)))
 
 
@@ -102,7 +105,7 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sa
     ``struct<start, kind_no, kind, end>`` sorted by start, then kind.
 
     ``base`` has the three fixed kinds. ``extra`` (kind ``markov``) has strings
-    of 20 or more token characters, with a digit among them, whose mean
+    of 20 or more token characters, with or without digits, whose mean
     log-likelihood ratio of the two models reaches ``min_ratio``, and which
     overlap no base span.
 
@@ -123,7 +126,7 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sa
     long_hex = "[0-9a-f]{24,}"
     out = out.select("*", F.when(t.rlike(long_hex), _spans(t, long_hex)).otherwise(none).alias("s_hex"))
     out = out.select("*", F.when(t.rlike(TOKEN), F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0))).otherwise(F.expr("CAST(array() AS array<string>)")).alias("v_token"))
-    suspect = F.transform("v_token", lambda m: F.when(m.rlike("[0-9]"), _ratio(m, table) >= min_ratio).otherwise(False))
+    suspect = F.transform("v_token", lambda m: _ratio(m, table) >= min_ratio)
     out = out.select("*", suspect.alias("hit"))
     out = out.select("*", F.when(F.exists("hit", lambda h: h), _spans(t, TOKEN)).otherwise(none).alias("s_token"))
 

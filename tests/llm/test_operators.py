@@ -146,6 +146,15 @@ def test_secrets(spark, none):
     assert secrets.find_secrets(none).count() == 0
 
 
+def test_secrets_of_letters_only(spark):
+    found = ["XOqWmvTxLrQyHsNdUeJcBgPz", "QWZXKJHGVBNMPLRTDSFC", "kjqxzvwpmtrghdlbnfcs", "Zk9qWm3vT1xLr8Q2yHs5Nd7U"]
+    plain = ["CONFIGURATION_MANAGER_DEFAULT_VALUE", "getOrCreateSessionConfigurationManager", "user_profile_image_2019_05", "/wiki/2019/11/28/article-name", "-" * 30]
+    d = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(found + plain)], "doc_id long, text string")
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["extra"]] for r in secrets.find_secrets(d, samples=secrets.labelled_samples(corpus)).collect()}
+    assert got == {i: [(4, 4 + len(t))] if t in found else [] for i, t in enumerate(found + plain)}
+
+
 # ------------------------------------------------------------------ benchmark leaks
 def test_leaks(spark, docs, none):
     rng = np.random.default_rng(2)
