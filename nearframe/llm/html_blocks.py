@@ -24,6 +24,11 @@ HINT = re.compile(
     r"(?:^|[^a-z])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|nav|navigation|navbar|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|"
     r"cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|subscribe|signup|login|share|social|comments?|replies|reply|disqus|related|recommended|pagination|pager|tags|form|search)(?:[^a-z]|$)"
 )
+#: Class words that tell a state or the want of a part, and headers of the text itself.
+STATE = re.compile(r"(?:^|[-_])(?:no|not|has|have|is|with|without|hide|js)[-_]|[-_](?:closed|open|hidden|collapsed|enabled|disabled|active|inactive|on|off)$|^(?:entry|post|article|story)[-_]+header$")
+#: Elements that end an open p, and where an open element of a name may end at most.
+ENDS_P = CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "hr", "address", "fieldset", "li", "dt", "dd"}
+WITHIN = {"p": CONTAINERS, "li": {"ul", "ol", "menu"}}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -67,6 +72,16 @@ LABELLED = [
 ]
 
 
+# chrome is 2 in an element of page furniture and 1 where only a class, id or role names it; rows of the latter
+LABELLED = [(*r[:7], 2 * r[7], *r[8:]) for r in LABELLED] + [
+    (8, 0.0, 1, 1.0, 9, 0.0, 0, 1, 0, 0), (11, 0.0, 1, 1.0, 5, 0.0, 0, 1, 0, 0), (5, 0.0, 20, 0.0, 1, 0.0, 1, 1, 0, 0), (14, 0.0, 1, 0.0, 12, 0.0, 0, 1, 0, 0),
+    (30, 0.0, 20, 0.0, 25, 0.0, 0, 1, 0, 0), (3, 0.0, 40, 0.0, 6, 0.0, 1, 1, 1, 0), (45, 0.0, 3, 0.0, 50, 0.0, 0, 1, 0, 0), (2, 1.0, 3, 1.0, 2, 1.0, 0, 1, 0, 0),
+    (25, 0.0, 40, 0.0, 30, 0.0, 1, 1, 0, 0), (60, 0.9, 30, 1.0, 40, 1.0, 0, 1, 0, 0), (120, 0.8, 60, 0.0, 9, 1.0, 1, 1, 0, 0), (55, 0.1, 40, 0.0, 20, 0.0, 0, 1, 0, 0),
+    (80, 0.0, 60, 0.0, 70, 0.0, 1, 1, 0, 1), (140, 0.0, 90, 0.0, 60, 0.0, 0, 1, 0, 1), (95, 0.05, 9, 0.0, 80, 0.0, 0, 1, 0, 1), (200, 0.0, 3, 1.0, 2, 1.0, 0, 1, 0, 1),
+    (110, 0.1, 50, 0.0, 4, 1.0, 1, 1, 0, 1), (85, 0.0, 6, 0.0, 120, 0.0, 0, 1, 0, 1),
+]
+
+
 @dataclass
 class Tree:
     share: float
@@ -108,24 +123,38 @@ def train_tree(rows, depth: int = 5, least: int = 1) -> Tree:
     return node
 
 
+def hinted(attributes: str) -> bool:
+    """Whether class, id or role name what is not the article."""
+    marks = " ".join(x for a in ATTR.findall(attributes) for x in a).lower().split()
+    return any(HINT.search(m) and not STATE.search(m) for m in marks)
+
+
 def blocks(page: str) -> list[dict]:
     """Flat text blocks of a page: text, words, linked words, and whether the
     block is in an article, in page furniture, or a heading."""
     out: list[dict] = []
     parts: list[tuple[str, bool]] = []
-    open_: list[tuple[str, bool]] = []  # containers: name, furniture
+    open_: list[tuple[str, bool, bool, bool]] = []  # containers: name, and whether in an article, furniture, a hinted element
     links, at, heading = 0, 0, False
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
-                names = [n for n, _ in open_]
+                article, chrome, hint = open_[-1][1:] if open_ else (False, False, False)
                 linked = sum(len(p.split()) for p, l in parts if l)
                 words = len(text.split())
-                out.append({"text": text, "words": words, "links": min(1.0, linked / words), "article": int("article" in names or "main" in names), "chrome": int(any(c for _, c in open_)), "heading": int(heading)})
+                out.append({"text": text, "words": words, "links": min(1.0, linked / words), "article": int(article), "chrome": 2 if chrome else int(hint), "heading": int(heading)})
             parts.clear()
 
+    def leave(name: str) -> None:
+        for i in range(len(open_) - 1, -1, -1):
+            if open_[i][0] == name:
+                del open_[i:]
+                break
+            if open_[i][0] in WITHIN.get(name, ()):
+                break
+
     def add(raw: str) -> None:
         if raw:
             parts.append((html.unescape(raw), links > 0))
@@ -164,16 +193,24 @@ def blocks(page: str) -> list[dict]:
             heading = False
         if name in VOID:
             continue
+        if not closing:
+            # an open p ends before a block, an open li before the next li
+            if name in ENDS_P:
+                leave("p")
+            if name == "li":
+                leave("li")
         if closing:
-            for i in range(len(open_) - 1, -1, -1):
-                if open_[i][0] == name:
-                    del open_[i:]
-                    break
-        elif name in CONTAINERS or HINT.search(" ".join(x for a in ATTR.findall(m[3]) for x in a).lower()):
-            inside = any(n in ("article", "main") for n, _ in open_)
-            marks = " ".join(x for a in ATTR.findall(m[3]) for x in a).lower()
-            furniture = name in CHROME or (name == "header" and not inside) or (name not in ("article", "main", "body") and bool(HINT.search(marks)))
-            open_.append((name, furniture))
+            leave(name)
+        elif name in CONTAINERS or name in WITHIN or hinted(m[3]):
+            article, chrome, hint = open_[-1][1:] if open_ else (False, False, False)
+            own = name not in ("html", "body") and hinted(m[3])
+            chrome = chrome or name in CHROME or (name == "header" and not article)
+            if name in ("article", "main"):
+                # the article in a hinted wrapper is no furniture, unless it is named so itself
+                article, hint = True, hint and own
+            else:
+                hint = hint or own
+            open_.append((name, article, chrome, hint))
     flush()
     return out
 

@@ -347,6 +347,19 @@ def test_main_text_before_links():
     assert main_lines(f'<ul><li><a href="/">Home</a></li><li><a href="/a">About</a></li></ul><p>{text}</p><p>{text}</p>') == [text, text]
 
 
+def test_main_text_in_hinted_elements():
+    text = "A paragraph of many plain words that stands in the middle of what the page has to say about its subject today."
+    for wrap in ('<div class="content no-sidebar">', '<div class="post has-comments">', '<html class="menu-closed"><body>', '<div class="sidebar"><article>'):
+        assert main_lines(f"{wrap}<h1>Title</h1><p>{text}</p><p>{text}</p>") == ["Title", text, text]
+    assert main_lines(f'<article><div class="entry-header"><h1>Title</h1></div><p>{text}</p></article>') == ["Title", text]
+    assert main_lines(f'<article><p class="share">Share this<p>{text}<p>{text}</article>') == [text, text]
+    assert main_lines(f'<article><ul><li class="related">See <b>more</b><li>{text}</ul><p>{text}</article>') == [text, text]
+    assert main_lines(f'<ul><li class="related"><ul><li>One</li></ul>Two</li></ul><p>{text}</p>') == [text]
+    assert main_lines(f'<ol class="comments"><li><article class="comment"><p>{text}</p></article></ol><p>{text}</p>') == [text]
+    long = " ".join([text] * 5)
+    assert main_lines(f'<div class="widget"><p>Buy now</p><p>{long}</p></div>') == [long]
+
+
 # ------------------------------------------------------------------ packing
 def test_packing(docs, none):
     out = packing.pack_documents(docs, size=256).collect()
