@@ -8,6 +8,7 @@ groups, so memory does not depend on the size of the corpus.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 #: Pre-tokenization of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Texts longer than this are tokenized in parts (ids decode to the same bytes).
+#: Texts longer than this are tokenized in parts, cut where a word ends: no
+#: pre-token has white space behind another character, so ids stay the same.
 PART = 1 << 18
+SEAM = re.compile(r"(?<=\S)[ \t\r\n]")
 
 
 def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -38,8 +41,12 @@ def encode(enc, text: str) -> list[int]:
     if len(text) <= PART:
         return enc.encode_ordinary(text)
     out: list[int] = []
-    for s in range(0, len(text), PART):
-        out += enc.encode_ordinary(text[s : s + PART])
+    start = 0
+    while start < len(text):
+        seam = SEAM.search(text, start + PART)
+        end = seam.start() if seam else len(text)
+        out += enc.encode_ordinary(text[start:end])
+        start = end
     return out
 
 

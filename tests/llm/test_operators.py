@@ -377,6 +377,15 @@ def test_packing(docs, none):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_long_texts_have_the_ids_of_the_whole():
+    enc = packing.encoder(packing.load_ranks())
+    rng = np.random.default_rng(18)
+    pieces = ["extraordinary", " ", "  ", "\n\n ", "it's", "'ll", "12345", "...", "\u00e9t\u00e9", "\u00a0", "\t", " word"]
+    for shift in range(12):
+        text = "x" * shift + "".join(pieces[i] for i in rng.integers(0, len(pieces), 150_000))
+        assert len(text) > packing.PART and packing.encode(enc, text) == enc.encode_ordinary(text)
+
+
 def test_best_fit_decreasing():
     rng = np.random.default_rng(8)
     sizes = rng.integers(1, 101, 500).tolist()
