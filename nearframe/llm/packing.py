@@ -24,6 +24,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: pre-token has white space behind another character, so ids stay the same.
 PART = 1 << 18
 SEAM = re.compile(r"(?<=\S)[ \t\r\n]")
+#: The white space of the pattern's \s (Unicode White_Space), in runs
+#: far below what its matcher can stand.
+WIDE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
 def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -37,7 +40,7 @@ def encoder(ranks: dict[bytes, int]):
     return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def encode(enc, text: str) -> list[int]:
+def _encode_parts(enc, text: str) -> list[int]:
     if len(text) <= PART:
         return enc.encode_ordinary(text)
     out: list[int] = []
@@ -50,6 +53,20 @@ def encode(enc, text: str) -> list[int]:
     return out
 
 
+def encode(enc, text: str) -> list[int]:
+    """Ids of a text of any length. A run of white space is one pre-token, less
+    its last character where something follows; long runs overflow the stack of
+    the pattern's matcher, so they are cut out here and merged by themselves."""
+    out: list[int] = []
+    start = 0
+    for run in WIDE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        out += _encode_parts(enc, text[start : run.start()])
+        out += enc._encode_single_piece(text[run.start() : end])
+        start = end
+    return out + _encode_parts(enc, text[start:]) if start else _encode_parts(enc, text)
+
+
 class Capacities:
     """Segment tree over free capacities 0..size: counts of open rows with each
     capacity; finds the smallest capacity that is at least ``need``."""
