@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearframe.llm.align_tokens import align_tokenizers
 from nearframe.llm.common import table
 from nearframe.llm.decontaminate import find_leaks
+from nearframe.llm.hard_negatives import mine_hard_negatives
 from nearframe.llm.html_blocks import extract_main_text
 from nearframe.llm.mix import mix_sources
 from nearframe.llm.multiindex import embedding_links
+from nearframe.llm.nnls_packing import pack_by_lengths
 from nearframe.llm.packing import pack_documents
 from nearframe.llm.quality import held_out, with_quality
 from nearframe.llm.secrets import count_kind, find_secrets, spans_text
@@ -74,6 +77,19 @@ def op10_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_by_lengths(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_quality, op3_secrets, op4_decontaminate, op5_simhash, op6_embedding_links,
-        op7_main_text, op8_pack_tokens, op9_remove_repeats, op10_url_graph, pipeline,
+        op7_main_text, op8_pack_tokens, op9_remove_repeats, op10_url_graph,
+        op11_hard_negatives, op12_align_tokens, op13_nnls_packing, pipeline,
     )
 }
 
@@ -116,4 +133,22 @@ placed AS (
 SELECT doc_id, size, source_size, target,
        (epochs * size + least(greatest(floor(target)::BIGINT - epochs * source_size - before, 0), size))::BIGINT AS taken
 FROM placed""",
+    "op11_hard_negatives": """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, t.vec_id AS id, a.label = t.label AS same,
+         coalesce(list_sum(list_transform(generate_series(1, least(len(a.v), len(t.v))), lambda i: a.v[i] * t.v[i])), 0)::BIGINT AS score
+  FROM r a JOIN r t ON a.vec_id <> t.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS n FROM s WHERE same) x WHERE n <= 5),
+neg AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank
+  FROM pos p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+   AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5""",
 }
