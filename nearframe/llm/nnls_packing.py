@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,39 +34,42 @@ CACHE, LONGEST = 500_000, 64
 PART = 1 << 20
 GAP = re.compile(r"[\t-\r ]")
 AFTER_LETTER = re.compile(rb"(?<=[a-z])(?=[.,])")
+AFTER_OTHER = re.compile(rb"[.,](?:(?<=[^a-z0-9\x80-\xbf][.,])|(?<=[^\xc3][\x80-\xbf][.,])|(?<=\xc3[\x97\xb7][.,])|(?<!..))", re.DOTALL)
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 #: A last window with at most this much room is padded instead of cut.
 ROOM = 32
 
 
-class WordIds:
-    """Token ids of texts as little-endian 32-bit bytes.
+class WordIds(dict):
+    """Token ids of texts as little-endian 32-bit bytes; a dict of words.
 
     No token of this vocabulary holds white space, its normalization works word
     by word and lower-cases, and a letter and a following stop or comma never
-    share a token. So a text's ids are those of its words in a row; each distinct
-    word is encoded once and kept. New words go to the tokenizer in one call,
-    parted by a digit, which is always a token of its own.
+    share a token. So a text's ids are those of its words in a row, and each
+    distinct word is encoded once and kept. A word of lower-case Latin-1 letters
+    is already normalized and one pre-token, and goes straight to the merges.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.encoder = Tokenizer.from_file(path)
-        self.mark = int(self._encode("0")[0])
-        self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _learn(self, new: list[bytes], into: dict[bytes, bytes]) -> None:
-        into.update((w, self._encode(w.decode()).tobytes()) for w in new if b"0" in w)
-        plain = [w for w in new if b"0" not in w]
-        for i in range(0, len(plain), 64):
-            part = plain[i : i + 64]
-            ids = self._encode(b" 0 ".join(part).decode())
-            body = ids.tobytes()
-            at = (4 * np.flatnonzero(ids == self.mark)).tolist()
-            into.update(zip(part, map(lambda a, b: body[a:b], [0, *(x + 4 for x in at)], [*at, len(body)]), strict=True))
+        self.merge = self.encoder.model.tokenize
+        # byte-level stand-ins: printable bytes as they are, the rest from U+0100 on
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = iter(range(0x100, 0x200))
+        self.stand_in = {b: b if b in printable else next(rest) for b in range(256)}
+
+    def __missing__(self, word: bytes) -> bytes:
+        if PLAIN.fullmatch(word):
+            ids = [t.id for t in self.merge(word.decode("latin-1").translate(self.stand_in))]
+        else:
+            ids = self.encoder.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids
+        body = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONGEST:
+            self[word] = body
+        return body
 
     def ids(self, text: str | None) -> bytes:
         text = text or ""
@@ -83,21 +87,12 @@ class WordIds:
         raw = text.encode("utf-8", "replace")
         if not (b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw):
             # special tokens are found, and accents joined, before lower-casing
-            raw = AFTER_LETTER.sub(b" ", raw.lower())
-        words = raw.split()
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = set(words).difference(known)
-        if not new:
-            return b"".join(map(known.__getitem__, words))
-        long = [w for w in new if len(w) > LONGEST]
-        self._learn([w for w in new if len(w) <= LONGEST], known)
-        if not long:
-            return b"".join(map(known.__getitem__, words))
-        extra: dict[bytes, bytes] = {}
-        self._learn(long, extra)
-        return b"".join([known[w] if w in known else extra[w] for w in words])
+            raw = raw.lower()
+            # where each stop and comma follows a letter or digit, plain replacement will do
+            raw = AFTER_LETTER.sub(b" ", raw) if AFTER_OTHER.search(raw) else raw.replace(b".", b" .").replace(b",", b" ,")
+        if len(self) > CACHE:
+            self.clear()
+        return b"".join(map(self.__getitem__, raw.split()))
 
 
 def combinations(units: int) -> np.ndarray:
