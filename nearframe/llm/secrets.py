@@ -23,21 +23,73 @@ STATES = len(ALPHABET) + 1
 TOKEN = "[A-Za-z0-9+/_=-]{20,}"
 
 
-def _spans(text: Column, pattern: str, keep: Column | None = None) -> Column:
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row: inside a lambda an
+    expression would be computed again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Elements that a running sum is built of one by one.
+RUN = 64
+
+
+def _running(values: Column, levels: int = 3) -> Column:
+    """Running sums of an array of longs. Sums are built in runs of ``RUN`` and the
+    runs' totals are summed the same way, so no array grows element by element
+    over the whole length."""
+    empty = F.expr("CAST(array() AS array<bigint>)")
+
+    def chain(xs: Column) -> Column:
+        return F.aggregate(xs, empty, lambda acc, x: F.concat(acc, F.array(x + F.when(F.size(acc) > 0, F.element_at(acc, -1)).otherwise(F.lit(0).cast("long")))))
+
+    if not levels:
+        return chain(values)
+
+    def whole(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.floor((F.size(v) - 1) / F.lit(RUN)), F.lit(0)).cast("int"))
+        return _let(F.transform(starts, lambda i: chain(F.slice(v, i * RUN + 1, F.lit(RUN)))), lambda runs: _let(_before(runs, levels), lambda offset: F.flatten(F.zip_with(runs, offset, lambda r, o: F.transform(r, lambda x: x + o)))))
+
+    return _let(values, whole)
+
+
+def _before(runs: Column, levels: int) -> Column:
+    """What lies before each run: the running sums of the totals, moved by one."""
+    totals = F.transform(runs, lambda r: F.when(F.size(r) > 0, F.element_at(r, -1)).otherwise(F.lit(0).cast("long")))
+    return F.concat(F.array(F.lit(0).cast("long")), F.slice(_running(totals, levels - 1), F.lit(1), F.greatest(F.size(runs) - 1, F.lit(0))))
+
+
+def _spans(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<start,end>>`` in code
     points. The pieces between matches and the matches themselves alternate, so
-    positions are running sums of their lengths."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)").alias("out"))
+    positions are running sums of their lengths. Each array is made once."""
+    # one gap more than matches: the last pair has no match
+    lengths = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, m: F.struct(F.length(gap).cast("long").alias("gap"), F.length(m).cast("long").alias("match")))
+    matched = lambda p: F.slice(p, F.lit(1), F.size(p) - 1)
+
+    def spans(p: Column) -> Column:
+        ends = _running(F.transform(p, lambda x: x["gap"] + x["match"]))
+        return F.zip_with(p, ends, lambda x, end: F.struct((end - x["match"]).alias("start"), end.alias("end")))
+
+    return _let(lengths, lambda p: _let(matched(p), spans))
+
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("out"))
+def _clear_of(items: Column, base: Column) -> Column:
+    """The items (``s`` with start and end) that overlap no span of ``base``, which
+    is sorted by start. Base spans are cut into runs of about the root of their
+    number; an item looks into the few runs whose hull it meets."""
 
-    pairs = F.transform(found, lambda m, i: F.struct(F.element_at(gaps, i + 1).alias("gap"), m.alias("match")))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    def against(b: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(b).cast("double"))), F.lit(1)).cast("int")
+
+        def run(i: Column) -> Column:
+            part = F.slice(b, i * size + 1, size)
+            return F.struct(F.element_at(part, 1)["start"].alias("start"), F.array_max(F.transform(part, lambda x: x["end"])).alias("end"), part.alias("spans"))
+
+        runs = F.when(F.size(b) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(b) - 1) / size).cast("int")), run)).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,spans:array<struct<start:bigint,kind_no:int,kind:string,end:bigint>>>>"))
+        meets = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+        return _let(runs, lambda rs: F.filter(items, lambda i: ~F.exists(rs, lambda r: meets(r, i["s"]) & F.exists(r["spans"], lambda x: meets(x, i["s"])))))
+
+    return _let(base, against)
 
 
 def _state(char: Column) -> Column:
@@ -136,10 +188,8 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sa
     long_value = F.filter(F.arrays_zip(F.col("s_assign").alias("s"), F.col("v_assign").alias("v")), lambda x: F.length(x["v"]) >= 6)
     base = F.array_sort(F.concat(kind("assign", 0, F.transform(long_value, lambda x: x["s"])), kind("access", 1, F.col("s_access")), kind("hex", 2, F.col("s_hex"))))
     out = out.select("doc_id", base.alias("base"), "s_token", "hit")
-    fresh = F.filter(
-        F.arrays_zip(F.col("s_token").alias("s"), F.col("hit").alias("h")),
-        lambda x: x["h"] & x["s"].isNotNull() & ~F.exists("base", lambda b: (b["start"] < x["s"]["end"]) & (x["s"]["start"] < b["end"])),
-    )
+    suspects = F.filter(F.arrays_zip(F.col("s_token").alias("s"), F.col("hit").alias("h")), lambda x: x["h"] & x["s"].isNotNull())
+    fresh = _clear_of(suspects, F.col("base"))
     return out.select("doc_id", "base", kind("markov", 3, F.transform(fresh, lambda x: x["s"])).alias("extra"))
 
 
