@@ -19,11 +19,15 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del",
 CONTAINERS = {"nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "ul", "ol", "dl", "table", "figure", "details", "dialog", "body", "menu"}
 CHROME = {"nav", "footer", "aside", "form", "menu", "dialog", "button"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-#: Words in class, id and role that name what is not the article.
-HINT = re.compile(
-    r"(?:^|[^a-z])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|nav|navigation|navbar|menu|breadcrumbs?|header|masthead|footer|sidebar|aside|widget|"
-    r"cookies?|consent|gdpr|notice|alert|popup|modal|newsletter|subscribe|signup|login|share|social|comments?|replies|reply|disqus|related|recommended|pagination|pager|tags|form|search)(?:[^a-z]|$)"
+#: Words in class, id and role that name what is not the article, at any length: what readers
+#: wrote, other parts with texts of their own, and the layout around an article.
+_WORD = r"(?:^|[^a-z])(?:%s)(?:[^a-z]|$)"
+READERS = re.compile(_WORD % "comments?|replies|reply|respond|disqus|reviews?|guestbook")
+OTHER = re.compile(
+    _WORD % "ads?|adverts?|advertisement|sponsor(?:ed)?|promos?|promotion|banner|breadcrumbs?|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|subscription|"
+    "signup|login|share|social|related|recommended|pagination|pager|tags|form|search"
 )
+LAYOUT = re.compile(_WORD % "nav|navigation|navbar|menu|header|masthead|footer|sidebar|aside|widget|complementary|contentinfo")
 #: Class words that tell a state or the want of a part, and headers of the text itself.
 STATE = re.compile(r"(?:^|[-_])(?:no|not|has|have|is|with|without|hide|js)[-_]|[-_](?:closed|open|hidden|collapsed|enabled|disabled|active|inactive|on|off)$|^(?:entry|post|article|story)[-_]+header$")
 #: Elements that end an open p, and where an open element of a name may end at most.
@@ -55,7 +59,9 @@ LABELLED = [
     # linked blocks before plain text: menus outside nav, link lists, teasers
     (1, 1.0, 1, 1.0, 9, 0.0, 0, 0, 0, 0), (2, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0, 0), (3, 1.0, 0, 0.0, 40, 0.0, 0, 0, 0, 0), (5, 1.0, 60, 0.0, 30, 0.0, 0, 0, 0, 0),
     (8, 0.9, 7, 1.0, 120, 0.0, 0, 0, 0, 0), (20, 0.8, 3, 1.0, 50, 0.0, 0, 0, 0, 0), (2, 1.0, 80, 0.0, 6, 0.0, 0, 0, 0, 0), (1, 1.0, 9, 0.0, 0, 0.0, 0, 0, 0, 0),
-    # linked blocks in an article: a link list in it, a linked title, one linked line
+    # linked blocks in an article: a link list in it, a linked title, one linked line; the last entry of a list
+    (3, 1.0, 3, 1.0, 8, 0.0, 1, 0, 0, 0), (4, 1.0, 5, 1.0, 40, 0.0, 1, 0, 0, 0), (3, 1.0, 4, 1.0, 0, 0.0, 1, 0, 0, 0), (2, 1.0, 2, 1.0, 60, 0.0, 1, 0, 0, 0),
+    (6, 1.0, 3, 0.9, 4, 0.0, 1, 0, 0, 0), (3, 1.0, 40, 0.0, 0, 0.0, 1, 0, 0, 1),
     (3, 1.0, 3, 1.0, 3, 1.0, 1, 0, 0, 0), (5, 1.0, 40, 0.0, 4, 1.0, 1, 0, 0, 0), (2, 1.0, 6, 1.0, 4, 1.0, 1, 0, 0, 0), (7, 1.0, 2, 0.0, 8, 1.0, 1, 0, 0, 0),
     (6, 1.0, 30, 0.0, 60, 0.0, 1, 0, 1, 1), (8, 1.0, 1, 1.0, 50, 0.0, 1, 0, 1, 1), (12, 0.8, 70, 0.0, 40, 0.0, 1, 0, 0, 1), (5, 1.0, 90, 0.0, 30, 0.0, 1, 0, 0, 1),
     (4, 1.0, 30, 0.0, 8, 0.0, 1, 0, 0, 1), (6, 1.0, 1, 1.0, 12, 0.0, 1, 0, 1, 1), (3, 1.0, 20, 0.0, 2, 0.0, 1, 0, 0, 1), (9, 0.7, 15, 0.0, 14, 0.0, 1, 0, 0, 1),
@@ -72,16 +78,6 @@ LABELLED = [
 ]
 
 
-# chrome is 2 in an element of page furniture and 1 where only a class, id or role names it; rows of the latter
-LABELLED = [(*r[:7], 2 * r[7], *r[8:]) for r in LABELLED] + [
-    (8, 0.0, 1, 1.0, 9, 0.0, 0, 1, 0, 0), (11, 0.0, 1, 1.0, 5, 0.0, 0, 1, 0, 0), (5, 0.0, 20, 0.0, 1, 0.0, 1, 1, 0, 0), (14, 0.0, 1, 0.0, 12, 0.0, 0, 1, 0, 0),
-    (30, 0.0, 20, 0.0, 25, 0.0, 0, 1, 0, 0), (3, 0.0, 40, 0.0, 6, 0.0, 1, 1, 1, 0), (45, 0.0, 3, 0.0, 50, 0.0, 0, 1, 0, 0), (2, 1.0, 3, 1.0, 2, 1.0, 0, 1, 0, 0),
-    (25, 0.0, 40, 0.0, 30, 0.0, 1, 1, 0, 0), (60, 0.9, 30, 1.0, 40, 1.0, 0, 1, 0, 0), (120, 0.8, 60, 0.0, 9, 1.0, 1, 1, 0, 0), (55, 0.1, 40, 0.0, 20, 0.0, 0, 1, 0, 0),
-    (80, 0.0, 60, 0.0, 70, 0.0, 1, 1, 0, 1), (140, 0.0, 90, 0.0, 60, 0.0, 0, 1, 0, 1), (95, 0.05, 9, 0.0, 80, 0.0, 0, 1, 0, 1), (200, 0.0, 3, 1.0, 2, 1.0, 0, 1, 0, 1),
-    (110, 0.1, 50, 0.0, 4, 1.0, 1, 1, 0, 1), (85, 0.0, 6, 0.0, 120, 0.0, 0, 1, 0, 1),
-]
-
-
 @dataclass
 class Tree:
     share: float
@@ -123,36 +119,58 @@ def train_tree(rows, depth: int = 5, least: int = 1) -> Tree:
     return node
 
 
-def hinted(attributes: str) -> bool:
-    """Whether class, id or role name what is not the article."""
-    marks = " ".join(x for a in ATTR.findall(attributes) for x in a).lower().split()
-    return any(HINT.search(m) and not STATE.search(m) for m in marks)
+def hinted(attributes: str) -> str:
+    """What class, id or role say an element is: ``readers``, ``other``, ``layout`` or nothing."""
+    marks = [m for m in " ".join(x for a in ATTR.findall(attributes) for x in a).lower().split() if not STATE.search(m)]
+    for kind, pattern in (("readers", READERS), ("other", OTHER), ("layout", LAYOUT)):
+        if any(pattern.search(m) for m in marks):
+            return kind
+    return ""
+
+
+@dataclass
+class Place:
+    """An open element, and what it and those around it say about its blocks."""
+
+    name: str
+    article: bool = False
+    chrome: bool = False
+    readers: bool = False
+    other: bool = False
+    layout: tuple[tuple[int, bool], ...] = ()  # layout elements around it: number, and whether opened in an article
 
 
 def blocks(page: str) -> list[dict]:
     """Flat text blocks of a page: text, words, linked words, and whether the
-    block is in an article, in page furniture, or a heading."""
+    block is in an article, in page furniture, or a heading.
+
+    What readers wrote, adverts, notices and the like are furniture by their class,
+    id or role, whatever their length; only an article inside a wrapper named so
+    starts anew (never inside readers' parts). A layout word also names wrappers of
+    the text: such an element stays if it holds the page's article, or if hardly any
+    text lies outside of layout elements (see ``_judge_layout``)."""
     out: list[dict] = []
     parts: list[tuple[str, bool]] = []
-    open_: list[tuple[str, bool, bool, bool]] = []  # containers: name, and whether in an article, furniture, a hinted element
+    open_: list[Place] = []
+    layouts = 0
     links, at, heading = 0, 0, False
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
-                article, chrome, hint = open_[-1][1:] if open_ else (False, False, False)
+                on = open_[-1] if open_ else Place("")
                 linked = sum(len(p.split()) for p, l in parts if l)
                 words = len(text.split())
-                out.append({"text": text, "words": words, "links": min(1.0, linked / words), "article": int(article), "chrome": 2 if chrome else int(hint), "heading": int(heading)})
+                out.append({"text": text, "words": words, "links": min(1.0, linked / words), "article": int(on.article), "chrome": int(on.chrome or on.readers or on.other), "heading": int(heading), "layout": on.layout})
             parts.clear()
 
     def leave(name: str) -> None:
         for i in range(len(open_) - 1, -1, -1):
-            if open_[i][0] == name:
+            if open_[i].name == name:
                 del open_[i:]
                 break
-            if open_[i][0] in WITHIN.get(name, ()):
+            if open_[i].name in WITHIN.get(name, ()):
                 break
 
     def add(raw: str) -> None:
@@ -201,20 +219,56 @@ def blocks(page: str) -> list[dict]:
                 leave("li")
         if closing:
             leave(name)
-        elif name in CONTAINERS or name in WITHIN or hinted(m[3]):
-            article, chrome, hint = open_[-1][1:] if open_ else (False, False, False)
-            own = name not in ("html", "body") and hinted(m[3])
-            chrome = chrome or name in CHROME or (name == "header" and not article)
+        elif name in CONTAINERS or name in WITHIN or name in CHROME or hinted(m[3]):
+            on = open_[-1] if open_ else Place("")
+            own = "" if name in ("html", "body") else hinted(m[3])
+            article, other, layout = on.article, on.other, on.layout
             if name in ("article", "main"):
-                # the article in a hinted wrapper is no furniture, unless it is named so itself
-                article, hint = True, hint and own
-            else:
-                hint = hint or own
-            open_.append((name, article, chrome, hint))
+                # the article in a wrapper named so is no furniture, unless it is named so itself
+                article, other = True, False
+            if own == "layout":
+                layouts += 1
+                layout = (*layout, (layouts, on.article))
+            chrome = on.chrome or name in CHROME or (name == "header" and not on.article)
+            open_.append(Place(name, article, chrome, on.readers or own == "readers", other or own == "other", layout))
     flush()
+    _judge_layout(out)
     return out
 
 
+#: Plain words outside of layout elements that are a text of their own.
+OWN_TEXT = 30
+
+
+def _judge_layout(found: list[dict]) -> None:
+    """Blocks of layout elements become furniture. Elements around the page's
+    article stay; and where less than ``OWN_TEXT`` plain words lie outside of layout
+    elements (in the article, if there is one), so do those in the article, or one
+    with at least half of the page's plain words."""
+    plain = [0.0 if b["chrome"] else b["words"] * (1.0 - b["links"]) for b in found]
+    has_article = any(b["article"] and not b["chrome"] for b in found)
+    around, share, bare = set(), {}, 0.0
+    for b, n in zip(found, plain, strict=True):
+        for e, inside in b["layout"]:
+            share[e] = share.get(e, 0.0) + n
+            if b["article"] and not b["chrome"] and not inside:
+                around.add(e)
+    for b, n in zip(found, plain, strict=True):
+        if all(e in around for e, _ in b["layout"]) and (b["article"] or not has_article):
+            bare += n
+
+    def furniture(e: int, inside: bool) -> bool:
+        if e in around:
+            return False
+        if bare >= OWN_TEXT:
+            return True
+        return not inside if has_article else 2 * share[e] < sum(plain) or not share[e]
+
+    for b in found:
+        if any(furniture(e, inside) for e, inside in b.pop("layout")):
+            b["chrome"] = 1
+
+
 def main_text(page: str, tree: Tree) -> str:
     found = blocks(page)
     kept = []

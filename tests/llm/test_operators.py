@@ -146,6 +146,26 @@ def test_secrets(spark, none):
     assert secrets.find_secrets(none).count() == 0
 
 
+def test_secrets_many_in_one_text(spark):
+    """50,000 matches in one text: positions by running sums of bounded runs."""
+    corpus = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    key = "XOqWmvTxLrQyHsNdUeJcBgPz"
+    texts = ["é token=abcdef " * 50_000, f"token=abcdef {key} " * 3_000, "token=short1" + " x" * 70, ""]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.find_secrets(d, samples=secrets.labelled_samples(corpus)).collect():
+        t = texts[r["doc_id"]]
+        want = [m.span() for m in re.finditer(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{6,}", t)]
+        assert [(x["start"], x["end"]) for x in r["base"]] == want
+        keys = [m.span() for m in re.finditer(key, t)]
+        assert [(x["start"], x["end"]) for x in r["extra"]] == keys
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 63, 64, 65, 4097, 70_000):
+        got = spark.range(1).select(F.expr(f"transform(sequence(1, {max(n, 1)}), x -> cast(x % 7 as bigint))").alias("v")).select(secrets._running(F.slice("v", 1, n)).alias("s")).first()["s"]
+        assert got == np.cumsum([x % 7 for x in range(1, n + 1)]).tolist()
+
+
 def test_secrets_of_letters_only(spark):
     found = ["XOqWmvTxLrQyHsNdUeJcBgPz", "QWZXKJHGVBNMPLRTDSFC", "kjqxzvwpmtrghdlbnfcs", "Zk9qWm3vT1xLr8Q2yHs5Nd7U"]
     plain = ["CONFIGURATION_MANAGER_DEFAULT_VALUE", "getOrCreateSessionConfigurationManager", "user_profile_image_2019_05", "/wiki/2019/11/28/article-name", "-" * 30]
@@ -356,8 +376,45 @@ def test_main_text_in_hinted_elements():
     assert main_lines(f'<article><ul><li class="related">See <b>more</b><li>{text}</ul><p>{text}</article>') == [text, text]
     assert main_lines(f'<ul><li class="related"><ul><li>One</li></ul>Two</li></ul><p>{text}</p>') == [text]
     assert main_lines(f'<ol class="comments"><li><article class="comment"><p>{text}</p></article></ol><p>{text}</p>') == [text]
-    long = " ".join([text] * 5)
-    assert main_lines(f'<div class="widget"><p>Buy now</p><p>{long}</p></div>') == [long]
+    # a layout word on the wrapper of the page's text is no furniture
+    assert main_lines(f'<div class="widget"><p>{text}</p><p>{text}</p></div><p>Imprint</p>')[:2] == [text, text]
+
+
+@pytest.mark.parametrize("size", [5, 75, 300])
+def test_furniture_of_any_length(size):
+    words = " ".join(f"word{i}" for i in range(size))
+    text = "A paragraph of many plain words that stands in the middle of what the page has to say about its subject today."
+    body = f"<h1>Title</h1><p>{text}</p><p>{text}</p>"
+    for part in (
+        '<section class="comments"><p>{}</p></section>', '<div id="disqus_thread"><p>{}</p></div>', '<ol class="comment-list"><li><article class="comment"><p>{}</p></article></li></ol>',
+        '<div class="cookie-notice">{}</div>', '<div class="ad">{}</div>', '<div class="newsletter"><p>{}</p></div>', '<div class="related"><p>{}</p></div>', '<aside>{}</aside>',
+        '<div class="sidebar"><p>{}</p></div>', '<div role="complementary">{}</div>', "<button>{}</button>", "<form><p>{}</p></form>", '<div class="site-footer">{}</div>',
+    ):
+        inner = part.format(words)
+        for page in (f"<article>{body}{inner}</article>", f"<article>{body}</article>{inner}", f"{inner}<main>{body}</main>"):
+            assert main_lines(page) == ["Title", text, text], part
+    # and without an article, where the text is longer than the layout part
+    long = " ".join([text] * 20)
+    for part in ('<div class="sidebar"><p>{}</p></div>', '<div class="ad">{}</div>', '<div class="comments">{}</div>', "<button>{}</button>"):
+        assert main_lines(f"<div><p>{long}</p></div>{part.format(words)}") == [long], part
+    # the same words in the article itself stay
+    for part in ("<p>{}</p>", '<div class="text">{}</div>', '<div class="article-body">{}</div>', "<blockquote>{}</blockquote>", '<div class="no-comments"><p>{}</p></div>'):
+        assert main_lines(f"<article>{body}{part.format(words)}</article>") == ["Title", text, text, words], part
+
+
+def test_link_list_at_the_end_of_an_article():
+    text = "A paragraph of many plain words that stands in the middle of what the page has to say about its subject today."
+    links = "".join(f'<li><a href="/{i}">Another story {i}</a></li>' for i in range(4))
+    for tail in ("", "<p>End.</p>", "<footer>Imprint of the site</footer>"):
+        got = main_lines(f"<article><h1>Title</h1><p>{text}</p><ul>{links}</ul></article>{tail}")
+        assert got[:2] == ["Title", text] and not any("story" in x for x in got)
+
+
+def test_long_page():
+    text = "A paragraph of many plain words that stands in the middle of what the page has to say about its subject today."
+    page = "<article>" + f"<p>{text}</p>" * 30_000 + "</article>"
+    assert main_lines(page) == [text] * 30_000
+    assert main_lines("<div>" * 20_000 + f"<p>{text}</p>")[-1] == text
 
 
 # ------------------------------------------------------------------ packing
