@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearframe.llm.common import slices
+from nearframe.llm.common import materialize, slices
 
 BUCKETS = 1 << 16
 RANK = 256
@@ -135,7 +135,7 @@ def answer_words(text: str) -> np.ndarray:
     return _hash_text(parts[-1]) if parts else np.empty(0, np.uint64)
 
 
-def latent_space(benchmark: DataFrame, idf: np.ndarray, text: str = "text", rank: int = RANK, power: int = 2, seed: int = 11) -> np.ndarray:
+def latent_space(benchmark: DataFrame, idf: np.ndarray, text: str = "text", rank: int = RANK, power: int = 2, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """Right singular vectors (``BUCKETS x rank``) of the TF-IDF passages by a
     randomised SVD. Each step multiplies the basis by the Gram matrix of all
     passages: tasks emit the rows of their share that are not zero, and Spark
@@ -179,11 +179,13 @@ def latent_space(benchmark: DataFrame, idf: np.ndarray, text: str = "text", rank
             basis = np.linalg.qr(z)[0] if len(z) else z
             if basis.shape[1] < rank:
                 basis = np.pad(basis, ((0, 0), (0, rank - basis.shape[1])))
-    space = np.zeros((BUCKETS, rank), np.float32)
+        shared.destroy()
+    rows_ = np.zeros((0, rank), np.float32)
     if len(used):
         values, turn = np.linalg.eigh(basis.T @ z)
-        space[used] = basis @ (turn * (values > 1e-9 * max(values.max(), 1e-300)))
-    return space
+        rows_ = (basis @ (turn * (values > 1e-9 * max(values.max(), 1e-300)))).astype(np.float32)
+    some = np.flatnonzero(np.abs(rows_).sum(axis=1) > 1e-9)
+    return used[some], rows_[some]
 
 
 def word_masks(item: np.ndarray) -> dict[int, int]:
@@ -210,10 +212,10 @@ def common_subsequence(masks: dict[int, int], n: int, words: list[int]) -> int:
 class Index:
     """Benchmark items of one block, ready for the search in a task."""
 
-    def __init__(self, items: list[tuple[int, str]], idf: np.ndarray, space: np.ndarray):
-        # only the rows that are not zero, and where each bucket's row is
-        used = np.flatnonzero(np.abs(space).sum(axis=1) > 1e-9)
-        self.table = (space[used] * idf[used, None]).astype(np.float32)
+    def __init__(self, items: list[tuple[int, str]], idf: np.ndarray, space: tuple[np.ndarray, np.ndarray]):
+        # where each used bucket's row is
+        used, rows = space
+        self.table = (rows * idf[used, None]).astype(np.float32)
         self.row = np.full(BUCKETS, -1, np.int32)
         self.row[used] = np.arange(len(used))
         self.ids, self.sizes, self.masks, self.counts, self.answers, owner, vectors = [], [], [], [], [], [], []
@@ -231,7 +233,7 @@ class Index:
             self.counts.append([(w, m.bit_count()) for w, m in self.masks[-1].items()])
             self.answers.append((word_masks(answer), len(answer)))
         self.owner = np.array(owner, np.int64)
-        v = np.stack(vectors) if vectors else np.zeros((0, space.shape[1]), np.float32)
+        v = np.stack(vectors) if vectors else np.zeros((0, rows.shape[1]), np.float32)
         self.unit = v / np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]
 
     def fold(self, words: np.ndarray) -> np.ndarray:
@@ -316,23 +318,28 @@ MATCH = "array<struct<item_id:long,cosine:double,lcs_share:double,answered:boole
 _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs_share", pa.float64()), ("answered", pa.bool_()), ("word", pa.int32())]))
 
 
-def matcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rank: int = RANK, cosine: float = 0.6, share: float = 0.6, verbatim: float = 0.8, answer: float = 0.6):
-    """A column function: whole text -> the benchmark items it contains.
-
-    The benchmark is the stated query set; it is compared in blocks of at most
-    about ``BLOCK_BYTES`` of text, each of which is sent to the tasks.
-    """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = 1 + size // BLOCK_BYTES
-    idf = inverse_frequencies(docs, text)
-    space = latent_space(items, idf, "text", rank)
-    p = {"cosine": cosine, "share": share, "verbatim": verbatim, "answer": answer}
-
-    def block(k: int):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).distinct().orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part], idf, space))
+class Matcher:
+    """The benchmark in blocks of at most about ``BLOCK_BYTES`` of text (it is the
+    stated query set). A block's index is sent to the tasks when its column is
+    made, and can be dropped from them when the result is written."""
+
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", rank: int = RANK, cosine: float = 0.6, share: float = 0.6, verbatim: float = 0.8, answer: float = 0.6):
+        self.spark = docs.sparkSession
+        self.items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL")
+        size = self.items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.blocks = 1 + size // BLOCK_BYTES
+        self.idf = inverse_frequencies(docs, text)
+        self.space = latent_space(self.items, self.idf, "text", rank)
+        self.p = {"cosine": cosine, "share": share, "verbatim": verbatim, "answer": answer}
+        self.sent = None
+
+    def column(self, k: int, text: Column) -> Column:
+        """Matches of block ``k`` in a whole text; the block before is dropped."""
+        if self.sent is not None:
+            self.sent.destroy()
+        part = self.items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(self.blocks)) == k).distinct().orderBy("item_id", "text").collect()
+        shared = self.sent = self.spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in part], self.idf, self.space))
+        p = self.p
 
         @F.arrow_udf(MATCH)
         def match(texts: pa.Array) -> pa.Array:
@@ -342,15 +349,7 @@ def matcher(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
                 out += index.search(data, bounds, p)
             return pa.array(out, _ARROW)
 
-        return match
-
-    blocks = [block(k) for k in range(n)]
-
-    def apply(column: Column) -> Column:
-        parts = [b(column.cast("string")) for b in blocks]
-        return parts[0] if n == 1 else F.concat(*parts)
-
-    return apply
+        return match(text.cast("string"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
@@ -362,11 +361,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id
     equal texts are all reported; an empty table on either side gives an empty
     result; other columns are ignored.
     """
-    match = matcher(docs, benchmark, text, **options)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.explode(match(F.col(text))).alias("m")).select("doc_id", "m.*")
+    m = Matcher(docs, benchmark, text, **options)
+    found = None
+    for k in range(m.blocks):
+        part = docs.select(F.col(doc_id).alias("doc_id"), F.explode(m.column(k, F.col(text))).alias("m")).select("doc_id", "m.*")
+        if m.blocks > 1:  # written before the next block replaces this one
+            part = materialize(part, "leaks")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item."""
-    match = matcher(docs, benchmark, text, **options)
-    return docs.where(F.size(match(F.col(text))) == 0)
+    m = Matcher(docs, benchmark, text, **options)
+    for k in range(m.blocks):
+        docs = docs.where(F.size(m.column(k, F.col(text))) == 0)
+        if m.blocks > 1:
+            docs = materialize(docs, "clean")
+    return docs
