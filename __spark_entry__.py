@@ -40,6 +40,7 @@ from nearframe.sources import (
 )
 
 K = 3
+RADIUS = 0.5
 EMB_DIM = 64
 LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LI_ORDER = [
@@ -176,6 +177,64 @@ def q_knn_join_embeddings_blocks(spark, sf_dir):
     return _nb_embeddings(spark, sf_dir, strategy="blocks")
 
 
+def q_knn_join_embeddings_pivots(spark, sf_dir):
+    """Packs by nearest pivot, met where the k-th distance reaches them."""
+    return _nb_embeddings(spark, sf_dir, strategy="pivots")
+
+
+def q_knn_join_part_index(spark, sf_dir):
+    """LAY-4: the train side stored once as a bucketed index, then joined."""
+    p = _part(spark, sf_dir)
+    features = ["p_size", "p_retailprice"]
+    index = nf.build_index(p, features, _io_dir(spark, "index"), K, train_id="p_partkey", label="brand", exclude_self=True)
+    return nf.knn_join(p, None, features, K, query_id="p_partkey", exclude_self=True, index=index)
+
+
+def q_update_neighbours_part(spark, sf_dir):
+    """TOP-2 over time: lists over one half of train, then the other half arrives."""
+    p = _part(spark, sf_dir)
+    features = ["p_size", "p_retailprice"]
+    half = F.pmod(F.xxhash64("p_partkey"), F.lit(2))
+    args = {"query_id": "p_partkey", "label": "brand", "exclude_self": True}
+    stored = nf.knn_join(p, p.where(half == 0), features, K, **args)
+    return nf.update_neighbours(stored, p, p.where(half == 1), features, K, **args)
+
+
+def q_pairs_within_part(spark, sf_dir):
+    """JOIN-1 as a relation: parts of nearly the same size and price."""
+    p = _part(spark, sf_dir)
+    return nf.pairs_within(p, p, ["p_size", "p_retailprice"], RADIUS, query_id="p_partkey", label="brand", exclude_self=True)
+
+
+def q_row_position_lineitem(spark, sf_dir):
+    """PRJ-4 by file position, without a sort."""
+    li = with_row_id(_t(spark, sf_dir, "lineitem"), "row_id", by="position")
+    return li.select("row_id", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+def q_summary_of_written(spark, sf_dir):
+    """SNK-1 and SNK-3 in one pass."""
+    e = _t(spark, sf_dir, "embeddings")
+    return nf.write_evaluated(_classify_embeddings(spark, sf_dir), _io_dir(spark, "observed"), e, K)
+
+
+def q_knn_classify_vectors(spark, sf_dir):
+    """PRJ-2 and API-1 on ML vectors, through the estimator."""
+    from nearframe.operators.ml import NearestNeighbours
+
+    c, s = _two_tables(spark, sf_dir)
+    c, s = assemble(c, ["bal"], keep=["id"], form="vector"), assemble(s, ["bal"], keep=["label"], form="vector")
+    return NearestNeighbours(k=K).fit(s).transform(c).select("id", "prediction")
+
+
+def q_arff_sparse_roundtrip(spark, sf_dir):
+    """SRC-3 with sparse rows: zeros left out, then read back."""
+    path = _io_dir(spark, "arff-sparse")
+    pts = _part(spark, sf_dir).select("p_partkey", (F.col("p_size") % 3).alias("f"), "p_retailprice", "brand")
+    write_points_arff(pts, path, "part", sparse=True)
+    return split_label(read_points_arff(spark, path), cast="int")
+
+
 def q_knn_join_lineitem(spark, sf_dir):
     return _nb_lineitem(spark, sf_dir, strategy="grid")
 
@@ -324,6 +383,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_join_two_tables": q_knn_join_two_tables,
     "knn_classify_two_tables": q_knn_classify_two_tables,
     "top_prices_per_part": q_top_prices_per_part,
+    "arff_sparse_roundtrip": q_arff_sparse_roundtrip,
+    "knn_classify_vectors": q_knn_classify_vectors,
+    "summary_of_written": q_summary_of_written,
+    "row_position_lineitem": q_row_position_lineitem,
+    "pairs_within_part": q_pairs_within_part,
+    "update_neighbours_part": q_update_neighbours_part,
+    "knn_join_part_index": q_knn_join_part_index,
+    "knn_join_embeddings_pivots": q_knn_join_embeddings_pivots,
 }
 
 
@@ -436,6 +503,18 @@ def _two_nb() -> str:
     ) r WHERE rank <= {K}"""
 
 
+def _two_by_row() -> str:
+    """Suppliers without an id: equal distances by the row's place in its file."""
+    return f"""
+    SELECT query_id, rank, train_id, label, dist FROM (
+      SELECT query_id, train_id, label, dist,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY dist, train_id) AS BIGINT) AS rank
+      FROM (SELECT c.c_custkey AS query_id, s.train_id, s.s_nationkey AS label,
+                   sqrt({_sq([("c.c_acctbal::DOUBLE", "s.s_acctbal::DOUBLE")])}) AS dist
+            FROM customer c, (SELECT row_number() OVER () AS train_id, * FROM supplier) s) pairs
+    ) r WHERE rank <= {K}"""
+
+
 def _emb_classify() -> str:
     return _classify(_emb_nb(), "SELECT vec_id AS query_id, label AS true_label FROM embeddings")
 
@@ -518,6 +597,16 @@ def oracle_sql() -> dict[str, str]:
         "numeric_text_roundtrip": f"SELECT CAST(p_size AS FLOAT) AS f0, CAST(p_retailprice AS FLOAT) AS f1, brand AS label FROM {_PART} x",
         "arff_roundtrip": f"SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, p_retailprice, brand AS label FROM {_PART} x",
         "knn_join_two_tables": _two_nb(),
+        "knn_join_embeddings_pivots": _emb_nb(),
+        "knn_join_part_index": _part_nb(["p_size", "p_retailprice"]),
+        "update_neighbours_part": _part_nb(["p_size", "p_retailprice"]),
+        "pairs_within_part": f"""
+            SELECT q.p_partkey AS query_id, t.p_partkey AS train_id, t.brand AS label, sqrt({_sq(_cols_terms(["p_size", "p_retailprice"]))}) AS dist
+            FROM {_PART} q JOIN {_PART} t ON q.p_partkey <> t.p_partkey AND sqrt({_sq(_cols_terms(["p_size", "p_retailprice"]))}) <= {RADIUS}""",
+        "row_position_lineitem": "SELECT row_number() OVER () AS row_id, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem",
+        "summary_of_written": summary,
+        "knn_classify_vectors": _classify(_two_by_row(), "SELECT c_custkey AS query_id, c_nationkey AS true_label FROM customer").replace("SELECT b.query_id, b.true_label, pred.prediction", "SELECT b.query_id AS id, pred.prediction"),
+        "arff_sparse_roundtrip": f"SELECT p_partkey, CAST(p_size % 3 AS BIGINT) AS f, p_retailprice, brand AS label FROM {_PART} x",
         "knn_classify_two_tables": _classify(_two_nb(), "SELECT c_custkey AS query_id, c_nationkey AS true_label FROM customer"),
         "top_prices_per_part": f"""
             SELECT l_partkey, rank, l_orderkey, l_linenumber, l_extendedprice FROM (

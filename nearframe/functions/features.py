@@ -1,7 +1,7 @@
 """Turn user feature specs into a fixed list of double columns.
 
-A feature spec is either the name of one array column (all rows the same
-width) or a list of scalar numeric columns. Both are unrolled into scalar
+A feature spec is either the name of one array or ML vector column (all rows the
+same width) or a list of scalar numeric columns. All are unrolled into scalar
 double columns ``<prefix>0 .. <prefix>{d-1}`` so the distance expression
 code-generates (SURVEY §4: unrolled columns beat higher-order functions).
 """
@@ -31,6 +31,20 @@ def is_array_spec(df: DataFrame, features: FeatureSpec) -> bool:
     return False
 
 
+def is_vector_spec(df: DataFrame, features: FeatureSpec) -> bool:
+    """A column of ML vectors, dense or sparse, as a vector assembler makes them."""
+    return isinstance(features, str) and df.schema[features].dataType.typeName() == "vectorudt"
+
+
+def vectors_to_arrays(df: DataFrame, features: FeatureSpec) -> DataFrame:
+    """``df`` with an ML vector column as ``array<double>``; others unchanged."""
+    if not is_vector_spec(df, features):
+        return df
+    from pyspark.ml.functions import vector_to_array
+
+    return df.withColumn(features, F.when(F.col(features).isNotNull(), vector_to_array(features)))
+
+
 def feature_width(df: DataFrame, features: FeatureSpec, dim: int | None = None) -> int:
     """Width of the feature vector.
 

@@ -8,10 +8,11 @@ counted in the total and never as correct (C7, C8).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
+from ..sources.sinks import write_predictions
 from .shape import with_row_id
 
 TRUE = "true_label"
@@ -115,3 +116,22 @@ def evaluation_summary(pred: DataFrame, train: DataFrame, k: int, *, true_col: s
         F.coalesce(F.col("n_correct"), F.lit(0)).alias("n_correct"),
         F.try_divide(F.lit(100.0) * F.col("n_correct"), F.col("n_test")).alias("accuracy"),
     )
+
+
+def write_evaluated(
+    pred: DataFrame, path: str, train: DataFrame, k: int, fmt: str = "csv", *, mode: str = "errorifexists", id_col: str = "query_id", true_col: str = TRUE, pred_col: str = PRED
+) -> DataFrame:
+    """SNK-1/SNK-2 and SNK-3 in one pass: write the predictions and return the
+    summary row of ``evaluation_summary``.
+
+    The counts are observed on the rows as they are written, so the search behind
+    ``pred`` runs once. A ``tsv`` is sorted, and sorting samples its input first, so
+    there the observed rows are checkpointed and the copy is sorted."""
+    seen = Observation()
+    watched = pred.observe(seen, F.count(F.lit(1)).alias("n_test"), F.coalesce(F.sum(_correct(true_col, pred_col)), F.lit(0)).cast("long").alias("n_correct"))
+    watched = watched.select(id_col, pred_col)
+    write_predictions(checkpoint(watched) if fmt == "tsv" else watched, path, fmt, mode=mode, id_col=id_col, pred_col=pred_col)
+    got = seen.get
+    n, right = got["n_test"], got["n_correct"]
+    rows = [(k, n, train.count(), right, 100.0 * right / n if n else None)]
+    return pred.sparkSession.createDataFrame(rows, "k int, n_test long, n_train long, n_correct long, accuracy double")

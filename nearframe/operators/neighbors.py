@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 
 from ..functions.distance import squared_euclidean
 from ..functions.features import FeatureSpec
-from ..plans import brute, choose
+from ..plans import brute, choose, grid
+from ..plans.index import TrainIndex
 from ..plans.prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared, check_k, prepare
 
 #: Options of the strategies, beside the parameters of ``knn_join``.
-OPTIONS = {"replicate", "parallelism", "train_partitions", "query_partitions", "query_blocks", "train_blocks", "dedupe"}
-STRATEGIES = ("auto", "broadcast", "broadcast_train", "bounded", "vectorized", "blocks", "grid")
+OPTIONS = {"replicate", "parallelism", "train_partitions", "query_partitions", "query_blocks", "train_blocks", "dedupe", "pivots", "pack_rows", "counter"}
+STRATEGIES = ("auto", "broadcast", "broadcast_train", "bounded", "vectorized", "blocks", "pivots", "grid")
 
 
 def pairwise_distances(
@@ -104,6 +105,36 @@ def merge_top_k(partials: DataFrame | Sequence[DataFrame], k: int) -> DataFrame:
     return brute.rank_neighbours(allp.select(*cols), k)
 
 
+def update_neighbours(
+    stored: DataFrame, queries: DataFrame, new_train: DataFrame, features: FeatureSpec, k: int, *, query_id: str = "id", train_id: str | None = None, label: str = "label",
+    train_features: FeatureSpec | None = None, dim: int | None = None, exclude_self: bool = False, broadcast_max_bytes: int | None = None,
+) -> DataFrame:
+    """TOP-2 over time: stored k-lists brought up to date with new train rows.
+
+    The k-th distance of a full list bounds what can still enter it, so the new
+    rows are cut into cells and every list's ball names the cells it touches: a new
+    row reaches only the queries whose ball it lies in, and the old train rows are
+    not read at all. Lists with fewer than k rows, and vectors too wide for cells,
+    are searched among the new rows and merged. Equal to a full run over old and
+    new rows, provided no train id occurs in both."""
+    check_k(k)
+    spark = queries.sparkSession
+    p = prepare(
+        queries, new_train, features, query_id=query_id, train_id=train_id, label=label,
+        train_features=train_features, dim=dim, exclude_self=exclude_self,
+    )
+    limit, par = choose.broadcast_limit(spark, broadcast_max_bytes), choose.parallelism(spark)
+    old = stored.select(QUERY_ID, TRAIN_ID, LABEL, DIST)
+    if p.dim > choose.GRID_MAX_DIM:
+        found = knn_prepared(p, k, broadcast_max_bytes=limit)
+    else:
+        full = old.groupBy(QUERY_ID).agg(F.count(F.lit(1)).alias("_n"), F.max(DIST).alias("_kth"))
+        bounds = p.queries.select(QUERY_ID).join(full, QUERY_ID, "left")
+        bounds = bounds.select(QUERY_ID, F.when(F.col("_n") >= k, F.col("_kth")).otherwise(F.lit(float("inf"))).alias("bound"))
+        found = grid.knn_grid(p, k, broadcast_max_bytes=limit, parallelism=par, collapse=False, bounds=bounds)
+    return merge_top_k([old, found.select(QUERY_ID, TRAIN_ID, LABEL, DIST)], k)
+
+
 def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str, cores: int) -> tuple[str, str, choose.Sizes | None]:
     if strategy == "grid":
         # the grid counts train in its own planning pass and replicates
@@ -115,9 +146,9 @@ def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str, cor
         if strategy == "grid":
             return "grid", replicate, None
     if strategy == "vectorized":
-        # one replicated block is the special case: a larger side goes by blocks
+        # one replicated side is the special case: a larger one goes by pivots
         if (sizes.train_bytes if replicate == "train" else sizes.query_bytes) > limit:
-            strategy = "blocks"
+            strategy = "pivots"
     elif strategy in ("broadcast", "bounded") and sizes.query_bytes > limit:
         raise ValueError(
             f"strategy {strategy!r} replicates the query side ({sizes.query_bytes} bytes) "
@@ -149,6 +180,14 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
         return brute.knn_broadcast(p, k, replicate="train", parallelism=par)
     if strategy == "bounded":
         return brute.knn_bounded(p, k, n_train=sizes.n_train, parallelism=par)
+    if strategy == "pivots":
+        from ..plans import pivots
+
+        more = {x: opts[x] for x in ("pivots", "pack_rows", "counter") if x in opts}
+        found = pivots.knn_pivots(p, k, n_queries=sizes.n_queries, n_train=sizes.n_train, broadcast_max_bytes=limit, **more)
+        if found is not None:
+            return found
+        strategy = "blocks"  # the table of packs is too large to broadcast
     if strategy == "blocks":
         from ..plans import tiles
 
@@ -159,17 +198,16 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
     if strategy == "vectorized":
         from ..plans import vectorized
 
-        return vectorized.knn_vectorized(p, k, n_queries=sizes.n_queries, parallelism=par, replicate=replicate)
+        held = sizes.n_train if replicate == "train" else sizes.n_queries
+        return vectorized.knn_vectorized(p, k, n_replicated=held, parallelism=par, replicate=replicate)
     if strategy == "grid":
-        from ..plans import grid
-
         return grid.knn_grid(p, k, broadcast_max_bytes=limit, parallelism=par, dedupe=opts.get("dedupe", True))
     raise AssertionError(strategy)
 
 
 def knn_join(
     queries: DataFrame,
-    train: DataFrame,
+    train: DataFrame | None,
     features: FeatureSpec,
     k: int,
     *,
@@ -181,6 +219,7 @@ def knn_join(
     exclude_self: bool = False,
     strategy: str = "auto",
     broadcast_max_bytes: int | None = None,
+    index: TrainIndex | None = None,
     **opts,
 ) -> DataFrame:
     """JOIN-2: for every query its k nearest train rows.
@@ -188,15 +227,19 @@ def knn_join(
     ``exclude_self=True`` drops the pair ``query_id == train_id``, which is
     leave-one-out when both sides are the same table.
     Strategies (all exact, same result): ``broadcast`` (S1), ``bounded``
-    (S2), ``vectorized`` (S3, Arrow + NumPy), ``blocks`` (S4, packed tiles), ``grid``
+    (S2), ``vectorized`` (S3, Arrow + NumPy), ``blocks`` (S4, packed tiles),
+    ``pivots`` (partitions by nearest pivot, triangle-inequality bounds), ``grid``
     (exact cell search for low dimension), ``broadcast_train`` (LAY-2) and
     ``auto``. ``vectorized`` replicates one side while that passes the size
     check (``replicate="queries"``, LAY-1, or ``"train"``, LAY-2, with
-    ``train_partitions`` / ``query_partitions``) and goes by blocks beyond it.
+    ``train_partitions`` / ``query_partitions``) and goes by pivots beyond it.
 
     Both sides are read more than once (sizes, bounds, candidates): a caller
-    whose frames are costly to compute persists them first (LAY-4).
+    whose frames are costly to compute persists them first, or stores the train
+    side once with ``build_index`` and passes ``index`` instead of ``train`` (LAY-4).
     """
+    if index is not None:
+        return _knn_indexed(queries, index, features, k, query_id=query_id, exclude_self=exclude_self, broadcast_max_bytes=broadcast_max_bytes)
     p = prepare(
         queries, train, features, query_id=query_id, train_id=train_id, label=label,
         train_features=train_features, dim=dim, exclude_self=exclude_self,
@@ -204,6 +247,18 @@ def knn_join(
     return knn_prepared(p, k, strategy=strategy, broadcast_max_bytes=broadcast_max_bytes, **opts)
 
 
+def _knn_indexed(queries: DataFrame, index: TrainIndex, features: FeatureSpec, k: int, *, query_id: str, exclude_self: bool, broadcast_max_bytes: int | None) -> DataFrame:
+    check_k(k)
+    if k + int(exclude_self) > index.grid.kk:
+        raise ValueError(f"the index keeps {index.grid.kk} rows of a point, too few for k={k}, exclude_self={exclude_self}")
+    spark = queries.sparkSession
+    p = prepare(queries, queries.withColumn("__label", F.lit(0)), features, query_id=query_id, label="__label", exclude_self=exclude_self)
+    if p.dim != index.dim:
+        raise ValueError(f"query width {p.dim} differs from the index's {index.dim}")
+    limit = choose.broadcast_limit(spark, broadcast_max_bytes)
+    return grid.search_grid(index.grid, Prepared(p.queries, index.grid.train, p.dim, exclude_self), k, broadcast_max_bytes=limit, parallelism=choose.parallelism(spark))
+
+
 def attach_labels(neighbours: DataFrame, train: DataFrame, *, train_id: str = "id", label: str = "label") -> DataFrame:
     """JOIN-3: look the label of each neighbour up by train id.
 

@@ -2,7 +2,7 @@
 
 Nothing is broadcast on an estimate: the candidate side is counted and its
 byte size bounded (rows x width) before ``broadcast`` is requested. When no
-side fits, the plan falls back to tiles (``blocks``); low-dimensional inputs
+side fits, the plan goes by pivots and packs; low-dimensional inputs
 go to the exact grid search, whose work grows with the local density rather
 than with ``Q x N``.
 """
@@ -74,8 +74,8 @@ def choose(sizes: Sizes, limit: int, cores: int = 8) -> tuple[str, str]:
       ``grid`` (equi-joins on cells, work ~ local density);
     - otherwise ``vectorized``, replicating the smaller side that passes the
       size check (LAY-2 when train, LAY-1 when queries);
-    - neither fits: ``grid`` for low dimension, else ``blocks`` (tiles,
-      each reduced to a top-k in its task).
+    - neither fits: ``grid`` for low dimension, else ``pivots`` (packs by
+      nearest pivot; a query meets those its k-th distance reaches).
     """
     small = sizes.n_queries * sizes.n_train <= BRUTE_PAIRS_PER_CORE * max(1, cores)
     fits = sizes.query_bytes <= limit or sizes.train_bytes <= limit
@@ -90,4 +90,4 @@ def choose(sizes: Sizes, limit: int, cores: int = 8) -> tuple[str, str]:
         return "vectorized", "queries"
     if t_fits:
         return "vectorized", "train"
-    return "blocks", "queries"
+    return "pivots", "queries"

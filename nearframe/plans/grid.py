@@ -38,16 +38,20 @@ The neighbours are written once with ``checkpoint`` (reliable, in the
 session's ``spark.checkpoint.dir``) before the kept train is released, so
 the returned frame survives executor loss without recomputing the search.
 
-Exact duplicates are first collapsed to the kk lowest train ids per distinct
-point (no later copy can ever rank), which removes the degenerate "one point
-holds a third of the rows" cell. The collapse is a window with a partial
-limit, so a hot point sends at most kk rows per task into the shuffle.
+Equal points. Cells with more than ``BUSY_ROWS`` rows of either side are counted
+in one aggregate. In them, exact duplicates of a train point are collapsed to the kk
+lowest train ids (no later copy can ever rank), by a window with a partial limit, so
+a hot point sends at most kk rows per task into the shuffle; and a point with many
+queries is answered once and its list fanned out. What is left of a hot cell is cut:
+its train rows into salts of ``HOT_ROWS``, its queries into parts of ``HOT_QUERIES``,
+and each salt meets each part in a task of its own.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -65,6 +69,10 @@ SAMPLE_PER_CELL_FACTOR = 2
 COARSE_FACTOR = 4
 COARSE_SAMPLE_FACTOR = 2
 HOT_ROWS = 20_000
+#: Queries of one cell that meet in one task, about.
+HOT_QUERIES = 10_000
+#: Cells with more rows (of either side) are searched for equal points.
+BUSY_ROWS = 1_000
 MAX_CELLS = 729
 
 
@@ -72,25 +80,45 @@ def _names(prefix: str, d: int) -> list[str]:
     return [f"{prefix}{j}" for j in range(d)]
 
 
-def _cell(x: Column, knots: list[tuple[float, float, float]], m: int) -> Column:
-    """Cell index of ``x`` on one axis of ``m`` cells.
+def _cell(x: str, knots: list[tuple[float, float, float]], m: int) -> str:
+    """Cell index (SQL) of the expression ``x`` on one axis of ``m`` cells.
 
     ``knots`` are segments (low, high, weight) between quantiles; the position
-    of x is the sum of the weights below it, linear inside its segment, so
-    cells are narrow where rows are dense and one outlier only stretches the
-    last, light segment. Every term is monotone in floating point, and so is
-    the sum: the cells between those of two ends hold all rows between them.
+    of x is the sum of the weights below its segment plus a linear step inside
+    it, so cells are narrow where rows are dense and one outlier only stretches
+    the last, light segment. The segment is found by nested comparisons, so a
+    row evaluates a handful of them and one step, and the code stays small enough
+    to be compiled. Every step is held between its segment's ends, so the
+    position is monotone in floating point: the cells between those of two ends
+    hold all rows between them.
     """
-    if m == 1:
-        return F.lit(0).cast("long")
-    u = F.lit(0.0)
-    for low, high, weight in knots:
-        u = u + F.least(F.greatest((x - F.lit(low)) / F.lit(high - low), F.lit(0.0)), F.lit(1.0)) * F.lit(weight)
-    return F.floor(F.least(F.greatest(u * F.lit(float(m)), F.lit(0.0)), F.lit(float(m - 1)))).cast("long")
+    if m == 1 or not knots:
+        return "0L"
+    starts = [0.0]
+    for _, _, w in knots:
+        starts.append(starts[-1] + w * m)
+
+    def leaf(i: int) -> str:
+        low, high, _ = knots[i]
+        a, b = starts[i], starts[i + 1]
+        if i + 1 == len(knots):
+            b = float(m)
+        slope = (b - a) / (high - low)
+        if not math.isfinite(slope):  # a segment of a few denormal steps is one cell
+            return f"{a!r}D"
+        return f"least(greatest({a!r}D + ({x} - {low!r}D) * {slope!r}D, {a!r}D), {b!r}D)"
+
+    def tree(i: int, j: int) -> str:
+        if i + 1 == j:
+            return leaf(i)
+        mid = (i + j) // 2
+        return f"if({x} < {knots[mid][0]!r}D, {tree(i, mid)}, {tree(mid, j)})"
+
+    return f"cast(least(floor({tree(0, len(knots))}), {m - 1}L) as bigint)"
 
 
 def _cells(cols: list[str], knots: list, m: list[int], prefix: str) -> list[Column]:
-    return [_cell(F.col(c), kn, mj).alias(f"{prefix}{j}") for j, (c, kn, mj) in enumerate(zip(cols, knots, m))]
+    return [F.expr(_cell(c, kn, mj)).alias(f"{prefix}{j}") for j, (c, kn, mj) in enumerate(zip(cols, knots, m))]
 
 
 def _dedupe(train: DataFrame, tcols: list[str], kk: int) -> DataFrame:
@@ -101,10 +129,16 @@ def _dedupe(train: DataFrame, tcols: list[str], kk: int) -> DataFrame:
     return train.withColumn("_dup", F.row_number().over(w)).where(F.col("_dup") <= kk).drop("_dup")
 
 
+def _split(df: DataFrame, busy: DataFrame, cnames: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows outside and inside the busy cells."""
+    marked = df.join(busy.select(*cnames, F.lit(True).alias("_busy")), cnames, "left")
+    return marked.where("_busy is null").drop("_busy"), marked.where("_busy").drop("_busy")
+
+
 #: Quantiles between which cells are spread evenly; the tails are cut finer, so
 #: that far outliers share a segment with few rows.
-_STEPS = 32
-_TAIL = [1e-5, 1e-4, 1e-3, 1e-2]
+_STEPS = 8
+_TAIL = [1e-4, 1e-2]
 QUANTILES = [0.0, *_TAIL, *[i / _STEPS for i in range(1, _STEPS)], *[1 - t for t in reversed(_TAIL)], 1.0]
 #: Relative rounding allowance of the ball's ends, far above a few ulps.
 SLACK = 1e-12
@@ -148,29 +182,34 @@ def plan_width(p: Prepared, kk: int) -> dict:
     return {"n": n, "knots": [_segments(q) for q in qs], "cells": [max(1, int(math.ceil(min(r / w, 2.0**40)))) for r in ranges]}
 
 
-def _hot_cells(tcell: DataFrame, cnames: list[str], hot_rows: int) -> DataFrame:
-    """(cells..., _salts) for cells with more than ``hot_rows`` train rows
-    (at most N / hot_rows of them; the caller counts them before choosing
-    to broadcast)."""
-    counts = tcell.groupBy(*cnames).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > hot_rows).select(
-        *cnames, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts")
-    )
+def _cell_counts(tcell: DataFrame, qcell: DataFrame, cnames: list[str]) -> DataFrame:
+    """(cells..., _n, _m): train rows and queries of every busy cell."""
+    both = tcell.select(*cnames, F.lit(1).alias("_t"), F.lit(0).alias("_q")).unionByName(qcell.select(*cnames, F.lit(0).alias("_t"), F.lit(1).alias("_q")))
+    counts = both.groupBy(*cnames).agg(F.sum("_t").alias("_n"), F.sum("_q").alias("_m"))
+    return counts.where(F.greatest("_n", "_m") > BUSY_ROWS)
 
 
-def _salt_rows(df: DataFrame, hot: DataFrame, cnames: list[str], key: str) -> DataFrame:
-    """Split the rows of each hot cell into ``_salts`` parts by a hash of ``key``.
-    ``hot`` arrives already marked for broadcast when its count allowed it."""
-    t = df.join(hot, cnames, "left")
-    salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(key), F.col("_salts")))
-    return t.withColumn("_salt", salt.cast("int")).drop("_salts")
+def _hot_cells(busy: DataFrame, cnames: list[str]) -> DataFrame:
+    """(cells..., _salts, _parts) for cells with more than ``HOT_ROWS`` train rows
+    or ``HOT_QUERIES`` queries: train rows are cut into salts and copied once per
+    part, queries are cut into parts and copied once per salt."""
+    cut = lambda c, most: F.ceil(F.greatest(F.col(c), F.lit(1)) / F.lit(most)).cast("int")
+    return busy.where((F.col("_n") > HOT_ROWS) | (F.col("_m") > HOT_QUERIES)).select(*cnames, cut("_n", HOT_ROWS).alias("_salts"), cut("_m", HOT_QUERIES).alias("_parts"))
 
 
-def _replicate(df: DataFrame, hot: DataFrame, cnames: list[str]) -> DataFrame:
-    """Copy the rows of each hot cell once per salt (others get salt 0)."""
-    q = df.join(hot, cnames, "left")
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    return q.withColumn("_salt", F.explode(salts)).drop("_salts")
+def _spread_over_cells(df: DataFrame, hot: DataFrame | None, cnames: list[str], key: str, own: str, other: str) -> DataFrame:
+    """``_salt`` for rows that are cut by ``own`` (a hash of ``key``) and copied
+    once per ``other``; cells that are not hot have the one salt 0. ``hot``
+    arrives already marked for broadcast when its count allowed it."""
+    if hot is None:
+        return df.withColumn("_salt", F.lit(0))
+    t = df.join(hot, cnames, "left")
+    mine = F.coalesce(F.pmod(F.xxhash64(key), F.col(own)), F.lit(0))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+    t = t.withColumn("_mine", mine).withColumn("_copy", copies)
+    salt, part = ("_mine", "_copy") if own == "_salts" else ("_copy", "_mine")
+    number = F.col(salt) * F.coalesce(F.col("_parts"), F.lit(1)) + F.col(part)
+    return t.withColumn("_salt", number.cast("int")).drop("_mine", "_copy", "_salts", "_parts")
 
 
 def _sample(df: DataFrame, keys: list[str], m: int) -> DataFrame:
@@ -192,6 +231,36 @@ def _empty(p: Prepared) -> DataFrame:
     return p.queries.sparkSession.createDataFrame([], sch)
 
 
+@dataclass
+class Grid:
+    """Train, cut into cells and kept for both phases of the search.
+
+    ``part`` has ``train_id, t.., label, _c.., _salt`` and is partitioned by (cell,
+    salt); ``coarse`` is a bounded sample of each coarse cell; ``hot`` the hot
+    cells (or None). ``train`` are the rows without equal points beyond the lowest
+    ``kk``."""
+
+    dim: int
+    kk: int
+    n_train: int
+    knots: list
+    cells: list[int]
+    part: DataFrame
+    coarse: DataFrame
+    hot: DataFrame | None
+    train: DataFrame
+
+    @property
+    def coarse_cells(self) -> list[int]:
+        return [-(-x // COARSE_FACTOR) for x in self.cells]
+
+
+def _coarse_sample(train: DataFrame, tc: list[str], knots: list, cells: list[int], kk: int) -> DataFrame:
+    kn = _names("_k", len(tc))
+    mc = [-(-x // COARSE_FACTOR) for x in cells]
+    return _sample(train.select(TRAIN_ID, *tc, *_cells(tc, knots, mc, "_k")), kn, COARSE_SAMPLE_FACTOR * kk)
+
+
 def knn_grid(
     p: Prepared,
     k: int,
@@ -199,6 +268,8 @@ def knn_grid(
     broadcast_max_bytes: int,
     parallelism: int = 8,
     dedupe: bool = True,
+    collapse: bool = True,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     spark = p.queries.sparkSession
     kk = k + (1 if p.exclude_self else 0)
@@ -207,36 +278,70 @@ def knn_grid(
     n_train = plan["n"]
     if n_train == 0:
         return _empty(p)
-    train = p.train
-    if dedupe:
-        train = _dedupe(train, p.tcols, kk)
-
     d, tc, qc = p.dim, p.tcols, p.qcols
     knots, m = plan["knots"], plan["cells"]
-    mc = [-(-x // COARSE_FACTOR) for x in m]
-    cn, kn = _names("_c", d), _names("_k", d)
+    cn = _names("_c", d)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    train, queries = p.train.select(TRAIN_ID, *tc, LABEL), p.queries.select(QUERY_ID, *qc)
 
-    # 2. train, partitioned once by (cell, salt) and kept for both phases
-    tcell = train.select(TRAIN_ID, *tc, LABEL, *_cells(tc, knots, m, "_c"))
-    # hot cells: a small deterministic aggregate, kept and counted once;
+    # 1b. busy cells: a small deterministic aggregate, kept and counted once;
     # broadcast only when the count fits the limit, else a shuffle join
-    hot_kept = _hot_cells(tcell, cn, HOT_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
-    hot = hot_kept
-    if hot_kept.count() * choose.row_bytes(d + 1) <= broadcast_max_bytes:
-        hot = F.broadcast(hot_kept)
-    tpart = _salt_rows(tcell, hot, cn, TRAIN_ID).repartition(n_parts, *cn, "_salt")
+    def small(table: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(table) if rows * choose.row_bytes(d + 2) <= broadcast_max_bytes else table
+
+    tcell, qcell = train.select("*", *_cells(tc, knots, m, "_c")), queries.select("*", *_cells(qc, knots, m, "_c"))
+    kept = [_cell_counts(tcell, qcell, cn).persist(StorageLevel.MEMORY_AND_DISK)]
+    busy_cells = kept[0]
+    sizes = busy_cells.agg(F.count(F.lit(1)).alias("n"), F.max("_n").alias("t"), F.max("_m").alias("q")).first()
+    points, n_points, members = None, 0, None
+    if sizes["n"] and dedupe:
+        busy = small(busy_cells, sizes["n"])
+        quiet, crowd = _split(tcell, busy, cn)
+        tcell = quiet.unionByName(_dedupe(crowd, tc, kk))
+        train = tcell.drop(*cn)
+        if collapse and sizes["q"] > BUSY_ROWS:
+            points = _equal_queries(_split(qcell, busy, cn)[1], qc)
+            kept.append(points)
+            n_points = points.count()
+        if n_points:
+            # queries on such a point are answered once, as one query
+            members = queries.join(small(points, n_points), qc).select(QUERY_ID, "_point")
+            queries = queries.join(small(points.select(*qc), n_points), qc, "left_anti")
+            qcell = queries.select("*", *_cells(qc, knots, m, "_c"))
+
+    # 2. train, partitioned once by (cell, salt) and kept for both phases
+    hot = None
+    if sizes["n"] and (sizes["t"] > HOT_ROWS or sizes["q"] > HOT_QUERIES):
+        # counted again: equal rows are gone
+        kept.append(_hot_cells(_cell_counts(tcell, qcell, cn), cn).persist(StorageLevel.MEMORY_AND_DISK))
+        hot = small(kept[-1], kept[-1].count())
+    tpart = _spread_over_cells(tcell, hot, cn, TRAIN_ID, "_salts", "_parts").repartition(n_parts, *cn, "_salt")
     tpart = tpart.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.append(tpart)
+    grid = Grid(d, kk, n_train, knots, m, tpart, _coarse_sample(train, tc, knots, m, kk), hot, train)
+    out = search_grid(grid, Prepared(queries, train, d, p.exclude_self), k, broadcast_max_bytes=broadcast_max_bytes, parallelism=parallelism, bounds=bounds)
+    if members is not None:
+        out = out.unionByName(_answer_points(p, points, members, train, k, n_points, n_train, broadcast_max_bytes, parallelism))
+    out = checkpoint(out)
+    for table in kept:
+        table.unpersist()
+    return out
+
 
-    # 3. phase 1: bounds from the fine-cell and coarse-cell samples
+def _bounds(grid: Grid, p: Prepared, k: int, broadcast_max_bytes: int) -> DataFrame:
+    """(query_id, q.., bound) from the fine-cell and coarse-cell samples."""
+    d, tc, qc = p.dim, p.tcols, p.qcols
+    knots, m, mc, kk, tpart, hot = grid.knots, grid.cells, grid.coarse_cells, grid.kk, grid.part, grid.hot
+    cn, kn = _names("_c", d), _names("_k", d)
+    queries, n_train = p.queries, grid.n_train
+    qcell = queries.select(QUERY_ID, *qc, *_cells(qc, knots, m, "_c"))
     fine = _sample(tpart, cn + ["_salt"], SAMPLE_PER_CELL_FACTOR * kk).select(TRAIN_ID, *tc, *cn, "_salt")
-    qfine = _salt_rows(p.queries.select(QUERY_ID, *qc, *_cells(qc, knots, m, "_c")), hot, cn, QUERY_ID)
-    fine = fine.select(TRAIN_ID, *tc, *cn, "_salt")
-    coarse = _sample(train.select(TRAIN_ID, *tc, *_cells(tc, knots, mc, "_k")), kn, COARSE_SAMPLE_FACTOR * kk)
+    qfine = _spread_over_cells(qcell, hot, cn, QUERY_ID, "_parts", "_salts")
+    coarse = grid.coarse
     coarse_rows = COARSE_SAMPLE_FACTOR * kk * math.prod(mc)
     if choose.row_bytes(2 * d + 2) * min(coarse_rows, n_train) <= broadcast_max_bytes:
         coarse = F.broadcast(coarse)  # proven bound: cells in the box x m1
-    qcoarse = p.queries.select(QUERY_ID, *qc, *_cells(qc, knots, mc, "_k"))
+    qcoarse = queries.select(QUERY_ID, *qc, *_cells(qc, knots, mc, "_k"))
 
     def kth(pairs: DataFrame, tag: str) -> DataFrame:
         """k best distances per query: the partial window limit runs in the
@@ -247,7 +352,7 @@ def knn_grid(
         return brute.rank_neighbours(pairs, k).select(QUERY_ID, DIST, F.lit(tag).alias("_tag"))
 
     nul = F.lit(None).cast("double")
-    own = p.queries.select(QUERY_ID, *qc, nul.alias(DIST), F.lit("q").alias("_tag"))
+    own = queries.select(QUERY_ID, *qc, nul.alias(DIST), F.lit("q").alias("_tag"))
     tops = kth(qfine.join(fine, cn + ["_salt"]), "f").unionByName(kth(qcoarse.join(coarse, kn), "c"))
     tops = tops.select(QUERY_ID, *[nul.alias(c) for c in qc], DIST, "_tag")
 
@@ -264,17 +369,29 @@ def knn_grid(
         .when(F.col("_nc") >= k, F.col("_kc"))
         .otherwise(F.lit(float("inf")))
     )
-    qb = agg.select(QUERY_ID, *qc, bound.alias("bound"))
+    return agg.select(QUERY_ID, *qc, bound.alias("bound"))
+
+
+def search_grid(grid: Grid, p: Prepared, k: int, *, broadcast_max_bytes: int, parallelism: int = 8, bounds: DataFrame | None = None) -> DataFrame:
+    """The k nearest rows of a prepared train side for ``p.queries``.
+
+    With ``bounds`` (query_id, bound) phase 1 is left out and only rows within each
+    query's bound are returned."""
+    d, qc = p.dim, p.qcols
+    knots, m, tpart, hot = grid.knots, grid.cells, grid.part, grid.hot
+    cn = _names("_c", d)
+    queries, train, n_train = p.queries, grid.train, grid.n_train
+    # 3. phase 1
+    qb = _bounds(grid, p, k, broadcast_max_bytes) if bounds is None else queries.join(bounds, QUERY_ID).select(QUERY_ID, *qc, "bound")
     finite = brute.is_finite("bound")
-    ranges = []
+    ends, ranges = [], []
     for j, (c, kn_j, m_j) in enumerate(zip(qc, knots, m)):
         # q - t is rounded before it is compared with the bound, so the exact
         # ends could miss the k-th neighbour's cell: widen them by far more
         slack = (F.abs(F.col(c)) + F.col("bound")) * F.lit(SLACK)
-        lo_j = _cell(F.col(c) - F.col("bound") - slack, kn_j, m_j)
-        hi_j = _cell(F.col(c) + F.col("bound") + slack, kn_j, m_j)
-        ranges += [F.when(finite, lo_j).alias(f"_lo{j}"), F.when(finite, hi_j).alias(f"_hi{j}")]
-    qb = qb.select(QUERY_ID, *qc, "bound", *ranges)
+        ends += [(F.col(c) - F.col("bound") - slack).alias(f"_a{j}"), (F.col(c) + F.col("bound") + slack).alias(f"_b{j}")]
+        ranges += [F.when(finite, F.expr(_cell(f"_{e}{j}", kn_j, m_j))).alias(f"_{n}{j}") for e, n in (("a", "lo"), ("b", "hi"))]
+    qb = qb.select(QUERY_ID, *qc, "bound", *ends).select(QUERY_ID, *qc, "bound", *ranges)
     ncell = F.lit(1).cast("long")
     for j in range(d):
         ncell = ncell * (F.col(f"_hi{j}") - F.col(f"_lo{j}") + 1)
@@ -285,7 +402,7 @@ def knn_grid(
     qe = qb.where(F.col("_ok"))
     for j in range(d):
         qe = qe.withColumn(f"_c{j}", F.explode(F.sequence(F.col(f"_lo{j}"), F.col(f"_hi{j}"))))
-    qe = _replicate(qe.select(QUERY_ID, *qc, "bound", *cn), hot, cn)
+    qe = _spread_over_cells(qe.select(QUERY_ID, *qc, "bound", *cn), hot, cn, QUERY_ID, "_parts", "_salts")
     cond = brute.within_bound(p)
     if p.exclude_self:
         cond = cond & (F.col(QUERY_ID) != F.col(TRAIN_ID))
@@ -301,14 +418,42 @@ def knn_grid(
 
         rest = Prepared(pending, train, d, p.exclude_self)
         if choose.Sizes(n_pending, n_train, d).query_bytes <= broadcast_max_bytes:
-            results.append(vectorized.knn_vectorized(rest, k, n_queries=n_pending, parallelism=parallelism))
+            results.append(vectorized.knn_vectorized(rest, k, n_replicated=n_pending, parallelism=parallelism))
         else:
             blocks = tiles.block_count(n_pending, d), tiles.block_count(n_train, d)
             results.append(tiles.knn_tiles(rest, k, query_blocks=blocks[0], train_blocks=blocks[1]))
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
-    out = checkpoint(out)
-    tpart.unpersist()
-    hot_kept.unpersist()
     return out
+
+
+def _equal_queries(crowd: DataFrame, qc: list[str]) -> DataFrame:
+    """(q..., _point) of the points with more than ``BUSY_ROWS`` queries: at most
+    one per ``BUSY_ROWS`` queries. Counted with map-side combine."""
+    same = crowd.groupBy(*qc).agg(F.count(F.lit(1)).alias("_m"), F.min(QUERY_ID).alias("_point"))
+    return same.where(F.col("_m") > BUSY_ROWS).select(*qc, "_point").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _answer_points(p: Prepared, points: DataFrame, members: DataFrame, train: DataFrame, k: int, n_points: int, n_train: int, limit: int, parallelism: int) -> DataFrame:
+    """Neighbours of all queries that share a point: the point's own list, one
+    longer where a query leaves out itself (train ids name rows), fanned out."""
+    kk = k + (1 if p.exclude_self else 0)
+    one = Prepared(points.withColumnRenamed("_point", QUERY_ID).select(QUERY_ID, *p.qcols), train, p.dim, False)
+    if n_points * n_train <= choose.BRUTE_PAIRS_PER_CORE * parallelism and choose.Sizes(n_points, n_train, p.dim).query_bytes <= limit:
+        from . import vectorized
+
+        lists = vectorized.knn_vectorized(one, kk, n_replicated=n_points, parallelism=parallelism)
+    else:
+        lists = knn_grid(one, kk, broadcast_max_bytes=limit, parallelism=parallelism, collapse=False)
+    lists = lists.withColumnRenamed(QUERY_ID, "_point").withColumnRenamed(RANK, "_at")
+    if n_points * kk * choose.row_bytes(5) <= limit:
+        lists = F.broadcast(lists)
+    rows = members.join(lists, "_point")
+    if not p.exclude_self:
+        return rows.select(QUERY_ID, F.col("_at").alias(RANK), TRAIN_ID, LABEL, DIST)
+    # a query's own row leaves the list; what lies behind it moves up
+    own = members.join(lists.select("_point", F.col(TRAIN_ID).alias("_own"), F.col("_at").alias("_own_at")), "_point").where(F.col(QUERY_ID) == F.col("_own")).select(QUERY_ID, "_own_at")
+    rows = rows.join(own, QUERY_ID, "left").where(F.col("_own_at").isNull() | (F.col("_at") != F.col("_own_at")))
+    rank = F.col("_at") - F.when(F.col("_at") > F.col("_own_at"), 1).otherwise(0)
+    return rows.select(QUERY_ID, rank.cast("long").alias(RANK), TRAIN_ID, LABEL, DIST).where(F.col(RANK) <= k)

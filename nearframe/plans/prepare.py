@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distance import euclidean
-from ..functions.features import VALID, FeatureSpec, feature_width, names, with_features
+from ..functions.features import VALID, FeatureSpec, feature_width, names, vectors_to_arrays, with_features
 
 QUERY_ID = "query_id"
 TRAIN_ID = "train_id"
@@ -60,8 +60,10 @@ def prepare(
     """Validate widths (C10) and project both sides to the canonical shape."""
     train_id = train_id or query_id
     train_features = features if train_features is None else train_features
-    dq = feature_width(queries, features, dim)
     same = train is queries and train_features == features
+    queries = vectors_to_arrays(queries, features)
+    train = queries if same else vectors_to_arrays(train, train_features)
+    dq = feature_width(queries, features, dim)
     dt = dq if same else feature_width(train, train_features, dim)
     if dq != dt:
         raise ValueError(f"query width {dq} differs from train width {dt}")

@@ -13,17 +13,16 @@ from __future__ import annotations
 
 import sys
 
-import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .brute import rank_neighbours
 from .choose import row_bytes
-from .prepare import DIST, LABEL, QUERY_ID, TRAIN_ID, Prepared
-from .vectorized import _BLOCK_ELEMS, QUERY_TILE, RunningTopK, root_block
+from .kernel import Search
+from .prepare import LABEL, QUERY_ID, TRAIN_ID, Prepared
+from .vectorized import found_batch, matrix, neighbour_schema, pack_blocks, unpacked, values
 
 BLOCK_BYTES = 8 << 20
 #: At most this many rows of a side meet in a tile: some seconds of the kernel.
@@ -36,50 +35,19 @@ def block_count(rows: int, dim: int) -> int:
     return max(1, -(-rows // max(1, min(BLOCK_ROWS, BLOCK_BYTES // row_bytes(dim + 2)))))
 
 
-def _pack(df: DataFrame, key: str, block: str, blocks: int) -> DataFrame:
-    """``block, body``: the rows of each block as one Arrow stream."""
-
-    def run(table: pa.Table) -> pa.Table:
-        sink = pa.BufferOutputStream()
-        rows = table.drop_columns([block])
-        with pa.ipc.new_stream(sink, rows.schema) as out:
-            out.write_table(rows)
-        return pa.table({block: table.column(block).slice(0, 1), "body": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
-
-    split = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-    return df.withColumn(block, split).groupBy(block).applyInArrow(run, f"{block} int, body binary")
-
-
 def _each(blocks: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
 
-def _matrix(table: pa.Table, cols: list[str]) -> np.ndarray:
-    return np.column_stack([table.column(c).to_numpy() for c in cols]).astype(np.float64, copy=False)
-
-
 def _tile(qcols: list[str], tcols: list[str], k: int, exclude_self: bool, schema: pa.Schema):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = []
-        if left.num_rows and right.num_rows:
-            # one packed row a side
-            q, t = (pa.ipc.open_stream(x.column("body")[0].as_py()).read_all() for x in (left, right))
-            Q, X = _matrix(q, qcols), _matrix(t, tcols)
-            qids, tids, at = q.column(QUERY_ID).to_numpy(), t.column(TRAIN_ID).to_numpy(), np.arange(t.num_rows)
-            for a in range(0, len(Q), QUERY_TILE):
-                ids = qids[a : a + QUERY_TILE]
-                state = RunningTopK(len(ids), k, tids.dtype, at.dtype)
-                step = max(1, _BLOCK_ELEMS // len(ids))
-                for s in range(0, len(X), step):
-                    D = root_block(Q[a : a + QUERY_TILE], X[s : s + step])
-                    if exclude_self:
-                        D[ids[:, None] == tids[None, s : s + step]] = np.inf
-                    state.push(D, tids[s : s + step], at[s : s + step])
-                r, c = np.nonzero(np.isfinite(state.d))
-                pos = state.lab[r, c]
-                columns = [q.column(QUERY_ID).take(pa.array(r + a)), t.column(TRAIN_ID).take(pa.array(pos)), t.column(LABEL).take(pa.array(pos)), pa.array(state.d[r, c])]
-                parts.append(pa.table(columns, names=[QUERY_ID, TRAIN_ID, LABEL, DIST]))
-        return pa.concat_tables(parts) if parts else schema.empty_table()
+        if not (left.num_rows and right.num_rows):
+            return schema.empty_table()
+        # one packed row a side
+        q, t = (unpacked(x.column("body")[0]) for x in (left, right))
+        search = Search(matrix(q, qcols), values(q, QUERY_ID), k, exclude_self)
+        search.push(matrix(t, tcols), values(t, TRAIN_ID), values(t, LABEL))
+        return pa.Table.from_batches([found_batch(search, schema)])
 
     return run
 
@@ -90,12 +58,9 @@ def knn_tiles(p: Prepared, k: int, *, query_blocks: int, train_blocks: int) -> D
     train_blocks`` pairs of packs."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    q = _pack(p.queries.select(QUERY_ID, *p.qcols), QUERY_ID, "_qb", query_blocks).withColumn("_tb", _each(train_blocks))
-    t = _pack(p.train.select(TRAIN_ID, LABEL, *p.tcols), TRAIN_ID, "_tb", train_blocks).withColumn("_qb", _each(query_blocks))
-    out = T.StructType([
-        T.StructField(QUERY_ID, p.queries.schema[QUERY_ID].dataType), T.StructField(TRAIN_ID, p.train.schema[TRAIN_ID].dataType),
-        T.StructField(LABEL, p.train.schema[LABEL].dataType), T.StructField(DIST, T.DoubleType()),
-    ])
+    q = pack_blocks(p.queries.select(QUERY_ID, *p.qcols), QUERY_ID, "_qb", query_blocks).withColumn("_tb", _each(train_blocks))
+    t = pack_blocks(p.train.select(TRAIN_ID, LABEL, *p.tcols), TRAIN_ID, "_tb", train_blocks).withColumn("_qb", _each(query_blocks))
+    out = neighbour_schema(p, with_rank=False)
     run = _tile(p.qcols, p.tcols, k, p.exclude_self, to_arrow_schema(out))
     tiles = q.groupBy("_qb", "_tb").cogroup(t.groupBy("_qb", "_tb")).applyInArrow(run, out)
     return rank_neighbours(tiles, k)

@@ -1,16 +1,15 @@
 """S3 ``vectorized`` (UDF-2): NumPy distances over Arrow batches.
 
-The query side (size checked by the caller, like any broadcast) is shipped
-once to every executor as a broadcast variable. Each train partition is then
-streamed through ``mapInPandas`` batch by batch: the distance block
-``queries x batch`` is computed with the same left-to-right sum of squared
-differences as the SQL expression (bit-identical doubles), and only the
-running k best per query survive to the next batch. The partition emits at
-most ``k`` rows per query; TOP-2 (``rank_neighbours``) merges partitions after
-one exchange on ``query_id``.
-
-Memory per task: the query matrix plus one ``queries x chunk`` block, where
-the chunk is sized to about ``_BLOCK_ELEMS`` doubles; never the partition.
+One side is replicated and never passes through the driver's Python: it is
+hash-split into packed blocks (one Arrow stream per row), and that small relation,
+whose size the caller has checked like that of any broadcast, is broadcast and
+equi-joined on the block number to the streamed side, which is packed batch by
+batch inside its own partitions. Each joined row is a tile; the kernel
+(``plans.kernel``) keeps the k best of every query from tile to tile.
+
+``replicate="queries"`` (LAY-1, LAY-5) streams train: a task's lists cover its train
+rows, at most ``k`` per query leave it, and TOP-2 merges them after one exchange.
+``replicate="train"`` (LAY-2) streams the queries: a task's lists are final.
 """
 
 from __future__ import annotations
@@ -18,131 +17,41 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .brute import rank_neighbours, spread
+from .kernel import RunningTopK, Search, root_block, squared_block
 from .prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared
 
-_BLOCK_ELEMS = 4_000_000
-_CACHE_ELEMS = 32_768
+__all__ = ["RunningTopK", "knn_vectorized", "root_block", "squared_block"]
 
-# Ship this module's helpers with the task closure, so executors need no
-# installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def squared_block(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
-    """(nq, nb) squared distances, summed dimension by dimension in order.
-
-    Query rows are taken in tiles of about ``_CACHE_ELEMS`` entries, so each
-    tile's running sum stays in cache across the dimensions; the first
-    square is stored directly, the same double as ``0.0 + square``.
-    """
-    nq, nb, d = Q.shape[0], X.shape[0], Q.shape[1]
-    out = np.empty((nq, nb), dtype=np.float64)
-    XT = np.ascontiguousarray(X.T)
-    rows = max(1, _CACHE_ELEMS // max(1, nb))
-    tmp = np.empty((min(rows, nq), nb), dtype=np.float64)
-    for a in range(0, nq, rows):
-        acc = out[a : a + rows]
-        t = tmp[: acc.shape[0]]
-        for j in range(d):
-            dst = acc if j == 0 else t
-            np.subtract(Q[a : a + rows, j : j + 1], XT[j][None, :], out=dst)
-            np.multiply(dst, dst, out=dst)
-            if j:
-                acc += t
-    return out
-
-
-def root_block(Q: np.ndarray, X: np.ndarray) -> np.ndarray:
-    """(nq, nb) Euclidean distances, square root taken in place."""
-    acc = squared_block(Q, X)
-    return np.sqrt(acc, out=acc)
-
-
-#: Queries that meet a block of train at once.
-QUERY_TILE = 10_000
-
-
-class RunningTopK:
-    """k best (dist, train_id) per query, exact under ties.
-
-    Each step keeps from the new block only entries that beat the row's
-    current k-th by (dist, train_id). When many pass (the first block), each
-    row is cut to its own k best in the block: the entries below the row's
-    k-th smallest distance, plus the first entries equal to it in train-id
-    order (the block is sorted by train id), enough to make k. The survivors
-    merge with the current k, sorted by (query, dist, train_id), cut at k.
-    """
-
-    def __init__(self, n_queries: int, k: int, id_dtype, label_dtype):
-        self.k = k
-        self.d = np.full((n_queries, k), np.inf)
-        self.i = np.zeros((n_queries, k), dtype=id_dtype)
-        self.lab = np.empty((n_queries, k), dtype=label_dtype)
-
-    def push(self, D: np.ndarray, tid: np.ndarray, lab: np.ndarray) -> None:
-        nq, nb = D.shape
-        k = self.k
-        if nb > 1 and np.any(tid[1:] < tid[:-1]):
-            o = np.argsort(tid, kind="stable")
-            D, tid, lab = D[:, o], tid[o], lab[o]
-        # Only entries that beat the current k-th by (dist, train_id) can
-        # enter; NaN and infinity never pass. Once a query's list is full,
-        # this is two comparisons and no selection.
-        bd = self.d[:, k - 1][:, None]
-        bi = self.i[:, k - 1][:, None]
-        mask = D < bd
-        tr, tc = np.nonzero((D == bd) & np.isfinite(bd))
-        if len(tr):  # ids are compared only where distances tie, so they may be of any type
-            lower = tid[tc] < bi[tr, 0]
-            mask[tr[lower], tc[lower]] = True
-        if nb > k and np.count_nonzero(mask) > 4 * k * nq:
-            # many candidates (first block, or a block better than the list):
-            # cut each row to its k best within the block, ties by train id
-            Dm = np.where(mask, D, np.inf)
-            kth = np.partition(Dm, k - 1, axis=1)[:, k - 1]
-            less = Dm < kth[:, None]
-            eq = (Dm == kth[:, None]) & mask
-            need = k - less.sum(axis=1, dtype=np.int32)
-            mask = less | (eq & (np.cumsum(eq, axis=1, dtype=np.int32) <= need[:, None]))
-        r, c = np.nonzero(mask)
-        if not len(r):
-            return
-        # merge only the queries with a hit
-        touched, at = np.unique(r, return_inverse=True)
-        held, hi, hl = self.d[touched], self.i[touched], self.lab[touched]
-        cr, cc = np.nonzero(np.isfinite(held))
-        rows = np.concatenate([cr, at])
-        dist = np.concatenate([held[cr, cc], D[r, c]])
-        ids = np.concatenate([hi[cr, cc], tid[c]])
-        labs = np.concatenate([hl[cr, cc], lab[c]])
-        key = np.unique(ids, return_inverse=True)[1] if ids.dtype == object else ids
-        order = np.lexsort((key, dist, rows))
-        rows, dist, ids, labs = rows[order], dist[order], ids[order], labs[order]
-        starts = np.searchsorted(rows, np.arange(len(touched)))
-        rank = np.arange(rows.size) - starts[rows]
-        keep = rank < k
-        self.d[touched] = np.inf
-        to = touched[rows[keep]]
-        self.d[to, rank[keep]] = dist[keep]
-        self.i[to, rank[keep]] = ids[keep]
-        self.lab[to, rank[keep]] = labs[keep]
-
-    def frame(self, qids: np.ndarray, with_rank: bool = False) -> pd.DataFrame:
-        r, c = np.nonzero(np.isfinite(self.d))
-        cols = {QUERY_ID: qids[r]}
-        if with_rank:
-            cols[RANK] = (c + 1).astype(np.int64)
-        cols.update({TRAIN_ID: self.i[r, c], LABEL: self.lab[r, c], DIST: self.d[r, c]})
-        return pd.DataFrame(cols)
-
-
-def _schema(p: Prepared, with_rank: bool) -> T.StructType:
+def packed(table: pa.Table | pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(body: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(body.as_buffer()).read_all()
+
+
+def matrix(table: pa.Table, cols: list[str]) -> np.ndarray:
+    return np.column_stack([table.column(c).to_numpy() for c in cols]).astype(np.float64, copy=False)
+
+
+def values(table: pa.Table, col: str) -> np.ndarray:
+    return table.column(col).to_numpy()
+
+
+def neighbour_schema(p: Prepared, with_rank: bool) -> T.StructType:
     fields = [T.StructField(QUERY_ID, p.queries.schema[QUERY_ID].dataType)]
     if with_rank:
         fields.append(T.StructField(RANK, T.LongType()))
@@ -154,84 +63,80 @@ def _schema(p: Prepared, with_rank: bool) -> T.StructType:
     return T.StructType(fields)
 
 
-def knn_vectorized(p: Prepared, k: int, *, n_queries: int, parallelism: int = 8, replicate: str = "queries") -> DataFrame:
-    """``replicate="queries"`` (LAY-1, LAY-5): train partitions streamed
-    against the replicated queries, partial k-lists merged after one
-    exchange. ``replicate="train"`` (LAY-2): query partitions streamed
-    against the replicated train matrix; every task sees all of train for
-    its queries, so its k-lists are final and no exchange follows."""
-    if replicate == "train":
-        return _knn_replicated_train(p, k, parallelism=parallelism)
-    spark = p.queries.sparkSession
-    schema = _schema(p, with_rank=False)
-    # The query side goes to the driver once; its size was checked against
-    # the broadcast limit before this strategy was allowed (knn_prepared).
-    qpdf = p.queries.toPandas()
-    qids = qpdf[QUERY_ID].to_numpy()
-    Q = qpdf[p.qcols].to_numpy(dtype=np.float64)
-    bq = spark.sparkContext.broadcast((qids, Q))
-    tcols = p.tcols
-    exclude_self = p.exclude_self
+def found_batch(search: Search, schema: pa.Schema) -> pa.RecordBatch:
+    """The lists of a search as rows of ``schema``."""
+    pos, rank, tid, lab, dist = search.result()
+    cols = {QUERY_ID: search.qids[pos], RANK: rank, TRAIN_ID: tid, LABEL: lab, DIST: dist}
+    return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in schema], schema=schema)
+
+
+def pack_blocks(df: DataFrame, key: str, block: str, blocks: int) -> DataFrame:
+    """``block, body``: the rows of each of ``blocks`` hash parts as one Arrow stream."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.table({block: table.column(block).slice(0, 1), "body": pa.array([packed(table.drop_columns([block]))], pa.binary())})
+
+    split = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    return df.withColumn(block, split).groupBy(block).applyInArrow(run, f"{block} int, body binary")
+
+
+def pack_stream(df: DataFrame) -> DataFrame:
+    """``pack, stream``: every Arrow batch of a partition as one row, no exchange."""
 
     def run(batches):
-        qids_, Q_ = bq.value
-        tiles = range(0, len(qids_), QUERY_TILE)
-        states = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.sort_values(TRAIN_ID, kind="stable")
-            X = pdf[tcols].to_numpy(dtype=np.float64)
-            tid = pdf[TRAIN_ID].to_numpy()
-            lab = pdf[LABEL].to_numpy()
-            if states is None:
-                states = [RunningTopK(len(qids_[q : q + QUERY_TILE]), k, tid.dtype, lab.dtype) for q in tiles]
-            # tiles of queries, so that the blocks of train stay wide
-            for q, state in zip(tiles, states):
-                ids, Q = qids_[q : q + QUERY_TILE], Q_[q : q + QUERY_TILE]
-                step = max(1, _BLOCK_ELEMS // max(1, len(ids)))
-                for s in range(0, len(X), step):
-                    Xs, ts, ls = X[s : s + step], tid[s : s + step], lab[s : s + step]
-                    # rank on the rooted distance: two squares can round to one
-                    # root, and then the train id must decide, as in SQL
-                    D = root_block(Q, Xs)
-                    if exclude_self:
-                        D[ids[:, None] == ts[None, :]] = np.inf
-                    state.push(D, ts, ls)
-        for q, state in zip(tiles, states or ()):
-            yield state.frame(qids_[q : q + QUERY_TILE])
-
-    partial = spread(p.train, parallelism).mapInPandas(run, schema)
-    return rank_neighbours(partial, k)
-
-
-def _knn_replicated_train(p: Prepared, k: int, *, parallelism: int = 8) -> DataFrame:
-    spark = p.queries.sparkSession
-    schema = _schema(p, with_rank=True)
-    # Train goes to the driver once; its size was checked by the caller.
-    tpdf = p.train.toPandas().sort_values(TRAIN_ID, kind="stable")
-    tids = tpdf[TRAIN_ID].to_numpy()
-    labs = tpdf[LABEL].to_numpy()
-    X = tpdf[p.tcols].to_numpy(dtype=np.float64)
-    bt = spark.sparkContext.broadcast((tids, labs, X))
-    qcols = p.qcols
-    exclude_self = p.exclude_self
+        from pyspark import TaskContext
+
+        base = TaskContext.get().partitionId() << 32
+        for n, b in enumerate(batches):
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([base + n]), pa.array([packed(b)], pa.binary())], names=["pack", "stream"])
+
+    return df.mapInArrow(run, "pack long, stream binary")
+
+
+def knn_vectorized(p: Prepared, k: int, *, n_replicated: int, parallelism: int = 8, replicate: str = "queries") -> DataFrame:
+    """Exact k nearest train rows; ``n_replicated`` is the counted number of rows
+    of the replicated side."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from .tiles import block_count
+
+    by_train = replicate == "train"
+    queries, train = p.queries.select(QUERY_ID, *p.qcols), p.train.select(TRAIN_ID, LABEL, *p.tcols)
+    blocks = block_count(n_replicated, p.dim)
+    held = pack_blocks(train if by_train else queries, TRAIN_ID if by_train else QUERY_ID, "_b", blocks)
+    streamed = pack_stream(spread(queries if by_train else train, parallelism))
+    each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_b")
+    tiles = streamed.select("pack", "stream", each).join(F.broadcast(held), "_b")
+    kind = neighbour_schema(p, with_rank=by_train)
+    schema = to_arrow_schema(kind)
+    qcols, tcols, exclude_self = p.qcols, p.tcols, p.exclude_self
 
     def run(batches):
-        tids_, labs_, X_ = bt.value
-        for pdf in batches:
-            if pdf.empty or not len(tids_):
-                continue
-            qids = pdf[QUERY_ID].to_numpy()
-            Q = pdf[qcols].to_numpy(dtype=np.float64)
-            state = RunningTopK(len(qids), k, tids_.dtype, labs_.dtype)
-            step = max(1, _BLOCK_ELEMS // max(1, len(qids)))
-            for s in range(0, len(X_), step):
-                ts, ls = tids_[s : s + step], labs_[s : s + step]
-                D = root_block(Q, X_[s : s + step])
-                if exclude_self:
-                    D[qids[:, None] == ts[None, :]] = np.inf
-                state.push(D, ts, ls)
-            yield state.frame(qids, with_rank=True)
-
-    return spread(p.queries, parallelism).mapInPandas(run, schema)
+        searches: dict[int, Search] = {}  # of a block of queries, or of a pack of them
+        sides: dict[int, tuple] = {}  # the replicated train, parsed once per task
+
+        def query(body: pa.Scalar) -> Search:
+            q = unpacked(body)
+            return Search(matrix(q, qcols), values(q, QUERY_ID), k, exclude_self)
+
+        def points(body: pa.Scalar) -> tuple:
+            t = unpacked(body)
+            return matrix(t, tcols), values(t, TRAIN_ID), values(t, LABEL)
+
+        for b in batches:
+            for pack, stream, block, body in zip(b.column("pack").to_pylist(), b.column("stream"), b.column("_b").to_pylist(), b.column("body"), strict=True):
+                key = pack if by_train else block
+                if key not in searches:
+                    searches[key] = query(stream if by_train else body)
+                if by_train:
+                    if block not in sides:
+                        sides[block] = points(body)
+                    searches[key].push(*sides[block])
+                else:
+                    searches[key].push(*points(stream))
+        for s in searches.values():
+            yield found_batch(s, schema)
+
+    found = tiles.select("pack", "stream", "_b", "body").mapInArrow(run, kind)
+    return found if by_train else rank_neighbours(found, k)

@@ -52,6 +52,8 @@ def local_session(cores: int | str = "*", app: str = "nearframe", shuffle_partit
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # tables of a local session (stored indexes name their own folder) leave nothing behind
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="nearframe-warehouse-"))
         # checkpoint files of frames that are no longer referenced are deleted
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("NEARFRAME_DRIVER_MEMORY", "16g"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +78,41 @@ def arff_schema(header_lines: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+#: An entry of a sparse row: the attribute's number and its value, quoted or plain.
+_ENTRY = r"""(\d+)\s+('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^,}\s]+)"""
+_SPARSE = r"""^\{\s*(?:\d+\s+(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^,}\s'"]+)\s*(?:,\s*(?=\d)|(?=\})))*\}$"""
+
+
+def _absent(header_line: str, dt: T.DataType):
+    """The value of an attribute that a sparse row leaves out: zero, or the first
+    of the listed values; a free string has none."""
+    kind = _ATTR.match(header_line).group(2).strip()
+    if not isinstance(dt, T.StringType) and not kind.startswith("{"):
+        return F.lit(0).cast(dt)
+    if kind.startswith("{"):
+        first = re.match(r"""\{\s*('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^,}\s]+)""", kind)
+        if first:
+            v = first.group(1)
+            v = re.sub(r"\\(.)", r"\1", v[1:-1]) if v[0] in "'\"" else v
+            return F.lit(v).cast(dt)
+    return F.lit(None).cast(dt)
+
+
+def _sparse_row(line: Column, schema: T.StructType, header: list[str]) -> Column:
+    """``{1 3.5, 4 2}`` (numbers from 0) as a struct of ``schema``. A malformed row,
+    a repeated or unknown number or a value of another type fails the job."""
+    numbers = F.transform(F.regexp_extract_all(line, F.lit(_ENTRY), F.lit(1)), lambda x: x.cast("int"))
+    values = F.transform(F.regexp_extract_all(line, F.lit(_ENTRY), F.lit(2)), lambda x: F.when(x.rlike("""^['"]"""), F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1")).otherwise(x))
+    bad = ~line.rlike(_SPARSE) | (F.size(F.array_distinct(numbers)) != F.size(numbers)) | F.exists(numbers, lambda i: i >= len(schema))
+    where = F.when(bad, F.raise_error(F.concat(F.lit("malformed sparse ARFF row: "), line)).cast("array<int>")).otherwise(numbers)
+    fields = []
+    for i, (f, head) in enumerate(zip(schema.fields, header)):
+        at = F.array_position(where, F.lit(i).cast("int"))
+        v = F.element_at(values, at.cast("int"))
+        fields.append(F.when(at == 0, _absent(head, f.dataType)).when(v == "?", F.lit(None)).otherwise(v.cast(f.dataType)).alias(f.name))
+    return F.struct(*fields)
+
+
 def read_points_arff(spark: SparkSession, path: str) -> DataFrame:
     """SRC-3: ARFF as a Spark load.
 
@@ -86,7 +121,8 @@ def read_points_arff(spark: SparkSession, path: str) -> DataFrame:
     and different headers fail. Body: every other line that is not blank or a
     ``%`` comment is parsed with ``from_csv`` against that schema, in parallel
     across the file splits; values may start with ``@``, and quoted ones with
-    ``%``.
+    ``%``. Rows in braces are sparse (``{1 3.5, 4 2}``): attributes they leave out
+    are zero, or the first listed value; both kinds of rows may be mixed.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
     declared = F.col("value").rlike(_DECLARATION)
@@ -102,5 +138,9 @@ def read_points_arff(spark: SparkSession, path: str) -> DataFrame:
     body = lines.where((F.length(trimmed) > 0) & ~declared & ~trimmed.startswith("%"))
     opts = {"nullValue": "?", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "FAILFAST"}
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = body.select(F.from_csv(F.col("value"), ddl, opts).alias("r"))
-    return parsed.select("r.*")
+    header = [x for x in found[0] if _ATTR.match(x)]
+    body = body.select("value", F.trim("value").alias("line"))
+    # the dense parser never sees a sparse row
+    dense = F.from_csv(F.when(~F.col("line").startswith("{"), F.col("value")), ddl, opts)
+    row = F.when(F.col("line").startswith("{"), _sparse_row(F.col("line"), schema, header)).otherwise(dense)
+    return body.select(row.alias("r")).select("r.*")

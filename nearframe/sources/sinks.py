@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +50,27 @@ def _arff_name(name: str) -> str:
     return name if re.fullmatch(r"[^\s'\"%{},]+", name) else "'" + name.replace("'", "\\'") + "'"
 
 
-def write_points_arff(df: DataFrame, path: str, relation: str = "points", *, mode: str = "errorifexists") -> None:
+def _sparse_line(df: DataFrame) -> Column:
+    """``{1 3.5, 4 2}``: numbers from 0, zeros left out, nulls as ``?``, texts quoted."""
+    entries = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        text = isinstance(f.dataType, T.StringType)
+        value = F.concat(F.lit("'"), F.regexp_replace(c, r"(['\\\\])", r"\\$1"), F.lit("'")) if text else c.cast("string")
+        entry = F.concat(F.lit(f"{i} "), F.coalesce(value, F.lit("?")))
+        entries.append(entry if text else F.when(c.isNull() | (c != 0), entry))
+    return F.concat(F.lit("{"), F.concat_ws(", ", *entries), F.lit("}"))
+
+
+def write_points_arff(df: DataFrame, path: str, relation: str = "points", *, mode: str = "errorifexists", sparse: bool = False) -> None:
     """An ARFF folder: one header file (written from the schema, not from
-    data) plus the body as CSV part files; ``read_points_arff`` reads the
-    folder back. Nulls are written as the ARFF missing marker ``?``."""
+    data) plus the body as CSV part files, or as ``sparse`` rows without their
+    zeros; ``read_points_arff`` reads the folder back. Nulls are written as the
+    ARFF missing marker ``?``."""
     spark = df.sparkSession
     header = [f"@relation {relation}"] + [f"@attribute {_arff_name(f.name)} {_arff_type(f.dataType)}" for f in df.schema.fields] + ["@data"]
-    df.write.mode(mode).option("header", "false").option("nullValue", "?").csv(path)
+    if sparse:
+        df.select(_sparse_line(df).alias("value")).write.mode(mode).text(path)
+    else:
+        df.write.mode(mode).option("header", "false").option("nullValue", "?").csv(path)
     spark.createDataFrame([(line,) for line in header], "value string").coalesce(1).write.mode("append").text(path)

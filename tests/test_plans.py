@@ -59,9 +59,9 @@ def test_auto_choice_follows_checked_sizes():
     # large low-dimensional problem: grid, whatever fits
     assert choose(Sizes(600_000, 600_000, 4), limit, 8)[0] == "grid"
     assert choose(Sizes(10**9, 10**9, 4), limit, 1000)[0] == "grid"
-    # wide vectors: replicate what fits, else tiles
+    # wide vectors: replicate what fits, else packs by pivots
     assert choose(Sizes(10**5, 10**9, 64), limit, 1000) == ("vectorized", "queries")
-    assert choose(Sizes(10**9, 10**9, 64), limit, 1000) == ("blocks", "queries")
+    assert choose(Sizes(10**9, 10**9, 64), limit, 1000) == ("pivots", "queries")
 
 
 def test_blocks_plan_is_equi_join_without_nested_loops(spark):
