@@ -79,6 +79,56 @@ def _buffers(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.
         yield s, e, np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(p) for p in parts], dtype=np.int64)
 
 
+#: A text of more bytes is taken in parts of about this size, cut at white space.
+LONG = 4 << 20
+
+
+def _parts(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Parts of one long text; a token never spans two of them."""
+    start = 0
+    while len(data) - start > LONG:
+        gap = start + LONG
+        while gap < len(data):
+            space = np.flatnonzero(_SPACE[data[gap : gap + 4096]])
+            if len(space):
+                gap += int(space[0])
+                break
+            gap += 4096
+        yield data[start:gap]
+        start = min(gap, len(data))
+    yield data[start:]
+
+
+def _token_runs(data: np.ndarray, bounds: np.ndarray, carry: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Slots and text indexes of the tokens of a buffer, and how many of the first
+    tokens came before: a long text comes in parts, each with the last ``carry``
+    tokens of the part before it."""
+    if len(bounds) > 1 or len(data) <= LONG:
+        yield *token_slots(data, bounds), 0
+        return
+    old = np.zeros(0, np.int32)
+    for part in _parts(data):
+        slot = np.concatenate([old, token_slots(part, np.array([len(part)]))[0]])
+        yield slot, np.zeros(len(slot), np.int64), len(old)
+        old = slot[len(slot) - min(carry, len(slot)) :]
+
+
+def _add_neighbours(slot: np.ndarray, doc: np.ndarray, old: int, index: np.ndarray, total: np.ndarray) -> None:
+    """Add to ``total`` the index vectors of each token's neighbours; pairs of the
+    first ``old`` tokens were added before."""
+    if len(slot) < 2:
+        return
+    order = np.argsort(slot, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], slot[order][1:] != slot[order][:-1]]))
+    near = np.zeros((len(slot), DIMS), np.int16)
+    own = index[slot]
+    for d in range(1, WINDOW + 1):
+        same = ((doc[d:] == doc[:-d]) & (np.arange(d, len(doc)) >= old))[:, None]
+        near[d:] += own[:-d] * same
+        near[:-d] += own[d:] * same
+    total[slot[order][heads]] += np.add.reduceat(near[order], heads, axis=0, dtype=np.int64)
+
+
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Random-indexing vectors of all word slots over all documents: unit rows.
 
@@ -92,18 +142,8 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
         total = np.zeros((SLOTS, DIMS), np.int64)
         for batch in batches:
             for _, _, data, bounds in _buffers(batch, "text"):
-                slot, doc = token_slots(data, bounds)
-                if len(slot) < 2:
-                    continue
-                order = np.argsort(slot, kind="stable")
-                heads = np.flatnonzero(np.concatenate([[True], slot[order][1:] != slot[order][:-1]]))
-                near = np.zeros((len(slot), DIMS), np.int16)
-                own = index[slot]
-                for d in range(1, WINDOW + 1):
-                    same = (doc[d:] == doc[:-d])[:, None]
-                    near[d:] += own[:-d] * same
-                    near[:-d] += own[d:] * same
-                total[slot[order][heads]] += np.add.reduceat(near[order], heads, axis=0, dtype=np.int64)
+                for slot, doc, old in _token_runs(data, bounds, WINDOW):
+                    _add_neighbours(slot, doc, old, index, total)
         rows = np.flatnonzero(total.any(axis=1))
         names = ["slot", *[f"d{i}" for i in range(DIMS)]]
         yield pa.RecordBatch.from_arrays([pa.array(rows), *[pa.array(total[rows, i]) for i in range(DIMS)]], names=names)
@@ -120,8 +160,10 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 def pooled(data: np.ndarray, bounds: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Pooled features of each text: mean, spread and mean product with the
     next token's vector, per dimension, and the log of the token count."""
-    slot, doc = token_slots(data, bounds)
     n = len(bounds)
+    if n == 1 and len(data) > LONG:
+        return _pooled_long(data, vectors)
+    slot, doc = token_slots(data, bounds)
     out = np.zeros((n, FEATURES), np.float32)
     if len(slot):
         v = vectors[slot]
@@ -139,6 +181,25 @@ def pooled(data: np.ndarray, bounds: np.ndarray, vectors: np.ndarray) -> np.ndar
     return out
 
 
+def _pooled_long(data: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """``pooled`` of one long text: its sums are added up part by part."""
+    total, square, step, count = np.zeros(DIMS), np.zeros(DIMS), np.zeros(DIMS), 0
+    for slot, _, old in _token_runs(data, np.array([len(data)]), 1):
+        v = vectors[slot]
+        total += v[old:].sum(axis=0, dtype=np.float64)
+        square += (v[old:] * v[old:]).sum(axis=0, dtype=np.float64)
+        step += (v[:-1] * v[1:]).sum(axis=0, dtype=np.float64)
+        count += len(slot) - old
+    out = np.zeros((1, FEATURES), np.float32)
+    if count:
+        mean = total / count
+        out[0, :DIMS] = mean
+        out[0, DIMS : 2 * DIMS] = np.sqrt(np.maximum(square / count - mean * mean, 0))
+        out[0, 2 * DIMS : 3 * DIMS] = step / max(count - 1, 1)
+        out[0, -1] = np.log1p(count)
+    return out
+
+
 @dataclass
 class Network:
     """Two layers: ``tanh`` hidden units, one logit, and a temperature."""
