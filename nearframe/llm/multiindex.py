@@ -77,29 +77,6 @@ class Grid:
         i, j = divmod(cell, len(d2))
         return int(np.searchsorted(np.sort(d2), d1[i] + d2[j] - d1 + 1e-12, side="right").sum()) - 1
 
-    def within(self, x: np.ndarray, cosine: float) -> Iterator[np.ndarray]:
-        """For every vector the cells that may hold a vector of at least
-        ``cosine``, its own first. A vector nearest to centre c is beyond the
-        plane halfway between c and any other centre a; the planes of the two
-        halves exclude a cell whose squared distances add up to more than the
-        squared distance 2 - 2 ``cosine`` of unit vectors."""
-        if x.shape[1] != self.dim:
-            yield from np.zeros((len(x), 1), np.int32)
-            return
-        gaps = [[np.sqrt(((c - a) ** 2).sum(axis=1)) for a in c] for c in self.books]
-        width = len(self.books[1])
-        for a, b in zip(*self.distances(x), strict=True):
-            out = []
-            for d, gap in zip((a, b), gaps, strict=True):
-                own = int(d.argmin())
-                apart = gap[own] > 1e-6
-                out.append((own, np.where(apart, (d - d[own]) / np.where(apart, 2 * gap[own], 1.0), 0.0) ** 2))
-            (i, far1), (j, far2) = out
-            home = i * width + j
-            p, q = np.nonzero(far1[:, None] + far2[None] <= 2 - 2 * cosine + 1e-9)
-            cells = p * width + q
-            yield np.concatenate([[home], cells[cells != home]]).astype(np.int32)
-
 
 def unit(rows: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
@@ -117,9 +94,9 @@ def _packed(distinct: DataFrame) -> DataFrame:
     return distinct.select("node", "label", "dim", "emb", "n").mapInArrow(run, "node long, label string, dim int, vec binary, n long")
 
 
-def build_grid(vectors: DataFrame, labels: int, count: int, max_rows: int = 20_000) -> Grid | None:
+def build_grid(vectors: DataFrame, largest: int, count: int, max_rows: int = 20_000) -> Grid | None:
     """Codebooks of a sample of at most about ``max_rows`` vectors (a documented
-    bound); the number of cells grows with the vectors."""
+    bound); the number of cells grows with the vectors of the largest label."""
     if not count:
         return None
     dim = vectors.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()["dim"]
@@ -129,7 +106,7 @@ def build_grid(vectors: DataFrame, labels: int, count: int, max_rows: int = 20_0
     rows = sorted(r["vec"] for r in sample.select("vec").collect())
     if not rows:
         return None
-    x, k = unit([bytes(r) for r in rows]), int(np.clip(round((count / max(labels, 1) / PER_CELL) ** 0.5), 2, 1024))
+    x, k = unit([bytes(r) for r in rows]), int(np.clip(round((largest / PER_CELL) ** 0.5), 2, 1024))
     h = max(dim // 2, 1) if dim > 1 else 1
     return Grid(kmeans(x[:, :h], k), kmeans(x[:, h:], k) if dim > 1 else np.zeros((1, 0)))
 
@@ -140,7 +117,7 @@ def visits_for_recall(vectors: DataFrame, grid: Grid, cosine: float, recall: flo
     with all vectors by brute force, and the links are counted by the place of
     their cell in the query's order. The set grows fourfold until it has seen
     ``links`` true links at ``linked`` queries or holds every vector. None where
-    ``most`` queries see too few links: then nothing is known of the recall."""
+    ``most`` queries see too few links: then made neighbours tell."""
     pool = vectors.where(F.col("dim") == grid.dim)
     while True:
         pick = pool
@@ -164,6 +141,30 @@ def visits_for_recall(vectors: DataFrame, grid: Grid, cosine: float, recall: flo
     return min(int(seen["place"].iloc[at]) + 2, grid.cells), float(share.iloc[at])
 
 
+def visits_for_made_neighbours(vectors: DataFrame, grid: Grid, cosine: float, recall: float, count: int, queries: int = 4000, each: int = 5, seed: int = 23) -> tuple[int, float]:
+    """The same reading where true links are rare: a bounded set of vectors gets
+    neighbours in random directions at exactly ``cosine``, the farthest a link can
+    be, and the cells they fall in are counted by their place. Both ends of a link
+    look for the other, so fewer links than vectors' visits are missed."""
+    pick = vectors.where(F.col("dim") == grid.dim)
+    if count > queries:
+        pick = pick.where(F.pmod(F.xxhash64("node", "vec"), F.lit(1 << 30)) < int(queries / count * (1 << 30)))
+    rows = [bytes(r["vec"]) for r in pick.select("node", "vec").orderBy("node").collect()]
+    if not rows or grid.cells == 1:
+        return 1, 1.0
+    x = np.repeat(unit(rows), each, axis=0)
+    rng = np.random.default_rng(seed)
+    away = rng.standard_normal(x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+    near = [d.argmin(axis=1) for d in grid.distances(cosine * x + (1.0 - cosine * cosine) ** 0.5 * away)]
+    cells = near[0] * len(grid.books[1]) + near[1]
+    d1, d2 = grid.distances(x)
+    places = np.sort([grid.place(a, b, k) for a, b, k in zip(d1, d2, cells.tolist(), strict=True)])
+    at = min(math.ceil(recall * len(places)), len(places)) - 1
+    return min(int(places[at]) + 1, grid.cells), float((places <= places[at]).mean())
+
+
 def _places(pool: DataFrame, grid: Grid, cosine: float, rows: list):
     """``place, n, queries``: true links of the queries ``rows`` by the place of
     their cell; place -1 has the number of queries with a link."""
@@ -197,21 +198,18 @@ def _places(pool: DataFrame, grid: Grid, cosine: float, rows: list):
     return places.unionByName(found.agg(F.lit(-1).cast("long").alias("place"), F.lit(0).cast("long").alias("n"), F.countDistinct("query").alias("queries"))).toPandas()
 
 
-def _assign(vectors: DataFrame, grid: Grid, visits: int | None, cosine: float = 1.0) -> DataFrame:
-    """The cells that each vector visits, its own first: the nearest ``visits``,
-    or for None every cell that may hold a vector of at least ``cosine``."""
+def _assign(vectors: DataFrame, grid: Grid, visits: int) -> DataFrame:
+    """The ``visits`` nearest cells of each vector, its own first."""
     shared = vectors.sparkSession.sparkContext.broadcast(grid)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # lists without a fixed length go out a few rows at a time
-        size = 64 if visits is None else 1 << 20
-        for b in (x.slice(s, size) for x in batches for s in range(0, x.num_rows, size)):
+        for b in batches:
             dims = b.column("dim").to_numpy()
             cells: list = [None] * b.num_rows
             for d in np.unique(dims):
                 rows = np.flatnonzero(dims == d)
                 x = unit([b.column("vec")[int(i)].as_py() for i in rows])
-                for r, v in zip(rows, shared.value.within(x, cosine) if visits is None else shared.value.visits(x, visits), strict=True):
+                for r, v in zip(rows, shared.value.visits(x, visits), strict=True):
                     cells[r] = v
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*b.schema.names, "visits"])
 
@@ -291,9 +289,9 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
 
     Rows link if their labels are equal and their cosine (in double) is at
     least ``cosine``. Pairs are searched through the grid with the number of
-    visits that reaches ``recall`` on a measured query set, or where the query
-    set has too few links through every cell that can hold one; every pair found
-    is verified, and no pair below the threshold is counted.
+    visits that reaches ``recall`` on a measured query set, or, where that set has
+    too few links, on made neighbours; every pair found is verified, and no pair
+    below the threshold is counted.
 
     Defined results: a null label, a null or zero vector, and one with a null
     or non-finite component link with nothing (own component, kept); vectors of
@@ -311,20 +309,17 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     good = rows.where("valid").drop("valid")
     distinct = good.groupBy("label", "emb").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
     distinct = materialize(distinct.select(F.monotonically_increasing_id().alias("node"), "label", F.size("emb").alias("dim"), "emb", "rep", "n"), "embed")
-    count, labels = distinct.agg(F.count("*"), F.countDistinct("label")).first()
+    sizes = distinct.groupBy("label").agg(F.count("*").alias("n"))
+    count, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     packed = _packed(distinct)
-    grid = build_grid(packed, labels, count)
+    grid = build_grid(packed, largest, count)
     alone = rows.where("NOT valid").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if grid is None:
         out = alone
     else:
-        measured = visits_for_recall(packed, grid, cosine, recall, count)
-        if measured:
-            visits = measured[0]
-            assigned = _assign(packed, grid, visits)
-        else:
-            assigned = materialize(_assign(packed, grid, None, cosine), "embed-cells")
-            visits = math.ceil(assigned.agg(F.avg(F.size("visits"))).first()[0])
+        measured = visits_for_recall(packed, grid, cosine, recall, count) or visits_for_made_neighbours(packed, grid, cosine, recall, count)
+        visits = measured[0]
+        assigned = _assign(packed, grid, visits)
         found = materialize(_compare(assigned, cosine, count, visits), "embed-links")
         counts = found.where("b = -1").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked"))
         parts = connected_components(found.where("b <> -1").select("a", "b"))
