@@ -41,34 +41,54 @@ def fitting_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     return pairs.groupBy("host").agg(F.collect_set(rule).alias("rules"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 20, tolerance: float = 1e-3) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-3, most: int = 500) -> DataFrame:
     """``seeds(host, trust, distrust)`` spread over ``edges(src, dst, n)``:
     trust along the links, distrust against them, each host sharing its score
-    among its links by their number. Stops when no score moves by more than
-    ``tolerance``."""
+    among its links by their number.
+
+    What a round adds is at most ``damping`` of what the round before added, in
+    sum over all hosts, so all later rounds together add at most
+    ``damping / (1 - damping)`` of it. Rounds go on until that bound is below
+    ``tolerance``, hence no host's score is farther from the settled one; beyond
+    ``most`` rounds it fails. Joins cut the links of a hub into salts."""
+    edges = materialize(edges, "url-edges")
     both = edges.select(F.lit(0).alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(
         edges.select(F.lit(1).alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
     )
-    total = both.groupBy("kind", "host").agg(F.sum("n").alias("total"))
-    moves = materialize(both.join(total, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("w")), "url-moves")
-    start = seeds.select("host", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("trust").alias("seed")), F.struct(F.lit(1).alias("kind"), F.col("distrust").alias("seed")))).alias("s")).select("host", "s.*").where("seed > 0")
-    start = materialize(start.withColumn("seed", F.col("seed") * (1 - damping)), "url-seeds")
-    score = start.select("kind", "host", F.col("seed").alias("score"))
-    for _ in range(rounds):
-        sent = score.join(moves, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("score") * F.col("w") * damping).alias("x"))
-        nxt = start.select("kind", "host", F.col("seed").alias("x")).unionByName(sent).groupBy("kind", "host").agg(F.sum("x").alias("score"))
-        old = score.withColumnRenamed("score", "old")
-        nxt = materialize(nxt.join(old, ["kind", "host"], "left").withColumn("moved", F.abs(F.col("score") - F.coalesce("old", F.lit(0.0)))), "url-score")
-        moved = nxt.agg(F.max("moved")).first()[0]
-        score = nxt.select("kind", "host", "score")
-        if moved is None or moved <= tolerance:
+    key = ["kind", "host"]
+    total = materialize(both.groupBy(*key).agg(F.sum("n").alias("total"), F.count("*").alias("n")), "url-hubs")
+    n_moves = 2 * edges.count()
+    moves = spread_join(both.withColumnRenamed("n", "links"), total.drop("n"), key, total.drop("total"), n_moves)
+    moves = materialize(moves.select("kind", "host", "to", (F.col("links") / F.col("total")).alias("w")), "url-moves")
+    two = F.array(F.struct(F.lit(0).alias("kind"), F.col("trust").alias("seed")), F.struct(F.lit(1).alias("kind"), F.col("distrust").alias("seed")))
+    start = seeds.select("host", F.explode(two).alias("s")).select("host", "s.*").where("seed > 0")
+    added = materialize(start.select("kind", "host", (F.col("seed") * (1 - damping)).alias("x")), "url-added")
+    parts = [added]
+    for _ in range(most):
+        left = added.agg(F.sum("x")).first()[0] or 0.0
+        if not n_moves or left * damping / (1 - damping) <= tolerance:
             break
+        sent = spread_join(moves, added, key, total.drop("total"), n_moves).select("kind", F.col("to").alias("host"), (F.col("x") * F.col("w") * damping).alias("x"))
+        added = materialize(sent.groupBy(*key).agg(F.sum("x").alias("x")), "url-added")
+        parts.append(added)
+        if len(parts) > 16:
+            parts = [materialize(_summed(parts), "url-score"), added.limit(0)]
+    else:
+        raise RuntimeError(f"scores did not settle in {most} rounds")
+    score = _summed(parts)
     wide = score.groupBy("host").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("score"))).alias("trust"), F.sum(F.when(F.col("kind") == 1, F.col("score"))).alias("distrust")
+        F.sum(F.when(F.col("kind") == 0, F.col("x"))).alias("trust"), F.sum(F.when(F.col("kind") == 1, F.col("x"))).alias("distrust")
     )
     return wide.na.fill(0.0, ["trust", "distrust"])
 
 
+def _summed(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("kind", "host").agg(F.sum("x").alias("x"))
+
+
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], page_id: str = "page_id", url: str = "url", html: str = "html", threshold: float = 0.05, damping: float = 0.85) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust`` per row.
 
