@@ -208,15 +208,15 @@ def mine_hard_negatives(
     )
     kept = materialize(kept, "mine")  # the row number is fixed from here on
 
-    # blocks: a label of more than a block's rows has its own, the others share
+    # blocks: a label of more than a quarter of a block's rows has its own, the others share
     per_label = materialize(kept.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.col("is_anchor").cast("long")).alias("anchors")), "mine-labels")
-    sums = per_label.agg(F.sum("n").alias("n"), F.sum("anchors").alias("a"), F.sum(F.when(F.col("n") <= block, F.col("n"))).alias("small")).first()
+    sums = per_label.agg(F.sum("n").alias("n"), F.sum("anchors").alias("a"), F.sum(F.when(F.col("n") <= block // 4, F.col("n"))).alias("small")).first()
     if not sums["a"]:
         return spark.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long")
     n_small = -(-(sums["small"] or 0) // block)
     packs = max(1, -(-sums["a"] // pack))
-    large = per_label.where(F.col("n") > block).withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
-    # at most one row per block's worth of rows: numbered in one small window
+    large = per_label.where(F.col("n") > block // 4).withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
+    # at most four rows per block's worth of rows: numbered in one small window
     before = Window.orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
     large = materialize(large.select("label", "parts", "anchors", F.coalesce(F.sum("parts").over(before), F.lit(0)).alias("first")), "mine-blocks")
     n_large = large.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
