@@ -151,4 +151,55 @@ neg AS (
   FROM pos p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
    AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5""",
+    "op6_embedding_links": """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+   AND list_sum(list_transform(e, lambda x: x * x)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+low AS (SELECT node, min(other) AS other FROM reach GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(v.vec_id, coalesce(low.other, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(low.other, v.vec_id)) AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN low ON low.node = v.vec_id""",
+    "op9_remove_repeats": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS s FROM d) x),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM w) x WHERE n > 1),
+g AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS fresh FROM r),
+n AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM g),
+spans AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM n GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM spans
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id),
+kept AS (
+  SELECT p.doc_id, string_agg(substr(d.h, 2 * x + 1, 2 * (coalesce(y, length(d.h) // 2) - x)), '' ORDER BY x) AS h
+  FROM pieces p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id),
+cut AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(cut.n_removed, 0)::BIGINT AS n_removed,
+       coalesce(cut.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+    "op10_url_graph": """
+WITH u AS (
+  SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(rule_host, rule_path, said) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+judged AS (
+  SELECT p.page_id, p.host, p.path, max({'size': len(rule_host || rule_path), 'rule': rule_host || rule_path, 'said': said}) AS best
+  FROM p LEFT JOIN rules ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)
+  GROUP BY p.page_id, p.host, p.path),
+-- the given pages link to no other host: a host's score is its own seed
+seeds AS (
+  SELECT j.host, 0.15 * (count(*) FILTER (j.best.said = 'block') - count(*) FILTER (j.best.said = 'allow')) / count(*) AS excess
+  FROM p JOIN judged j ON j.page_id = p.page_id WHERE j.host <> '' GROUP BY j.host)
+SELECT j.page_id, j.host, j.path, j.best.rule AS rule, coalesce(j.best.said, CASE WHEN s.excess > 0.05 THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN seeds s ON s.host = j.host""",
 }

@@ -124,6 +124,37 @@ def test_quality(spark, docs, none):
     assert quality.with_quality(none, lab).count() == 0
 
 
+def test_long_texts_are_pooled_in_parts(monkeypatch):
+    text = " ".join(f"word{i % 613}, x{i % 31}## é{i % 7}" for i in range(20_000)).encode()
+    data, bounds, index = np.frombuffer(text, np.uint8), np.array([len(text)]), quality.index_vectors()
+    vectors = np.random.default_rng(1).standard_normal((quality.SLOTS, quality.DIMS)).astype(np.float32)
+
+    def sums():
+        total = np.zeros((quality.SLOTS, quality.DIMS), np.int64)
+        for run in quality._token_runs(data, bounds, quality.WINDOW):
+            quality._add_neighbours(*run, index, total)
+        return total
+
+    want, table = quality.pooled(data, bounds, vectors), sums()
+    monkeypatch.setattr(quality, "LONG", 50_000)
+    runs = list(quality._token_runs(data, bounds, 2))
+    assert len(runs) > 5 and sum(len(s) - old for s, _, old in runs) == len(quality.token_slots(data, bounds)[0])
+    assert np.allclose(quality.pooled(data, bounds, vectors), want, atol=1e-4)
+    assert np.array_equal(sums(), table)  # whole numbers: the same table
+
+
+def test_memory_of_one_very_long_text():
+    import tracemalloc
+
+    text = np.frombuffer(b"some words of a text that does not end " * 1_300_000, np.uint8)  # 50 MB
+    vectors = np.zeros((quality.SLOTS, quality.DIMS), np.float32)
+    tracemalloc.start()
+    quality.pooled(text, np.array([len(text)]), vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 700e6
+
+
 # ------------------------------------------------------------------ secrets
 def test_secrets(spark, none):
     b64 = "Zk9qWm3vT1xLr8Q2yHs5Nd7UeJc4Bg0P"
@@ -305,22 +336,34 @@ def test_embedding_links_are_rare(spark):
     assert n.sum() >= 120 and {i: c for i, c in got.items() if c} == {i: c for i, c in enumerate(n.tolist()) if c}
 
 
-def test_places_and_cells_in_reach():
+def test_places_of_cells():
     rng = np.random.default_rng(17)
     x = rng.standard_normal((600, 8))
-    x[300:] = x[:300] + 0.2 * rng.standard_normal((300, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     grid = multiindex.Grid(multiindex.kmeans(x[:, :4], 12), multiindex.kmeans(x[:, 4:], 9))
-    first = [v[0] for v in grid.visits(x, 1)]
-    reach = list(grid.within(x, 0.93))
-    assert [int(v[0]) for v in reach] == first and np.mean([len(v) for v in reach]) < 0.9 * grid.cells
-    for i, j in zip(*np.nonzero(x @ x.T >= 0.93), strict=True):
-        assert first[j] in reach[i]
     d1, d2 = grid.distances(x[:20])
     for a, b, order in zip(d1, d2, grid.visits(x[:20], grid.cells), strict=True):
         assert [grid.place(a, b, c) for c in order] == list(range(grid.cells))
 
 
+def test_no_links_visit_a_small_share_of_the_cells(spark):
+    """Without any true link, made neighbours set the visits, and links at the
+    threshold would be found."""
+    rng = np.random.default_rng(18)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, "0", 64, v.tobytes(), 1) for i, v in enumerate(x)]
+    d = spark.createDataFrame(rows, "node long, label string, dim int, vec binary, n long").repartition(4)
+    grid = multiindex.build_grid(d, 20_000, 20_000)
+    visits, recall = multiindex.visits_for_made_neighbours(d, grid, 0.93, 0.999, 20_000)
+    assert recall >= 0.999 and visits < grid.cells / 3
+    v = rng.standard_normal(x[:4000].shape)
+    v -= (v * x[:4000]).sum(axis=1, keepdims=True) * x[:4000]
+    y = 0.93 * x[:4000] + (1 - 0.93**2) ** 0.5 * v / np.linalg.norm(v, axis=1, keepdims=True)
+    home = [c[0] for c in grid.visits(y, 1)]
+    assert np.mean([h in c for h, c in zip(home, grid.visits(x[:4000], visits), strict=True)]) > 0.995
+
+
 def test_multi_sequence():
     rng = np.random.default_rng(7)
     a, b = rng.random(6), rng.random(5)
@@ -539,3 +582,36 @@ def test_pipeline_stages(spark, tmp_path):
             assert all((f[a] ^ f[b]).bit_count() > 4 for a in ids for b in ids if a < b)
         docs, n = out, len(ids)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+@pytest.mark.parametrize("damping", [0.5, 0.85, 0.95])
+def test_propagate_equals_the_settled_scores(spark, damping):
+    """Personalised PageRank by a dense solve: cycles, a hub that links to all and
+    is linked by all, hosts without links, several links between two hosts."""
+    rng = np.random.default_rng(8)
+    n = 40
+    links = rng.integers(0, 3, (n, n)) * (rng.random((n, n)) < 0.1)
+    links[0], links[:, 0], links[1, 2], links[2, 1] = 1, 2, 5, 7
+    links[30:] = 0
+    np.fill_diagonal(links, 0)
+    trust, distrust = rng.random(n) * (rng.random(n) < 0.5), rng.random(n) * (rng.random(n) < 0.3)
+
+    def settled(m, seed):
+        out = m.sum(axis=1, keepdims=True)
+        step = np.divide(m, out, out=np.zeros(m.shape), where=out > 0)
+        return np.linalg.solve(np.eye(n) - damping * step.T, (1 - damping) * seed)
+
+    want = np.stack([settled(links.astype(float), trust), settled(links.T.astype(float), distrust)])
+    edges = spark.createDataFrame([(f"h{i}", f"h{j}", int(links[i, j])) for i, j in zip(*np.nonzero(links))], "src string, dst string, n long")
+    seeds = spark.createDataFrame([(f"h{i}", float(a), float(b)) for i, (a, b) in enumerate(zip(trust, distrust))], "host string, trust double, distrust double")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in url_graph.propagate(edges, seeds, damping, tolerance=0.01).collect()}
+    for i in range(n):
+        a, b = got.get(f"h{i}", (0.0, 0.0))
+        assert abs(a - want[0, i]) <= 0.01 and abs(b - want[1, i]) <= 0.01
+
+
+def test_propagate_that_cannot_settle_fails(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("a", 1.0, 0.0)], "host string, trust double, distrust double")
+    with pytest.raises(RuntimeError):
+        url_graph.propagate(edges, seeds, 0.9, tolerance=1e-6, most=3)
