@@ -23,10 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and read it
     back: lineage is cut, each row is computed once, and a lost executor costs
-    nothing because the files are on shared storage."""
+    nothing because the files are on shared storage. What the table was made from
+    is garbage then: Spark's cleaner drops its shuffle files and broadcasts when
+    the driver's JVM collects, which keeps the driver's heap small as well."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
