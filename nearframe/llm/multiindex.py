@@ -284,14 +284,14 @@ def _compare(assigned: DataFrame, cosine: float, count: int, visits: int) -> Dat
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_verify(cosine), "a long, b long, n long")
 
 
-def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", cosine: float = 0.93, recall: float = 0.999) -> DataFrame:
+def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", cosine: float = 0.93, recall: float = 0.999, made_recall: float = 0.9999) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row per input row.
 
     Rows link if their labels are equal and their cosine (in double) is at
     least ``cosine``. Pairs are searched through the grid with the number of
     visits that reaches ``recall`` on a measured query set, or, where that set has
-    too few links, on made neighbours; every pair found is verified, and no pair
-    below the threshold is counted.
+    too few links, ``made_recall`` on made neighbours; every pair found is
+    verified, and no pair below the threshold is counted.
 
     Defined results: a null label, a null or zero vector, and one with a null
     or non-finite component link with nothing (own component, kept); vectors of
@@ -317,7 +317,7 @@ def embedding_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     if grid is None:
         out = alone
     else:
-        measured = visits_for_recall(packed, grid, cosine, recall, count) or visits_for_made_neighbours(packed, grid, cosine, recall, count)
+        measured = visits_for_recall(packed, grid, cosine, recall, count) or visits_for_made_neighbours(packed, grid, cosine, made_recall, count)
         visits = measured[0]
         assigned = _assign(packed, grid, visits)
         found = materialize(_compare(assigned, cosine, count, visits), "embed-links")
