@@ -558,7 +558,8 @@ def test_oracles(spark):
     from tools.oracle_check import compare
 
     con = duckdb.connect()
-    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    for t in ("documents", "embeddings", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
     for name, sql in ORACLES.items():
         df = QUERIES[name](spark, "/root/testdata/sf0.001")
         rel = con.sql(sql)
