@@ -504,7 +504,8 @@ def _two_nb() -> str:
 
 
 def _two_by_row() -> str:
-    """Suppliers without an id: equal distances by the row's place in its file."""
+    """Suppliers without an id; no two of different nations are equally far where it
+    would decide (the model orders those by a digest, here by the place in the file)."""
     return f"""
     SELECT query_id, rank, train_id, label, dist FROM (
       SELECT query_id, train_id, label, dist,

@@ -50,14 +50,16 @@ class NearestNeighboursModel(Model, _NearestParams, MLWritable, MLReadable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         """The rows with ``predictionCol``: the majority class of the k nearest train
         rows (lowest class on ties), null where a row has no usable features. Each
-        row gets a working id for the join, which is dropped again."""
+        row gets a working id for the join, which is dropped again. A train row's
+        id is a digest of its features and label, so which of equally distant rows
+        come first does not depend on how train is stored."""
         from ..session import checkpoint
 
         features, label = self.getFeaturesCol(), self.getLabelCol()
         row, tid = f"__row_{uuid.uuid4().hex}", "__train_row"
-        # ids are fixed by the written copies
+        # the query ids are fixed by the written copy
         queries = checkpoint(dataset.withColumn(row, F.monotonically_increasing_id()))
-        train = checkpoint(vectors_to_arrays(self.train, features).withColumn(tid, F.monotonically_increasing_id()))
+        train = vectors_to_arrays(self.train, features).withColumn(tid, F.xxhash64(label, features))
         pred = knn_classify(
             vectors_to_arrays(queries.select(row, features), features), train, features, self.getOrDefault("k"),
             query_id=row, train_id=tid, label=label, strategy=self.getOrDefault("strategy"),

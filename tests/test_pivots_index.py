@@ -325,7 +325,7 @@ def test_vectors_as_features_and_model(spark, tmp_path):
     got = rows_of(loaded.transform(q).select("id", "guess"))
     assert got == rows_of(nearest.transform(q).select("id", "guess"))
     direct = nf.knn_classify(df, df, ["a", "b", "c"], 3, label="label")
-    # the train rows have no id in the model: distances decide wherever no distance ties
+    # the model orders equal distances by a digest, not by an id
     same = sum(a == b for a, b in zip(got, rows_of(direct)))
     assert len(got) == 200 and same > 150
     NearestNeighbours(k=5).save(str(tmp_path / "estimator"))
