@@ -84,5 +84,6 @@ def pairs_within(
     cond = sq <= F.lit(radius * radius * (1.0 + 1e-12) + 1e-300)  # a superset, before the root
     if exclude_self:
         cond = cond & (F.col(QUERY_ID) != F.col(TRAIN_ID))
-    met = q.join(t, [*cn, "_salt"]).where(cond).select(QUERY_ID, TRAIN_ID, *([LABEL] if label is not None else []), p.dist().alias(DIST))
+    # the copies are not in the size that Spark estimates: never a broadcast
+    met = q.join(t.hint("merge"), [*cn, "_salt"]).where(cond).select(QUERY_ID, TRAIN_ID, *([LABEL] if label is not None else []), p.dist().alias(DIST))
     return met.where(F.col(DIST) <= F.lit(float(radius)))
