@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pytest
 
 import nearframe as nf
 from nearframe.plans import vectorized
@@ -24,3 +25,73 @@ def test_range_pairs_are_never_broadcast(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     want = {(i, j) for i in range(300) for j in range(300) if i != j and np.sqrt((X[i, 0] - X[j, 0]) ** 2 + (X[i, 1] - X[j, 1]) ** 2) <= 0.5}
     assert {(r["query_id"], r["train_id"]) for r in got.collect()} == want
+
+
+def test_packs_are_searched_one_at_a_time():
+    made, seen = [], []
+
+    class Search:
+        def __init__(self, name):
+            made.append(name)
+
+        def push(self, block):
+            seen.append(block)
+
+    def rows():
+        for pack, block in itertools.product("ab", range(3)):
+            seen.append((pack, block))
+            yield pack, pack if block == 0 else None, block, block
+
+    found = vectorized.search_packs(rows(), Search, lambda block: (block,))
+    next(found)
+    # the second pack's search is not made before the first one is given out
+    assert made == ["a"] and seen[-1] == ("b", 0)
+    assert len(list(found)) == 1 and made == ["a", "b"]
+
+
+def test_pivot_groups_move_train_once_a_group(spark, monkeypatch):
+    from nearframe.plans import pivots
+
+    X = np.random.default_rng(3).normal(size=(600, 12))
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(X)], "id long, v array<double>, label int")
+    monkeypatch.setattr(pivots, "GROUPS_PER_CORE", 1)
+    args = {"query_id": "id", "label": "label", "exclude_self": True}
+    got = nf.knn_join(df, df, "v", 3, strategy="pivots", pack_rows=20, pivots=30, **args)
+    # no prunable rows here: nearly every pair of packs meets, in one pass a group
+    plan = got._jdf.queryExecution().toString()
+    assert "CoGroup" not in plan and "REPARTITION_BY_NUM" in plan
+    want = nf.knn_join(df, df, "v", 3, strategy="blocks", **args)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("copies", [1, 60])
+def test_chunks_equal_brute_force(spark, monkeypatch, copies):
+    from nearframe.plans import chunks
+
+    monkeypatch.setattr(chunks, "LEAST_ROWS", 200)
+    rng = np.random.default_rng(copies)
+    X = np.repeat(np.column_stack([rng.integers(1, 20, 3000 // copies), (rng.random(3000 // copies) * 900).round(2)]).astype(float), copies, axis=0)
+    df, names = points(spark, X)
+    got = nf.knn_join(df, df, names, 3, query_id="id", label="label", exclude_self=True, strategy="grid")
+
+    rows = {}
+    for r in sorted(got.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        rows.setdefault(r["query_id"], []).append((r["train_id"], r["dist"]))
+    for i in range(0, 3000, 7):
+        D = np.sqrt((X[i, 0] - X[:, 0]) ** 2 + (X[i, 1] - X[:, 1]) ** 2)
+        D[i] = np.inf
+        assert rows[i] == [(int(j), float(D[j])) for j in np.lexsort((np.arange(len(X)), D))[:3]]
+
+
+def test_chunk_searches_score_few_rows():
+    """Equal points and all: a query looks at the leaves in reach, not at its chunk."""
+    from nearframe.plans.chunks import BLOCK, Leaves, in_halves
+
+    X = np.random.default_rng(5).random((20_000, 3))
+    tree, scored = Leaves(X, np.arange(len(X))), []
+    whole = tree._squares
+    tree._squares = lambda Q, q, leaf: scored.append(len(q)) or whole(Q, q, leaf)
+    at = in_halves(X, BLOCK)[:BLOCK]
+    q, row, _ = tree.search(X[at], at, 3, np.full(len(at), np.inf))
+    assert len(q) == 3 * len(at) and not (row == at[q]).any()
+    assert sum(scored) < 40 * len(at) < len(tree.row) * len(at)
