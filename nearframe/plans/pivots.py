@@ -17,9 +17,11 @@
    (the last: ``t`` is nearer to ``p`` than to ``h``). Packs whose bound exceeds
    ``b`` for all queries of a query pack never meet it, and inside a tile only the
    queries that reach it are scored. Bounds get an allowance far above rounding.
-5. **Tiles.** The remaining (query pack, train pack) pairs are cogrouped on their
-   ids and scored by the kernel, which starts from each query's bound;
-   ``rank_neighbours`` merges them.
+5. **Groups.** Query packs that lie together form groups, a few a core. A group's
+   partition holds its query packs and, one after the other, every train pack that any
+   of them needs; each is met by the queries that reach it with the k-th distance found
+   so far, so lists are final. A query row moves once and a train row once a group at
+   most: volume follows the number of rows, not that of pairs of packs.
 
 What is broadcast: pivots (``MAX_PIVOTS`` rows) and one short row per pack
 (``N / PACK_ROWS``), checked against the broadcast limit before it is collected;
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import logging
 import sys
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +42,10 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint
 from .brute import rank_neighbours, unit_hash
-from .kernel import Search
-from .prepare import LABEL, QUERY_ID, TRAIN_ID, Prepared
-from .vectorized import found_batch, matrix, neighbour_schema, packed, unpacked, values
+from .choose import parallelism
+from .kernel import RunningTopK, Search
+from .prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared
+from .vectorized import matrix, neighbour_schema, packed, unpacked, values
 
 log = logging.getLogger(__name__)
 
@@ -50,6 +54,9 @@ SAMPLE = 16_384
 PACK_ROWS = 4_096
 #: Rings of one pivot are cut at these steps of its distances.
 RING_STEPS = 64
+#: Query packs meet train in so many groups a core, of at most some ``GROUP_ROWS`` queries.
+GROUPS_PER_CORE = 2
+GROUP_ROWS = 1 << 17
 #: Relative allowance of every geometric bound.
 SLACK = 1e-9
 
@@ -94,20 +101,33 @@ def nearest(M: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, exact_distance(M, pivots[at])
 
 
+def chain(pivots: np.ndarray) -> np.ndarray:
+    """Each pivot's place in a row in which one follows a near one."""
+    between = distances(pivots, pivots)
+    place, left, at = np.zeros(len(pivots), int), np.ones(len(pivots), bool), 0
+    for i in range(len(pivots)):
+        place[at], left[at] = i, False
+        rest = np.flatnonzero(left)
+        if len(rest):
+            at = rest[between[at][rest].argmin()]
+    return place
+
+
 def reach(Q: np.ndarray, home: np.ndarray, bound: np.ndarray, pivots: np.ndarray, packs: dict[str, np.ndarray]) -> np.ndarray:
     """(queries, packs): whether a pack may hold a row within the query's bound."""
-    to = distances(Q, pivots)
-    between = distances(pivots, pivots)
-    size = np.sqrt((Q * Q).sum(axis=1))[:, None] + np.sqrt((pivots * pivots).sum(axis=1)).max(initial=0.0)
+    used, p = np.unique(packs["pivot"], return_inverse=True)
+    to = distances(Q, pivots[used])
+    norms = np.sqrt((pivots * pivots).sum(axis=1))
+    length = np.sqrt((Q * Q).sum(axis=1))
+    size = length[:, None] + norms.max(initial=0.0)
     # products of near-equal vectors lose half of the digits: allow for it in absolute terms
     fuzz = 4.0 * np.sqrt((Q.shape[1] + 8) * 2.0**-52) * size
-    own = np.take_along_axis(to, home[:, None], axis=1)
-    gap = between[home]
+    own = exact_distance(Q, pivots[home])[:, None]
+    gap = distances(pivots, pivots[used])[home]
     with np.errstate(divide="ignore", invalid="ignore"):
         plane = (to * to - own * own) / (2.0 * gap)
     # too close to divide well: no bound
     plane = np.where(gap > 1e-2 * size, plane, -np.inf)
-    p = packs["pivot"]
     with np.errstate(invalid="ignore"):
         low = np.maximum(np.maximum(to[:, p] - packs["high"][None, :], packs["low"][None, :] - to[:, p]), plane[:, p])
         # a value that is no number (overflow) prunes nothing
@@ -208,17 +228,25 @@ def knn_pivots(
         near = by_pivot.get(q)
         return min(near, key=lambda x: (abs(x[0] - r), x[1]))[1] if near else 0
 
-    homes = [(q, r, home_of(q, r)) for q, r in {(x["_p"], x["_r"]) for x in per_ring.select("_p", "_r").collect()}]
+    # near query packs share a group; at most one short row a pack
     spark = p.queries.sparkSession
-    home = spark.createDataFrame(homes, "_p int, _r int, _home int") if homes else spark.createDataFrame([], "_p int, _r int, _home int")
+    groups = max(GROUPS_PER_CORE * parallelism(spark), -(-n_queries // GROUP_ROWS))
+    place, homes, before = chain(P), [], 0
+    rings_of = sorted(((x["_p"], x["_r"], x["_n"]) for x in per_ring.collect()), key=lambda x: (place[x[0]], x[1]))
+    total = max(1, sum(n for _, _, n in rings_of))
+    for q, r, n in rings_of:
+        cut = max(1, -(-n // pack_rows))
+        homes += [(q, r, c, home_of(q, r), groups * (before + n * c // cut) // total) for c in range(cut)]
+        before += n
+    home = spark.createDataFrame(homes, "_p int, _r int, _c int, _home int, _g int")
     numbers = spark.createDataFrame([(*x, i) for x, i in number.items()], "_p int, _r int, _s int, _t int")
     trains = packs.join(F.broadcast(numbers), keys).select("_t", "train")
 
     def pack_queries(t: pa.Table) -> pa.Table:
-        one = {c: t.column(c).slice(0, 1) for c in ("_home", "_p", "_r", "_c")}
+        one = {c: t.column(c).slice(0, 1) for c in ("_g", "_home")}
         return pa.table(one | {"query": pa.array([packed(t.select([QUERY_ID, "_p", *qcols]).combine_chunks())], pa.binary())})
 
-    mine = queries.join(F.broadcast(home), ["_p", "_r"]).groupBy("_p", "_r", "_c", "_home").applyInArrow(pack_queries, "_home int, _p int, _r int, _c int, query binary")
+    mine = queries.join(F.broadcast(home), ["_p", "_r", "_c"]).groupBy("_p", "_r", "_c", "_g", "_home").applyInArrow(pack_queries, "_g int, _home int, query binary")
 
     def bound_and_reach(batches):
         """Each query pack at home: bounds, and the packs it still has to meet."""
@@ -239,33 +267,74 @@ def knn_pivots(
                 for a in range(0, len(Q), step):
                     needed |= reach(Q[a : a + step], home[a : a + step], bound[a : a + step], pivot, table).any(axis=0)
                 out.append((packed(q.append_column("_b", pa.array(bound)).combine_chunks()), np.flatnonzero(needed).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.list_(pa.int32()))], names=["query", "needs"])
-
-    met = mine.join(trains.withColumnRenamed("_t", "_home"), "_home").select("query", "train").mapInArrow(bound_and_reach, "query binary, needs array<int>")
-    met = checkpoint(met.withColumn("_q", F.monotonically_increasing_id()))
-
-    # 5. the pairs of packs that remain
-    left = met.select("_q", "query", F.explode("needs").alias("_t"))
-    pairs = met.select(F.col("_q").alias("_to"), F.explode("needs").alias("_of"))
-    right = pairs.join(trains.withColumnRenamed("_t", "_of"), "_of")
-    out = neighbour_schema(p, with_rank=False)
+            bodies, needs = pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column("_g"), bodies, needs], names=["_g", "query", "needs"])
+
+    met = mine.join(trains.withColumnRenamed("_t", "_home"), "_home").select("_g", "query", "train").mapInArrow(bound_and_reach, "_g int, query binary, needs array<int>")
+    met = checkpoint(met)
+
+    # 5. a group's query packs (``_t`` is -1) and the train packs that they need
+    asked = met.select("_g", F.explode("needs").alias("_t")).distinct()
+    both = met.select("_g", F.lit(-1).alias("_t"), F.col("query").alias("body"), "needs").unionByName(
+        asked.join(trains, "_t").select("_g", "_t", F.col("train").alias("body"), F.lit(None).cast("array<int>").alias("needs"))
+    )
+    both = both.repartitionById(groups, F.col("_g")).sortWithinPartitions("_g", "_t")
+    out = neighbour_schema(p, with_rank=True)
     schema = to_arrow_schema(out)
 
-    def tile(a: pa.Table, c: pa.Table) -> pa.Table:
-        if not (a.num_rows and c.num_rows):
-            return schema.empty_table()
-        pivot, table, _ = shared.value
-        q, t = unpacked(a.column("query")[0]), unpacked(c.column("train")[0])
-        one = {x: v[[c.column("_of")[0].as_py()]] for x, v in table.items()}
-        Q, bound = matrix(q, qcols), values(q, "_b")
-        at = np.flatnonzero(reach(Q, q.column("_p").to_numpy(), bound, pivot, one)[:, 0])
+    def meet(batches):
+        for mine in grouped(batches):
+            pivot, table, _ = shared.value
+            packs = []
+            for t, body, needs in mine:
+                rows = unpacked(body)
+                if t < 0:
+                    packs.append(Pack(matrix(rows, qcols), values(rows, QUERY_ID), values(rows, "_p"), values(rows, "_b"), set(needs.as_py())))
+                    continue
+                one = {x: v[[t]] for x, v in table.items()}
+                X, tid, lab = matrix(rows, tcols), values(rows, TRAIN_ID), values(rows, LABEL)
+                for q in packs:
+                    if t in q.needs:
+                        scored = q.meet(X, tid, lab, k, exclude_self, lambda q, at, b: reach(q, at, b, pivot, one)[:, 0])  # noqa: B023
+                        if counter is not None:
+                            counter.add(scored)
+            for q in packs:
+                if q.lists is not None:
+                    yield q.found(schema)
+
+    return both.mapInArrow(meet, out)
+
+
+def grouped(batches):
+    """The rows (train pack or -1, body, needs) of one group after the other."""
+    rows = (row for b in batches for row in zip(*(b.column(c).to_pylist() if c in ("_g", "_t") else b.column(c) for c in ("_g", "_t", "body", "needs")), strict=True))
+    for _, mine in groupby(rows, key=lambda row: row[0]):
+        yield (row[1:] for row in mine)
+
+
+class Pack:
+    """The queries of one pack with their lists so far."""
+
+    def __init__(self, Q: np.ndarray, ids: np.ndarray, home: np.ndarray, bound: np.ndarray, needs: set[int]):
+        # copies: views would keep the whole batch
+        self.Q, self.ids, self.home, self.bound, self.needs = Q, ids.copy(), home.copy(), bound.copy(), needs
+        self.lists: RunningTopK | None = None
+
+    def meet(self, X: np.ndarray, tid: np.ndarray, lab: np.ndarray, k: int, exclude_self: bool, reached) -> int:
+        """One train pack, met by the queries that reach it; the pairs looked at."""
+        if self.lists is None:
+            self.lists = RunningTopK(len(self.Q), k, tid.dtype, lab.dtype)
+        bound = np.minimum(self.bound, self.lists.d[:, k - 1])
+        at = np.flatnonzero(reached(self.Q, self.home, bound))
         if not len(at):
-            return schema.empty_table()
-        s = Search(Q[at], values(q, QUERY_ID)[at], k, exclude_self, bound[at])
-        s.push(matrix(t, tcols), values(t, TRAIN_ID), values(t, LABEL))
-        if counter is not None:
-            counter.add(s.scored)
-        return pa.Table.from_batches([found_batch(s, schema)])
-
-    tiles = left.groupBy("_q", "_t").cogroup(right.groupBy("_to", "_of")).applyInArrow(tile, out)
-    return rank_neighbours(tiles, k)
+            return 0
+        s = Search(self.Q[at], self.ids[at], k, exclude_self, bound[at])
+        s.push(X, tid, lab)
+        pos, _, ids, labels, dist = s.result()
+        self.lists._merge(at[pos], dist, ids, labels)
+        return s.scored
+
+    def found(self, schema: pa.Schema) -> pa.RecordBatch:
+        r, c = self.lists.hits()
+        cols = {QUERY_ID: self.ids[r], RANK: c + 1, TRAIN_ID: self.lists.i[r, c], LABEL: self.lists.lab[r, c], DIST: self.lists.d[r, c]}
+        return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in schema], schema=schema)
