@@ -35,7 +35,7 @@ from nearframe.llm.common import materialize, row_key, shuffle_width, slices
 LENGTH = 100
 GRAM = 24
 #: Bytes of text ranked at once: array temporaries are some eighty times that.
-SLICE = 2 << 20
+SLICE = 1 << 19
 NO_ID = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
