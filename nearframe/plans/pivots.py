@@ -44,7 +44,7 @@ from ..session import checkpoint
 from .brute import rank_neighbours, unit_hash
 from .choose import parallelism
 from .kernel import RunningTopK, Search
-from .prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared
+from .prepare import DIST, LABEL, QUERY_ID, TRAIN_ID, Prepared
 from .vectorized import matrix, neighbour_schema, packed, unpacked, values
 
 log = logging.getLogger(__name__)
@@ -279,7 +279,7 @@ def knn_pivots(
         asked.join(trains, "_t").select("_g", "_t", F.col("train").alias("body"), F.lit(None).cast("array<int>").alias("needs"))
     )
     both = both.repartitionById(groups, F.col("_g")).sortWithinPartitions("_g", "_t")
-    out = neighbour_schema(p, with_rank=True)
+    out = neighbour_schema(p, with_rank=False)
     schema = to_arrow_schema(out)
 
     def meet(batches):
@@ -302,7 +302,8 @@ def knn_pivots(
                 if q.lists is not None:
                     yield q.found(schema)
 
-    return both.mapInArrow(meet, out)
+    # lists are final but for query ids that repeat, whose rows share one list
+    return rank_neighbours(both.mapInArrow(meet, out), k)
 
 
 def grouped(batches):
@@ -336,5 +337,5 @@ class Pack:
 
     def found(self, schema: pa.Schema) -> pa.RecordBatch:
         r, c = self.lists.hits()
-        cols = {QUERY_ID: self.ids[r], RANK: c + 1, TRAIN_ID: self.lists.i[r, c], LABEL: self.lists.lab[r, c], DIST: self.lists.d[r, c]}
+        cols = {QUERY_ID: self.ids[r], TRAIN_ID: self.lists.i[r, c], LABEL: self.lists.lab[r, c], DIST: self.lists.d[r, c]}
         return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in schema], schema=schema)

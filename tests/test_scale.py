@@ -95,3 +95,12 @@ def test_chunk_searches_score_few_rows():
     q, row, _ = tree.search(X[at], at, 3, np.full(len(at), np.inf))
     assert len(q) == 3 * len(at) and not (row == at[q]).any()
     assert sum(scored) < 40 * len(at) < len(tree.row) * len(at)
+
+
+def test_pivot_queries_that_share_an_id_share_a_list(spark):
+    X = np.random.default_rng(4).normal(size=(200, 9))
+    train = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(X)], "id long, v array<double>, label int")
+    queries = train.where("id < 10").unionByName(train.where("id < 5"))
+    args = {"query_id": "id", "label": "label", "exclude_self": True}
+    got = nf.knn_join(queries, train, "v", 3, strategy="pivots", pack_rows=20, pivots=8, **args)
+    assert got.groupBy("query_id").count().where("count <> 3").count() == 0
