@@ -140,11 +140,11 @@ def _resolve(p: Prepared, k: int, strategy: str, limit: int, replicate: str, cor
         # the grid counts train in its own planning pass and replicates
         # nothing whose size it has not checked
         return "grid", replicate, None
-    sizes = choose.count_sides(p.queries, p.train, p.dim)
+    sizes = choose.count_prepared(p)
     if strategy == "auto":
         strategy, replicate = choose.choose(sizes, limit, cores)
         if strategy == "grid":
-            return "grid", replicate, None
+            return "grid", replicate, sizes
     if strategy == "vectorized":
         # one replicated side is the special case: a larger one goes by pivots
         if (sizes.train_bytes if replicate == "train" else sizes.query_bytes) > limit:
@@ -201,7 +201,7 @@ def knn_prepared(p: Prepared, k: int, *, strategy: str = "auto", broadcast_max_b
         held = sizes.n_train if replicate == "train" else sizes.n_queries
         return vectorized.knn_vectorized(p, k, n_replicated=held, parallelism=par, replicate=replicate)
     if strategy == "grid":
-        return grid.knn_grid(p, k, broadcast_max_bytes=limit, parallelism=par, dedupe=opts.get("dedupe", True))
+        return grid.knn_grid(p, k, broadcast_max_bytes=limit, parallelism=par, dedupe=opts.get("dedupe", True), sizes=sizes)
     raise AssertionError(strategy)
 
 

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .prepare import LABEL, Prepared
+
 # Fixed defaults (override per call or with the session keys below).
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 BROADCAST_CONF_KEY = "nearframe.broadcast.maxBytes"
@@ -67,6 +69,14 @@ def count_sides(queries: DataFrame, train: DataFrame, dim: int) -> Sizes:
     return Sizes(int(row["q"]), int(row["t"]), dim)
 
 
+def count_prepared(p: Prepared) -> Sizes:
+    """Row counts of prepared sides; of one table that is both in one pass."""
+    if p.both is None:
+        return count_sides(p.queries, p.train, p.dim)
+    row = p.both.agg(F.count(F.lit(1)).alias("q"), F.count(LABEL).alias("t")).first()
+    return Sizes(int(row["q"]), int(row["t"]), p.dim)
+
+
 def choose(sizes: Sizes, limit: int, cores: int = 8) -> tuple[str, str]:
     """(strategy, replicated side). Never a cross join on ``auto``:
 

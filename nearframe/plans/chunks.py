@@ -2,14 +2,22 @@
 
 1. **Chunks.** A bounded sample of train (chosen by a hash) is halved along its widest
    axis until a part stands for some ``CHUNK_ROWS`` rows. Any halves are correct; they
-   only decide how even the chunks are. Every row goes to the chunk it lies in.
-2. **At home.** Queries meet the train rows of their own chunk, one group a task. The
-   k-th distance found there bounds the query's k-th distance from above.
-3. **Abroad.** A query whose ball of that radius reaches the box of another chunk's
-   train rows goes there as well, with its bound, and its lists are merged. With ``n``
-   rows in a chunk of ``d`` axes that are some ``d / n^(1/d)`` of the queries.
-
-Inside a chunk, train rows are ordered by halves down to leaves of ``LEAF`` rows;
+   only decide how even the chunks are. Every row goes to the chunk it lies in, in packs
+   of compressed columns, which move once and are kept in the checkpoint folder. Where
+   both sides are one table, its rows are sent once. A chunk where the sample has many
+   more queries than usual is cut into parts of queries, each with all train rows; of a
+   point that crowds a pack only the train rows that can be neighbours are sent.
+2. **Borders.** A quick bound of each query's k-th distance tells which balls stay within
+   their chunk's reach. The others are searched at home; where the ball of the true k-th
+   distance still reaches the box of another chunk's train rows, the query goes there as
+   well, with its bound. With ``n`` rows in a chunk of ``d`` axes that are some
+   ``d / n^(1/d)`` of the queries, and only they are kept before the end.
+3. **At home.** Queries meet the train rows of their own chunk, one group a task, as the
+   result is read: lists of queries that stay at home go nowhere else, the others are
+   merged with what was found abroad.
+
+Inside a chunk, of equal train rows those with the lowest ids stay, and equal queries are
+searched once. Train rows are ordered by halves down to leaves of ``LEAF`` rows;
 queries come in blocks that lie together, and a query meets the leaves whose boxes its
 bound reaches. Box distances get an allowance far above rounding; distances themselves
 are the doubles of the SQL expression, and ties go by train id.
@@ -21,15 +29,17 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, cloudpickle
+from pandas.util import hash_array
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint
 from .brute import rank_neighbours
+from .choose import Sizes, count_prepared
 from .prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared
-from .vectorized import matrix, neighbour_schema, values
+from .vectorized import matrix, neighbour_schema, unpacked, values
 
 #: Train rows of a chunk, about; small inputs still give every core some chunks.
 CHUNK_ROWS = 131_072
@@ -44,6 +54,14 @@ BLOCK = 128
 #: Leaves of one larger box, and those that give the first bound.
 SUPER = 32
 FIRST = 8
+#: Rows that a task packs at once, and bytes of packs that leave it together.
+PACK_ROWS = 1 << 19
+PACK_BYTES = 16 << 20
+#: Train rows of one point in a pack that make it a crowd.
+CROWD = 64
+#: Rows of one train id in a chunk up to which lists are made so much longer that a query's
+#: own rows can leave them; beyond, own rows are told apart in the search.
+OWN_ROWS = 4
 #: (query, leaf) pairs scored at once.
 PAIRS = 1 << 14
 #: Relative allowance of box distances, and above all errors of squares that underflow.
@@ -147,21 +165,39 @@ class Leaves:
             acc = diff if acc is None else np.add(acc, diff, out=acc)
         return acc
 
+    def box_bound(self, lo: np.ndarray, hi: np.ndarray, rows: int) -> float:
+        """What bounds the distances of the ``rows`` nearest rows of any query in the box:
+        the farthest corner of the best leaf."""
+        if rows > LEAF:
+            return np.inf
+        far = 0.0  # infinite where a leaf is not full
+        for j in range(self.lo.shape[1]):
+            x = np.maximum(hi[j] - self.lo[:, j], self.hi[:, j] - lo[j])
+            far = far + x * x
+        return np.sqrt(far.min()) * (1.0 + SLACK)
+
+    def first_bound(self, Q: np.ndarray, key: np.ndarray, k: int) -> np.ndarray:
+        """Upper bounds of the k-th distances of queries that lie together."""
+        lo, hi = Q.min(axis=0), Q.max(axis=0)
+        sup = gap(lo, hi, self.slo, self.shi)
+        reach = np.sort(sup)[min(2, len(sup) - 1)]
+        first = self._near(lo, hi, reach)
+        if len(first) > FIRST:
+            first = first[np.argpartition(gap(lo, hi, self.lo[first], self.hi[first]), FIRST)[:FIRST]]
+        n = len(first)
+        if n * LEAF < k:
+            return np.full(len(Q), np.inf)
+        D = self._squares(Q, np.repeat(np.arange(len(Q)), n), np.tile(first, len(Q))).reshape(len(Q), n * LEAF)
+        if (key >= 0).any():
+            D[key[:, None] == self.key[first].reshape(1, -1)] = np.inf
+        return np.sqrt(np.partition(D, k - 1, axis=1)[:, k - 1])
+
     def search(self, Q: np.ndarray, key: np.ndarray, k: int, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, train row, distance) of each query's k nearest rows within its
         bound, for queries that lie together, by query and rank."""
         lo, hi = Q.min(axis=0), Q.max(axis=0)
         if np.isinf(bound).any():
-            sup = gap(lo, hi, self.slo, self.shi)
-            reach = np.sort(sup)[min(2, len(sup) - 1)]
-            first = self._near(lo, hi, reach)
-            if len(first) > FIRST:
-                first = first[np.argpartition(gap(lo, hi, self.lo[first], self.hi[first]), FIRST)[:FIRST]]
-            n = len(first)
-            D = self._squares(Q, np.repeat(np.arange(len(Q)), n), np.tile(first, len(Q))).reshape(len(Q), n * LEAF)
-            D[key[:, None] == self.key[first].reshape(1, -1)] = np.inf
-            if D.shape[1] >= k:
-                bound = np.minimum(bound, np.sqrt(np.partition(D, k - 1, axis=1)[:, k - 1]))
+            bound = np.minimum(bound, self.first_bound(Q, key, k))
         most = limit(bound)
         near = self._near(lo, hi, most.max())
         points = Q[:, None, :]
@@ -193,41 +229,128 @@ def _lists(n: int, q: np.ndarray, body: pa.Array, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(ends), body, type=kind)
 
 
-def _once(Q: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Positions of the queries without rows that repeat."""
-    names, at = np.unique(ids, return_inverse=True)
-    if len(names) == len(ids):
-        return np.arange(len(ids))
-    return np.sort(np.unique(np.column_stack([at.astype(float), Q]), axis=0, return_index=True)[1])
+def _runs(X: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal rows follow each other, by ``keys`` among themselves, and
+    the number of the row's run there. Two runs may be of one point; a run never is of two."""
+    h = np.zeros(len(X), np.uint64)
+    for j in range(X.shape[1]):
+        h = (h ^ np.ascontiguousarray(X[:, j]).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    order = np.lexsort((*reversed(keys), h)) if keys else np.argsort(h, kind="stable")
+    Y = X[order]
+    new = np.ones(len(X), bool)
+    new[1:] = (Y[1:] != Y[:-1]).any(axis=1)
+    return order, np.cumsum(new) - 1
+
+
+def _place(run: np.ndarray) -> np.ndarray:
+    """Each row's place in its run."""
+    return np.arange(len(run)) - np.searchsorted(run, run)
+
+
+def _spare(X: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Train rows that are in no list: among the rows of a crowded point, those behind
+    ``k`` others, whatever id is left out."""
+    out = np.zeros(len(X), bool)
+    order, run = _runs(X)
+    size = np.bincount(run)
+    for r in np.flatnonzero(size > CROWD):
+        a = np.searchsorted(run, r)
+        at = order[a : a + size[r]]
+        names, key = np.unique(ids[at], return_inverse=True)
+        out[at[np.argsort(key, kind="stable")[k + np.bincount(key).max() :]]] = True
+    return out
 
 
 class Chunk:
-    """Both sides of one group: the searches of its queries, block by block."""
+    """Both sides of one group: the searches of its points, block by block."""
 
-    def __init__(self, left: pa.Table, right: pa.Table, p: tuple[list[str], list[str], bool], k: int):
-        qcols, tcols, exclude_self = p
+    def __init__(self, left: pa.Table, right: pa.Table, dim: int, k: int, exclude_self: bool, collapse: bool = True):
+        x = [f"x{j}" for j in range(dim)]
         self.k, self.left, self.right = k, left, right
-        self.Q, qids = matrix(left, qcols), values(left, QUERY_ID)
-        self.tree = None
-        key = np.full(len(self.Q), -1)
+        self.Q, qids = matrix(left, x), values(left, "id")
+        own = np.full(len(self.Q), -1)
+        self.tree, self.need, times = None, k, 0
         if right.num_rows:
-            names, tkey = np.unique(values(right, TRAIN_ID), return_inverse=True)
+            T = matrix(right, x)
+            names, tkey = np.unique(values(right, "id"), return_inverse=True)
             if exclude_self:
                 at = np.minimum(np.searchsorted(names, qids), len(names) - 1)
-                key = np.where(names[at] == qids, at, -1)
-            self.tree = Leaves(matrix(right, tcols), tkey)
-        self.key, self.qids = key, qids
-
-    def run(self, bound: np.ndarray, at: np.ndarray | None = None):
-        """(positions, their lists) of each block of the queries ``at``."""
-        at = np.arange(len(self.Q)) if at is None else at
-        at = at[in_halves(self.Q[at], BLOCK)]
-        for a in range(0, len(at), BLOCK):
-            mine = at[a : a + BLOCK]
-            if self.tree is None:
-                yield mine, (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-            else:
-                yield mine, self.tree.search(self.Q[mine], self.key[mine], self.k, bound[mine])
+                own = np.where(names[at] == qids, at, -1)
+                times = int(np.bincount(tkey).max())
+            collapse = collapse and times <= OWN_ROWS
+            kept = np.arange(len(T))
+            if collapse:
+                self.need = k + times
+                order, run = _runs(T, tkey)
+                kept = order[_place(run) < self.need]
+            self.tree, self.row, self.tkey = Leaves(T[kept], tkey[kept]), kept, tkey
+        self.own, self.collapse = own, collapse
+        # queries of one id and point are answered once, those of one point searched once
+        code = np.unique(qids, return_inverse=True)[1]
+        order, run = _runs(self.Q, code)
+        first = np.ones(len(order), bool)
+        first[1:] = (run[1:] != run[:-1]) | (code[order][1:] != code[order][:-1])
+        self.query, run = order[first], run[first]
+        self.point = run if collapse else np.arange(len(run))
+        self.at = self.query[np.searchsorted(self.point, np.arange(self.point[-1] + 1))] if len(run) else self.query
+        self.key = np.full(len(self.at), -1) if collapse else own[self.at]
+
+    def blocks(self, points: np.ndarray):
+        """The points in blocks that lie together, smaller where train is denser, so that
+        the leaves of the first bound surround a block."""
+        block = BLOCK if self.tree is None else min(BLOCK, max(BLOCK // 4, BLOCK * len(self.at) // len(self.row)))
+        order = in_halves(self.Q[self.at[points]], block)
+        for a in range(0, len(order), block):
+            yield points[order[a : a + block]]
+
+    def quick(self, points: np.ndarray, reached) -> np.ndarray:
+        """Upper bounds of the points' k-th distances; one for all of a block's points if
+        no ball of it is ``reached`` by other chunks."""
+        if self.tree is None:
+            return np.full(len(points), np.inf)
+        if self.collapse:
+            Q = self.Q[self.at[points]]
+            box = np.stack([Q.min(axis=0), Q.max(axis=0)])
+            most = self.tree.box_bound(*box, self.need)
+            if not reached(box, most):
+                return np.full(len(points), most)
+        return self.tree.first_bound(self.Q[self.at[points]], self.key[points], self.need)
+
+    def search(self, points: np.ndarray, bound: np.ndarray):
+        """(point, train row, distance) by point and rank, and what bounds each point's lists."""
+        if self.tree is None:
+            return (np.zeros(0, int), np.zeros(0, int), np.zeros(0)), np.full(len(points), np.inf)
+        q, row, dist = self.tree.search(self.Q[self.at[points]], self.key[points], self.need, bound)
+        full = np.bincount(q, minlength=len(points)) >= self.need
+        kth = np.full(len(points), np.inf)
+        kth[full] = dist[(np.searchsorted(q, np.arange(len(points)), side="right") - 1)[full]]
+        return (points[q], self.row[row], dist), kth
+
+    def lists(self, found: list, points: np.ndarray | None = None):
+        """Rows of the queries that ask for ``points`` (or all), and their lists: (place
+        in those rows, rank from 0, train row, distance) by place and rank."""
+        p, row, dist = (_glued(list(x), kind) for x, kind in zip(zip(*found), (int, int, float))) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        mine = np.ones(len(self.query), bool)
+        if points is not None:
+            wanted = np.zeros(len(self.at), bool)
+            wanted[points] = True
+            mine = wanted[self.point]
+        query, point = self.query[mine], self.point[mine]
+        order = np.argsort(p, kind="stable")
+        p, row, dist = p[order], row[order], dist[order]
+        size = np.bincount(p, minlength=len(self.at))
+        start = np.cumsum(size) - size
+        n = size[point]
+        place = np.repeat(np.arange(len(query)), n)
+        at = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[point], n)
+        row, dist = row[at], dist[at]
+        if self.collapse and len(row) and (self.own >= 0).any():
+            other = self.tkey[row] != self.own[query][place]
+            place, row, dist = place[other], row[other], dist[other]
+        rank = _place(place)
+        top = rank < self.k
+        return query, (place[top], rank[top], row[top], dist[top])
 
 
 def _take(table: pa.Table, column: str, at: np.ndarray) -> pa.Array:
@@ -239,16 +362,88 @@ def _glued(parts: list, kind) -> np.ndarray:
     return np.concatenate([np.asarray(x) for x in parts]) if parts else np.zeros(0, kind)
 
 
-def _placed(df: DataFrame, cols: list[str], halves) -> DataFrame:
-    """The rows with the chunk they lie in."""
+def _body(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+#: Packs hold rows that are train and query, train only, or query only.
+BOTH, TRAIN, QUERY = 0, 1, 2
+
+
+def _boxes(dim: int) -> list[str]:
+    return [f"{e}{j}" for e in ("lo", "hi") for j in range(dim)]
+
+
+def _packs(df: DataFrame, side: int, name: str, cols: list[str], shared, k: int, collapse: bool) -> DataFrame:
+    """(_g, _part, kind, lo.., hi.., body): the rows, packed by the chunk they lie in."""
+    d = len(cols)
+    fields = [T.StructField(c, T.IntegerType()) for c in ("_g", "_part", "kind")] + [T.StructField(c, T.DoubleType()) for c in _boxes(d)]
+    kind = T.StructType([*fields, T.StructField("body", T.BinaryType())])
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = to_arrow_schema(kind)
+
+    def flush(batches):
+        halves, parts = shared.value
+        table = pa.Table.from_batches(batches)
+        table = table.rename_columns([{name: "id", LABEL: LABEL, **{c: f"x{j}" for j, c in enumerate(cols)}}[c] for c in table.column_names])
+        X = matrix(table, [f"x{j}" for j in range(d)])
+        g = halves.chunk(X)
+        order = np.argsort(g, kind="stable")
+        table, X, g = table.take(pa.array(order)).combine_chunks(), X[order], g[order]
+        train = np.full(len(g), side != QUERY)
+        if side == BOTH:
+            train &= table.column(LABEL).is_valid().to_numpy()
+        if side != QUERY and collapse:
+            train &= ~_spare(X, values(table, "id"), k)
+        asked = table.select(["id", *[f"x{j}" for j in range(d)]])
+        ends = np.flatnonzero(np.diff(g, append=-1)) + 1
+        out, held = [], 0
+        for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
+            n = parts[g[a]]
+            kept = a + np.flatnonzero(train[a:b])
+            packs = []
+            if len(kept):
+                whole = table.slice(a, b - a) if len(kept) == b - a else table.take(pa.array(kept))
+                box = [*X[kept].min(axis=0), *X[kept].max(axis=0)]
+                body = _body(whole)
+                packs += [[g[a], part, BOTH if side == BOTH and n == 1 else TRAIN, *box, body] for part in range(n)]
+            if side != TRAIN:
+                rest = np.arange(a, b) if n > 1 or side == QUERY else a + np.flatnonzero(~train[a:b])
+                if len(rest):
+                    # rows of one id go to one part
+                    part = np.zeros(len(rest), int) if n == 1 else (hash_array(values(asked, "id")[rest]) % np.uint64(n)).astype(int)
+                    packs += [[g[a], i, QUERY, *[None] * (2 * d), _body(asked.take(pa.array(rest[part == i])))] for i in np.unique(part)]
+            for x in packs:
+                out.append(x)
+                held += len(x[-1])
+                if held >= PACK_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
     def run(batches):
+        held, n = [], 0
         for b in batches:
             if b.num_rows:
-                at = halves.value.chunk(matrix(pa.Table.from_batches([b]), cols))
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at.astype(np.int32))], names=[*b.schema.names, "_g"])
+                held.append(b)
+                n += b.num_rows
+                if n >= PACK_ROWS:
+                    yield from flush(held)
+                    held, n = [], 0
+        if held:
+            yield from flush(held)
+
+    return df.mapInArrow(run, kind)
+
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("_g", T.IntegerType())]))
+def _opened(packs: pa.Table, sides: tuple[int, ...], schema: pa.Schema) -> pa.Table:
+    found = [unpacked(body) for kind, body in zip(packs.column("kind").to_pylist(), packs.column("body")) if kind in sides]
+    return pa.concat_tables([t.select(schema.names).cast(schema) for t in found]).combine_chunks() if found else schema.empty_table()
 
 
 def _cut(df: DataFrame, rows: int) -> DataFrame | None:
@@ -258,87 +453,150 @@ def _cut(df: DataFrame, rows: int) -> DataFrame | None:
     return F.broadcast(df.sparkSession.createDataFrame(hot, "_g int, _salts int, _parts int")) if hot else None
 
 
-def knn_chunks(p: Prepared, k: int, *, n_train: int, parallelism: int = 8) -> tuple[DataFrame, list[DataFrame]]:
-    """Exact k nearest train rows of every query, and the tables to release once the
-    result is stored. Train rows are found with ids that repeat too; equal rows of
-    queries are answered once."""
+def _drawn(df: DataFrame, name: str, cols: list[str], n: int, size: int) -> pa.Table:
+    """About ``size`` of ``n`` rows, by id and place, so that rows whose ids repeat are
+    drawn one by one."""
+    if n > size:
+        df = df.where(F.pmod(F.xxhash64(name, *cols, F.lit(31)), F.lit(1 << 30)) < int(size / n * (1 << 30)))
+    keep = [F.col(LABEL).isNotNull().alias(LABEL)] if LABEL in df.columns else []
+    return df.select(*cols, *keep).limit(2 * size).toArrow()
+
+
+def knn_chunks(p: Prepared, k: int, *, parallelism: int = 8, collapse: bool = True, sizes: Sizes | None = None) -> DataFrame:
+    """Exact k nearest train rows of every query. Train rows are found with ids that
+    repeat too; equal rows of queries are answered once. The searches run when the result
+    is read: a caller that reads it twice keeps it."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    from .grid import _spread_over_cells
+    from .grid import _empty, _spread_over_cells
 
     spark = p.queries.sparkSession
-    qc, tc = p.qcols, p.tcols
+    qc, tc, d, both = p.qcols, p.tcols, p.dim, p.both
+    train, queries = p.train.select(TRAIN_ID, *tc, LABEL), p.queries.select(QUERY_ID, *qc)
+    sizes = sizes or count_prepared(p)
+    n_queries, n_train = sizes.n_queries, sizes.n_train
+    if not (n_train and n_queries):
+        return _empty(p)
     rows = min(CHUNK_ROWS, max(LEAST_ROWS, -(-n_train // (CHUNKS_PER_CORE * parallelism))))
-    parts = min(-(-n_train // rows), SAMPLE_MOST // SAMPLE_PER_CHUNK)
-    size = max(SAMPLE, SAMPLE_PER_CHUNK * parts)
-    sample = p.train
-    if n_train > size:
-        # by id and place, so that rows whose ids repeat are drawn one by one
-        sample = sample.where(F.pmod(F.xxhash64(TRAIN_ID, *tc, F.lit(31)), F.lit(1 << 30)) < int(size / n_train * (1 << 30)))
-    halves = spark.sparkContext.broadcast(Halves(matrix(sample.select(*tc).limit(2 * size).toArrow(), tc), parts))
-    train = _placed(p.train.select(TRAIN_ID, LABEL, *tc), tc, halves)
+    chunks = min(-(-n_train // rows), SAMPLE_MOST // SAMPLE_PER_CHUNK)
+    size = max(SAMPLE, SAMPLE_PER_CHUNK * chunks)
+    if both is not None:
+        seen = _drawn(both, TRAIN_ID, tc, n_queries, size)
+        asked, sample = matrix(seen, tc), matrix(seen.filter(seen.column(LABEL)), tc)
+    else:
+        sample, asked = matrix(_drawn(train, TRAIN_ID, tc, n_train, size), tc), matrix(_drawn(queries, QUERY_ID, qc, n_queries, size), qc)
+    halves = Halves(sample, chunks)
+    # chunks with many queries in the sample are cut
+    expected = np.bincount(halves.chunk(asked), minlength=halves.parts) * (n_queries / max(1, len(asked)))
+    shared = spark.sparkContext.broadcast((halves, np.where(expected > 2 * rows, -(-expected // rows), 1).astype(int)))
+    if both is not None:
+        packs = _packs(both, BOTH, TRAIN_ID, tc, shared, k, collapse)
+    else:
+        packs = _packs(train, TRAIN, TRAIN_ID, tc, shared, k, collapse).unionByName(_packs(queries, QUERY, QUERY_ID, qc, shared, k, collapse))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    train = train.repartition(width, "_g").persist(StorageLevel.MEMORY_AND_DISK)
-    boxes = train.groupBy("_g").agg(*[f(c).alias(f"{n}{c}") for c in tc for n, f in (("lo", F.min), ("hi", F.max))]).orderBy("_g").toArrow()  # a row a chunk
-    shared = spark.sparkContext.broadcast((boxes.column("_g").to_numpy(), matrix(boxes, [f"lo{c}" for c in tc]), matrix(boxes, [f"hi{c}" for c in tc])))
-
-    kind = neighbour_schema(p, with_rank=False)
-    one = T.StructType([f for f in kind.fields if f.name != QUERY_ID])
-    asked = [*p.queries.select(QUERY_ID, *qc).schema.fields, T.StructField("bound", T.DoubleType())]
-    home_kind = T.StructType([*asked, T.StructField("needs", T.ArrayType(T.IntegerType())), T.StructField("found", T.ArrayType(one))])
-    home_schema, schema = to_arrow_schema(home_kind), to_arrow_schema(kind)
-    sides = (qc, tc, p.exclude_self)
-
-    def struct(chunk: Chunk, row: np.ndarray, dist: np.ndarray, kind: pa.DataType) -> pa.Array:
-        cols = {DIST: pa.array(dist)} | ({TRAIN_ID: _take(chunk.right, TRAIN_ID, row), LABEL: _take(chunk.right, LABEL, row)} if chunk.right.num_rows else {})
-        fields = [kind.field(i) for i in range(kind.num_fields)]
-        return pa.StructArray.from_arrays([cols[f.name].cast(f.type) if f.name in cols else pa.nulls(0, f.type) for f in fields], fields=fields)
-
-    def home(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return home_schema.empty_table()
-        chunk, own = Chunk(left, right, sides, k), left.column("_g")[0].as_py()
-        number, blo, bhi = shared.value
-        order, bounds, found, needs, done = [], [], [], [], 0
-        for at, (q, row, dist) in chunk.run(np.full(len(chunk.Q), np.inf), _once(chunk.Q, chunk.qids)):
-            bound = np.full(len(at), np.inf)
-            last = np.searchsorted(q, np.arange(len(at)), side="right") - 1
-            full = np.bincount(q, minlength=len(at)) >= k
-            bound[full] = dist[last[full]]
-            most, Q = limit(bound), chunk.Q[at]
-            near = np.flatnonzero((gap(Q.min(axis=0), Q.max(axis=0), blo, bhi) <= most.max()) & (number != own))
-            ask, other = np.nonzero(gap(Q[:, None, :], Q[:, None, :], blo[near], bhi[near]) <= most[:, None])
-            order.append(at)
-            bounds.append(bound)
-            found.append((q + done, row, dist))
-            needs.append((ask + done, number[near[other]]))
-            done += len(at)
-        order, bound = _glued(order, int), _glued(bounds, float)
-        q, row, dist = (_glued(list(x), int) for x in zip(*found))
-        ask, other = (_glued(list(x), int) for x in zip(*needs))
-        one, many = home_schema.field("found").type, home_schema.field("needs").type
-        cols = [_take(left, f.name, order).cast(f.type) for f in home_schema if f.name in (QUERY_ID, *qc)]
-        cols += [pa.array(bound), _lists(len(order), ask, pa.array(other.astype(np.int32)), many), _lists(len(order), q, struct(chunk, row, dist, one.value_type), one)]
-        return pa.Table.from_arrays(cols, schema=home_schema)
+    packs = checkpoint(packs.repartition(width, "_g", "_part"))
+    spark.sparkContext._jvm.System.gc()  # the packs' shuffle files go
+
+    kind = neighbour_schema(p, with_rank=True)
+    one = T.StructType([f for f in kind.fields if f.name not in (QUERY_ID, RANK)])
+    asks_kind = T.StructType([*queries.schema.fields, T.StructField("bound", T.DoubleType()), T.StructField("needs", T.ArrayType(T.IntegerType())), T.StructField("found", T.ArrayType(one))])
+    asks_schema, schema, few_schema = to_arrow_schema(asks_kind), to_arrow_schema(kind), to_arrow_schema(T.StructType([f for f in kind.fields if f.name != RANK]))
+    point = [pa.field(f"x{j}", pa.float64()) for j in range(d)]
+    left_schema = pa.schema([pa.field("id", schema.field(QUERY_ID).type), *point])
+    right_schema = pa.schema([pa.field("id", schema.field(TRAIN_ID).type), *point, pa.field(LABEL, schema.field(LABEL).type)])
+    exclude_self = p.exclude_self
+
+    boxes = packs.where(f"_part = 0 and kind <> {QUERY}").groupBy("_g").agg(*[(F.min if c[0] == "l" else F.max)(c).alias(c) for c in _boxes(d)]).orderBy("_g").toArrow()  # a row a chunk
+    around = spark.sparkContext.broadcast((boxes.column("_g").to_numpy(), matrix(boxes, _boxes(d)[:d]), matrix(boxes, _boxes(d)[d:])))
+
+    def opened(table: pa.Table) -> tuple[Chunk, int]:
+        chunk = Chunk(_opened(table, (BOTH, QUERY), left_schema), _opened(table, (BOTH, TRAIN), right_schema), d, k, exclude_self, collapse)
+        return chunk, table.column("_g")[0].as_py()
+
+    def near_chunks(box: np.ndarray, bound: float, own: int) -> np.ndarray:
+        """The other chunks whose boxes the bound reaches from the box."""
+        number, blo, bhi = around.value
+        return np.flatnonzero((gap(*box, blo, bhi) <= limit(bound)) & (number != own))
+
+    def reached(Q: np.ndarray, bound: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place, other chunk) where the ball of a bound meets the chunk's box."""
+        number, blo, bhi = around.value
+        near = near_chunks(np.stack([Q.min(axis=0), Q.max(axis=0)]), bound.max(), own)
+        if not len(near):
+            return np.zeros(0, int), np.zeros(0, int)
+        ask, other = np.nonzero(gap(Q[:, None, :], Q[:, None, :], blo[near], bhi[near]) <= limit(bound)[:, None])
+        return ask, number[near[other]]
+
+    def named(cols: dict, schema: pa.Schema) -> pa.Table:
+        return pa.Table.from_arrays([cols[f.name].cast(f.type) for f in schema], schema=schema)
 
-    def abroad(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not (left.num_rows and right.num_rows):
+    def border(table: pa.Table) -> pa.Table:
+        chunk, own = opened(table)
+        found, asks = [], []
+        kth = np.full(len(chunk.at), np.inf)
+        for at in chunk.blocks(np.arange(len(chunk.at))):
+            bound = chunk.quick(at, lambda box, most: len(near_chunks(box, most, own)))
+            doubtful = np.unique(reached(chunk.Q[chunk.at[at]], bound, own)[0])
+            if not len(doubtful):
+                continue
+            at = at[doubtful]
+            some, kth[at] = chunk.search(at, bound[doubtful])
+            ask, other = reached(chunk.Q[chunk.at[at]], kth[at], own)
+            found.append(some)
+            asks.append((at[ask], other))
+        ask, other = (_glued(list(x), int) for x in zip(*asks)) if asks else (np.zeros(0, int), np.zeros(0, int))
+        if not len(ask):
+            return asks_schema.empty_table()
+        query, (place, _, row, dist) = chunk.lists(found, np.unique(ask))
+        order = np.argsort(ask, kind="stable")
+        ask, other = ask[order], other[order]
+        point = np.zeros(len(chunk.Q), int)
+        point[chunk.query] = chunk.point
+        mine = point[query]
+        start, end = np.searchsorted(ask, mine), np.searchsorted(ask, mine, side="right")
+        n = end - start
+        to = other[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)]
+        many, lists = asks_schema.field("needs").type, asks_schema.field("found").type
+        fields = [lists.value_type.field(i) for i in range(lists.value_type.num_fields)]
+        cols = {DIST: pa.array(dist)} | ({TRAIN_ID: _take(chunk.right, "id", row), LABEL: _take(chunk.right, LABEL, row)} if chunk.right.num_rows else {})
+        items = pa.StructArray.from_arrays([cols[f.name].cast(f.type) if f.name in cols else pa.nulls(0, f.type) for f in fields], fields=fields)
+        out = {QUERY_ID: _take(chunk.left, "id", query), "bound": pa.array(kth[mine])} | {c: pa.array(chunk.Q[query, j]) for j, c in enumerate(qc)}
+        out |= {"needs": _lists(len(query), np.repeat(np.arange(len(query)), n), pa.array(to.astype(np.int32)), many), "found": _lists(len(query), place, items, lists)}
+        return pa.Table.from_arrays([out[f.name] if f.name in ("needs", "found") else out[f.name].cast(f.type) for f in asks_schema], schema=asks_schema)
+
+    def home(table: pa.Table) -> pa.Table:
+        chunk, own = opened(table)
+        if chunk.tree is None or not len(chunk.at):
             return schema.empty_table()
-        chunk = Chunk(left, right, sides, k)
-        q, row, dist = zip(*[(at[q], row, dist) for at, (q, row, dist) in chunk.run(values(left, "bound"))])
-        q, row = _glued(list(q), int), _glued(list(row), int)
-        cols = {QUERY_ID: _take(left, QUERY_ID, q), TRAIN_ID: _take(right, TRAIN_ID, row), LABEL: _take(right, LABEL, row), DIST: pa.array(_glued(list(dist), float))}
-        return pa.Table.from_arrays([cols[f.name].cast(f.type) for f in schema], schema=schema)
+        found, stay = [], np.ones(len(chunk.at), bool)
+        for at in chunk.blocks(np.arange(len(chunk.at))):
+            some, kth = chunk.search(at, np.full(len(at), np.inf))
+            found.append(some)
+            stay[at[np.unique(reached(chunk.Q[chunk.at[at]], kth, own)[0])]] = False
+        query, (place, rank, row, dist) = chunk.lists(found, np.flatnonzero(stay))
+        return named({QUERY_ID: _take(chunk.left, "id", query[place]), RANK: pa.array(rank + 1), TRAIN_ID: _take(chunk.right, "id", row), LABEL: _take(chunk.right, LABEL, row), DIST: pa.array(dist)}, schema)
 
-    def meet(queries: DataFrame, what, kind: T.StructType) -> DataFrame:
-        hot = _cut(queries, rows)
-        q, t = _spread_over_cells(queries, hot, ["_g"], QUERY_ID, "_parts", "_salts"), _spread_over_cells(train, hot, ["_g"], TRAIN_ID, "_salts", "_parts")
-        return q.groupBy("_g", "_salt").cogroup(t.groupBy("_g", "_salt")).applyInArrow(what, kind)
-
-    met = checkpoint(meet(_placed(p.queries.select(QUERY_ID, *qc), qc, halves), home, home_kind))
-    item = [F.col(f"_n.{c}").alias(c) for c in (TRAIN_ID, LABEL, DIST)]
-    done = met.where(F.size("needs") == 0).select(QUERY_ID, F.posexplode("found").alias("_at", "_n")).select(QUERY_ID, (F.col("_at") + 1).cast("long").alias(RANK), *item)
-    rest = met.where(F.size("needs") > 0)
-    asks = rest.select(QUERY_ID, *qc, "bound", F.explode("needs").alias("_g"))
-    more = rest.select(QUERY_ID, F.explode("found").alias("_n")).select(QUERY_ID, *item).unionByName(meet(asks, abroad, kind))
-    return done.unionByName(rank_neighbours(more, k)), [train]
+    def abroad(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not (left.num_rows and right.num_rows):
+            return few_schema.empty_table()
+        asked = left.select([QUERY_ID, *qc]).rename_columns(["id", *[f"x{j}" for j in range(d)]]).cast(left_schema)
+        chunk = Chunk(asked, _opened(right, (BOTH, TRAIN), right_schema), d, k, exclude_self, collapse)
+        bound = np.zeros(len(chunk.at))
+        np.maximum.at(bound, chunk.point, values(left, "bound")[chunk.query])
+        found = [chunk.search(at, bound[at])[0] for at in chunk.blocks(np.arange(len(chunk.at)))]
+        query, (place, _, row, dist) = chunk.lists(found)
+        return named({QUERY_ID: _take(asked, "id", query[place]), TRAIN_ID: _take(chunk.right, "id", row), LABEL: _take(chunk.right, LABEL, row), DIST: pa.array(dist)}, few_schema)
+
+    done = packs.groupBy("_g", "_part").applyInArrow(home, kind)
+    if len(boxes) < 2 and halves.parts < 2:
+        return done
+    asks = checkpoint(packs.groupBy("_g", "_part").applyInArrow(border, asks_kind))
+    if asks.isEmpty():
+        return done
+    to = asks.select(QUERY_ID, *qc, "bound", F.explode("needs").alias("_g"))
+    hot = _cut(to, rows)
+    held = packs.where(f"_part = 0 and kind <> {QUERY}").select("_g", "kind", "body")
+    to, held = _spread_over_cells(to, hot, ["_g"], QUERY_ID, "_parts", "_salts"), _spread_over_cells(held, hot, ["_g"], "_g", "_salts", "_parts")
+    there = to.groupBy("_g", "_salt").cogroup(held.groupBy("_g", "_salt")).applyInArrow(abroad, T.StructType([f for f in kind.fields if f.name != RANK]))
+    here = asks.select(QUERY_ID, F.explode("found").alias("_n")).select(QUERY_ID, *[F.col(f"_n.{c}").alias(c) for c in (TRAIN_ID, LABEL, DIST)])
+    return done.unionByName(rank_neighbours(here.unionByName(there), k))

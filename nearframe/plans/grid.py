@@ -271,7 +271,12 @@ def knn_grid(
     dedupe: bool = True,
     collapse: bool = True,
     bounds: DataFrame | None = None,
+    sizes: choose.Sizes | None = None,
 ) -> DataFrame:
+    if bounds is None:
+        from .chunks import knn_chunks
+
+        return knn_chunks(p, k, parallelism=parallelism, collapse=dedupe, sizes=sizes)
     spark = p.queries.sparkSession
     kk = k + (1 if p.exclude_self else 0)
     plan = plan_width(p, kk)

@@ -31,6 +31,9 @@ class Prepared:
     train: DataFrame  # train_id, t0.., label
     dim: int
     exclude_self: bool
+    #: Where both sides are one table with the same ids: train_id, t0.., label of every
+    #: query; those without a label are not train.
+    both: DataFrame | None = None
 
     @property
     def qcols(self) -> list[str]:
@@ -72,7 +75,11 @@ def prepare(
     t = with_features(train, [F.col(train_id).alias(TRAIN_ID), F.col(label).alias(LABEL)], train_features, "t", dt)
     t = t.where(F.col(TRAIN_ID).isNotNull() & F.col(LABEL).isNotNull() & F.col(VALID))
     t = t.select(TRAIN_ID, *names("t", dt), LABEL)
-    return Prepared(q, t, dq, exclude_self)
+    both = None
+    if same and train_id == query_id:
+        both = with_features(queries, [F.col(query_id).alias(TRAIN_ID), F.col(label).alias(LABEL)], features, "t", dq)
+        both = both.where(F.col(TRAIN_ID).isNotNull() & F.col(VALID)).select(TRAIN_ID, *names("t", dq), LABEL)
+    return Prepared(q, t, dq, exclude_self, both)
 
 
 def check_k(k: int) -> int:
