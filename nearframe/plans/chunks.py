@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint
+from ..session import checkpoint, release
 from .brute import rank_neighbours
 from .choose import Sizes, count_prepared
 from .prepare import DIST, LABEL, QUERY_ID, RANK, TRAIN_ID, Prepared
@@ -62,6 +62,8 @@ CROWD = 64
 #: Rows of one train id in a chunk up to which lists are made so much longer that a query's
 #: own rows can leave them; beyond, own rows are told apart in the search.
 OWN_ROWS = 4
+#: Train rows a visiting query below which only those around the visitors are ordered.
+FEW = 64
 #: (query, leaf) pairs scored at once.
 PAIRS = 1 << 14
 #: Relative allowance of box distances, and above all errors of squares that underflow.
@@ -446,6 +448,16 @@ def _opened(packs: pa.Table, sides: tuple[int, ...], schema: pa.Schema) -> pa.Ta
     return pa.concat_tables([t.select(schema.names).cast(schema) for t in found]).combine_chunks() if found else schema.empty_table()
 
 
+def _around(train: pa.Table, Q: np.ndarray, bound: np.ndarray) -> pa.Table:
+    """The train rows in the boxes that hold the queries' balls, block by block."""
+    T = matrix(train, [f"x{j}" for j in range(Q.shape[1])])
+    near, order = np.zeros(len(T), bool), in_halves(Q, LEAF)
+    for a in range(0, len(Q), LEAF):
+        at = order[a : a + LEAF]
+        near |= gap(Q[at].min(axis=0), Q[at].max(axis=0), T, T) <= limit(bound[at].max())
+    return train.take(pa.array(np.flatnonzero(near))).combine_chunks()
+
+
 def _cut(df: DataFrame, rows: int) -> DataFrame | None:
     """(_g, _salts, _parts) of chunks where more than twice ``rows`` queries meet."""
     hot = [(r["_g"], 1, -(-r["n"] // rows)) for r in df.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * rows).collect()]
@@ -494,18 +506,20 @@ def knn_chunks(p: Prepared, k: int, *, parallelism: int = 8, collapse: bool = Tr
     else:
         packs = _packs(train, TRAIN, TRAIN_ID, tc, shared, k, collapse).unionByName(_packs(queries, QUERY, QUERY_ID, qc, shared, k, collapse))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    release(spark)  # of what the sides were made
     packs = checkpoint(packs.repartition(width, "_g", "_part"))
-    spark.sparkContext._jvm.System.gc()  # the packs' shuffle files go
 
     kind = neighbour_schema(p, with_rank=True)
     one = T.StructType([f for f in kind.fields if f.name not in (QUERY_ID, RANK)])
     asks_kind = T.StructType([*queries.schema.fields, T.StructField("bound", T.DoubleType()), T.StructField("needs", T.ArrayType(T.IntegerType())), T.StructField("found", T.ArrayType(one))])
     asks_schema, schema, few_schema = to_arrow_schema(asks_kind), to_arrow_schema(kind), to_arrow_schema(T.StructType([f for f in kind.fields if f.name != RANK]))
-    point = [pa.field(f"x{j}", pa.float64()) for j in range(d)]
+    point_names = [f"x{j}" for j in range(d)]
+    point = [pa.field(x, pa.float64()) for x in point_names]
     left_schema = pa.schema([pa.field("id", schema.field(QUERY_ID).type), *point])
     right_schema = pa.schema([pa.field("id", schema.field(TRAIN_ID).type), *point, pa.field(LABEL, schema.field(LABEL).type)])
     exclude_self = p.exclude_self
 
+    release(spark)  # the packs' shuffle
     boxes = packs.where(f"_part = 0 and kind <> {QUERY}").groupBy("_g").agg(*[(F.min if c[0] == "l" else F.max)(c).alias(c) for c in _boxes(d)]).orderBy("_g").toArrow()  # a row a chunk
     around = spark.sparkContext.broadcast((boxes.column("_g").to_numpy(), matrix(boxes, _boxes(d)[:d]), matrix(boxes, _boxes(d)[d:])))
 
@@ -579,8 +593,13 @@ def knn_chunks(p: Prepared, k: int, *, parallelism: int = 8, collapse: bool = Tr
     def abroad(left: pa.Table, right: pa.Table) -> pa.Table:
         if not (left.num_rows and right.num_rows):
             return few_schema.empty_table()
-        asked = left.select([QUERY_ID, *qc]).rename_columns(["id", *[f"x{j}" for j in range(d)]]).cast(left_schema)
-        chunk = Chunk(asked, _opened(right, (BOTH, TRAIN), right_schema), d, k, exclude_self, collapse)
+        asked = left.select([QUERY_ID, *qc]).rename_columns(["id", *point_names]).cast(left_schema)
+        train = _opened(right, (BOTH, TRAIN), right_schema)
+        if len(asked) <= len(train) // FEW:
+            train = _around(train, matrix(asked, point_names), values(left, "bound"))
+        if not len(train):
+            return few_schema.empty_table()
+        chunk = Chunk(asked, train, d, k, exclude_self, collapse)
         bound = np.zeros(len(chunk.at))
         np.maximum.at(bound, chunk.point, values(left, "bound")[chunk.query])
         found = [chunk.search(at, bound[at])[0] for at in chunk.blocks(np.arange(len(chunk.at)))]

@@ -115,7 +115,7 @@ def test_chunks_of_odd_tables(spark, monkeypatch, case):
     other chunks: the lists are those of brute force."""
     from nearframe.plans import chunks
 
-    for name, n in (("LEAST_ROWS", 100), ("CHUNK_ROWS", 100), ("CROWD", 10), ("PACK_ROWS", 300)):
+    for name, n in (("LEAST_ROWS", 100), ("CHUNK_ROWS", 100), ("CROWD", 10), ("PACK_ROWS", 300), ("FEW", 4)):
         monkeypatch.setattr(chunks, name, n)
     rng = np.random.default_rng(8)
     n = 900

@@ -62,3 +62,20 @@ def test_distance_sum_order_matches_sequential_loop(spark):
         s += (x - y) * (x - y)
     assert got == math.sqrt(s)
     assert F is not None
+
+
+def test_ordered_row_ids_are_kept_by_column(spark):
+    """One compressed copy, of which a plan reads the columns it uses; rows that Parquet
+    does not hold are checkpointed."""
+    rows = [(i * 7 % 500, f"s{i % 3}", float(i), [i]) for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d array<int>").repartition(6)
+    out = with_row_id(df, "rid", ["a", "c"])
+    plan = out.select("rid", "c")._jdf.queryExecution().toString()
+    scan = [x for x in plan.splitlines() if "FileScan parquet" in x]
+    assert scan and "b#" not in scan[0] and "d#" not in scan[0]
+    got = out.orderBy("rid").collect()
+    assert [r["rid"] for r in got] == list(range(1, 501))
+    assert [tuple(r)[:4] for r in got] == sorted(rows, key=lambda r: (r[0], r[2]))
+    assert with_row_id(df.where("a < 0"), "rid", ["a"]).count() == 0
+    odd = with_row_id(df.withColumn("e", F.lit(None)), "rid", ["a"], start=0)
+    assert [r["rid"] for r in odd.orderBy("a").collect()] == list(range(500)) and odd.columns[-2:] == ["e", "rid"]
