@@ -3,8 +3,8 @@
 Brute force scores ``Q x N`` pairs; here each query only meets the train rows
 of the cells its k-neighbour ball touches, so the work grows with the local
 density instead of with ``N``. Every step is a DataFrame join, window or
-aggregate, and train is shuffled once. Steps 2 to 5 serve stored indexes and searches
-within known bounds; a plain search cuts train into ``chunks`` after step 1:
+aggregate, and train is shuffled once. The grid serves stored indexes and searches
+within known bounds; a plain search goes by ``chunks``:
 
 1. **Cells.** One aggregate over train: row count and quantiles per axis.
    Cells are equal steps of the axis' quantile position, about
@@ -315,24 +315,17 @@ def knn_grid(
             queries = queries.join(small(points.select(*qc), n_points), qc, "left_anti")
             qcell = queries.select("*", *_cells(qc, knots, m, "_c"))
 
-    if bounds is None:
-        # 2. and on: chunks of space, each searched with its queries in one task
-        from .chunks import knn_chunks
-
-        out, more = knn_chunks(Prepared(queries, train, d, p.exclude_self), k, n_train=n_train, parallelism=parallelism)
-        kept += more
-    else:
-        # 2. train, partitioned once by (cell, salt) and kept
-        hot = None
-        if sizes["n"] and (sizes["t"] > HOT_ROWS or sizes["q"] > HOT_QUERIES):
-            # counted again: equal rows are gone
-            kept.append(_hot_cells(_cell_counts(tcell, qcell, cn), cn).persist(StorageLevel.MEMORY_AND_DISK))
-            hot = small(kept[-1], kept[-1].count())
-        tpart = _spread_over_cells(tcell, hot, cn, TRAIN_ID, "_salts", "_parts").repartition(n_parts, *cn, "_salt")
-        tpart = tpart.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.append(tpart)
-        grid = Grid(d, kk, n_train, knots, m, tpart, _coarse_sample(train, tc, knots, m, kk), hot, train)
-        out = search_grid(grid, Prepared(queries, train, d, p.exclude_self), k, broadcast_max_bytes=broadcast_max_bytes, parallelism=parallelism, bounds=bounds)
+    # 2. train, partitioned once by (cell, salt) and kept
+    hot = None
+    if sizes["n"] and (sizes["t"] > HOT_ROWS or sizes["q"] > HOT_QUERIES):
+        # counted again: equal rows are gone
+        kept.append(_hot_cells(_cell_counts(tcell, qcell, cn), cn).persist(StorageLevel.MEMORY_AND_DISK))
+        hot = small(kept[-1], kept[-1].count())
+    tpart = _spread_over_cells(tcell, hot, cn, TRAIN_ID, "_salts", "_parts").repartition(n_parts, *cn, "_salt")
+    tpart = tpart.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.append(tpart)
+    grid = Grid(d, kk, n_train, knots, m, tpart, _coarse_sample(train, tc, knots, m, kk), hot, train)
+    out = search_grid(grid, Prepared(queries, train, d, p.exclude_self), k, broadcast_max_bytes=broadcast_max_bytes, parallelism=parallelism, bounds=bounds)
     if members is not None:
         out = out.unionByName(_answer_points(p, points, members, train, k, n_points, n_train, broadcast_max_bytes, parallelism))
     out = checkpoint(out)
